@@ -23,6 +23,7 @@ def local_session(app: str = "sievewright", cpus: int | str = 8, **conf: str) ->
         SparkSession.builder.master(f"local[{n}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", n if n.isdigit() else "8")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
