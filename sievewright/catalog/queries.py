@@ -14,7 +14,7 @@ from ..operators import compare, dedup, evaluate as ev, features as ft, inferenc
 from ..operators import similarity as sim, split as sp, weights as wt
 from ..operators.model import FitSettings
 from ..plans import evaluation as flow, prediction, training
-from ..session import new_path
+from ..session import new_path, spread
 from ..sources import tables
 from ..sources.candidates import candidates, table
 from . import stub
@@ -632,7 +632,7 @@ def hybrid_topk(spark: SparkSession, sf: str) -> DataFrame:
     number, against documents that have a vector."""
     corpus = table(spark, sf, "embeddings")
     queries = sim.centroids(corpus, "label")
-    docs = table(spark, sf, "documents").select(F.col("doc_id").alias("vec_id"), "text")
+    docs = spread(table(spark, sf, "documents").select(F.col("doc_id").alias("vec_id"), "text"), "vec_id")
     asked = table(spark, sf, "benchmark").select(F.col("item_id").alias("query_id"), "text").join(
         corpus.select(F.col("label").cast("long").alias("query_id")).distinct(), "query_id", "left_semi"
     )

@@ -9,6 +9,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..session import settle
 from .features import idf, n_rows, with_grams
 
 TOP_K = 10
@@ -159,7 +160,8 @@ def keyword_scores(
 
     grams = with_grams(docs.select(key, text), text)
     once = grams.select(key, F.explode_outer(F.array_distinct("grams")).alias("term"))
-    present = once.join(sized(terms.select("term").distinct()), "term", "left_semi")
+    # Matches are few next to the texts; written once, they serve both uses below.
+    present = settle(once.join(sized(terms.select("term").distinct()), "term", "left_semi"), "matches")
     frequency = present.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     total = n_rows(docs, key)
     weighted = terms.join(frequency, "term", "left").withColumn(
