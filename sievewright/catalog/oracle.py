@@ -456,6 +456,11 @@ def oracle_sql() -> dict[str, str]:
           raw AS (SELECT candidate_id, term, counts.tf AS tf, counts.tf * idf AS raw FROM counts JOIN vocab USING (term))
           SELECT candidate_id, term, tf,
             round(raw / sqrt(sum(raw * raw) OVER (PARTITION BY candidate_id)), 6) AS weight FROM raw""",
+        "ml_features": f"""WITH {CAND}, {GRAMS},
+          raw AS (SELECT candidate_id, counts.tf * idf AS raw FROM counts JOIN vocab USING (term)),
+          v AS (SELECT candidate_id, count(*) AS n_terms, max(raw) / sqrt(sum(raw * raw)) AS w FROM raw GROUP BY 1)
+          SELECT candidate_id, coalesce(n_terms, 0) AS n_terms, round(coalesce(w, 0.0), 6) AS top_weight
+          FROM cand LEFT JOIN v USING (candidate_id)""",
         "split_stratified": f"WITH {CAND}, {LABELLED}, {SPLIT} SELECT candidate_id, verdict_clean, is_test FROM split",
         "split_plain": """SELECT doc_id AS candidate_id, row_number() OVER (ORDER BY md5('42:' || doc_id), doc_id)
           <= floor(0.2 * count(*) OVER () + 0.5) AS is_test FROM documents""",

@@ -5,14 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import numpy as np
+from pyspark.ml import PipelineModel
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions import labels as lab, parse, scores as sc, templates as tpl, text as tx
 from ..operators import compare, dedup, evaluate as ev, features as ft, inference as inf, merge, scoring
 from ..operators import similarity as sim, split as sp, weights as wt
-from ..operators.model import FitSettings
+from ..operators.model import FitSettings, feature_stages
 from ..plans import evaluation as flow, prediction, training
 from ..session import new_path, spread
 from ..sources import tables
@@ -426,6 +427,19 @@ def _training(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def ml_features(spark: SparkSession, sf: str) -> DataFrame:
+    """The model's feature vectors: terms per candidate and their weights."""
+    df = _texts(spark, sf)
+    vocab = ft.vocabulary(df, KEY, "text").collect()  # at most 5,000 rows
+    stages = feature_stages([r["term"] for r in vocab], [r["idf"] for r in vocab])
+    values = vector_to_array("features")
+    return PipelineModel(stages=stages).transform(df).select(
+        KEY,
+        F.size(F.filter(values, lambda x: x > 0)).cast("bigint").alias("n_terms"),
+        F.round(F.array_max(values), 6).alias("top_weight"),
+    )
+
+
 def fit_predict_tfidf_lr(spark: SparkSession, sf: str) -> DataFrame:
     prepared = _training(spark, sf)
     model = training.train(prepared, FitSettings()).model
@@ -662,7 +676,7 @@ QUERIES: dict[str, Query] = {
         class_weights_train, tokens, stop_filtered, bigrams, vocabulary, tfidf_relational, split_stratified,
         split_plain, split_sequential, softmax_argmax, threshold_verdict, confidence_summary, low_confidence,
         review_queue, confusion_matrix, classification_report, accuracy, weighted_log_loss, ensemble_avg,
-        model_agreement, cv_folds, label_drift, fit_predict_tfidf_lr, train_output, score_batched, embed_text,
+        model_agreement, cv_folds, label_drift, ml_features, fit_predict_tfidf_lr, train_output, score_batched, embed_text,
         kmeans5, render_prompt, guard_missing, error_propagate, parse_decision, parse_justification,
         parse_json_eval, api_errors, wave_map, wave_cache, prompt_multiplicity, eval_flow, profile_flow,
         manual_review_flow, knn_topk, knn_vote, hybrid_topk, upsert_latest,

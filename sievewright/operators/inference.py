@@ -45,14 +45,13 @@ class ResponseCache:
     SCHEMA = "prompt_hash string, response string, model string"
 
     def read(self, spark: SparkSession, model: str) -> DataFrame:
-        """One answer per prompt; two runs may have stored the same prompt."""
+        """Stored ``(prompt_hash, response)`` of one model, as written; two runs may
+        have stored the same prompt."""
         try:
             table = spark.read.schema(self.SCHEMA).parquet(self.path)
         except AnalysisException:
             table = spark.createDataFrame([], self.SCHEMA)
-        return (
-            table.where(F.col("model") == model).groupBy("prompt_hash").agg(F.min("response").alias("response"))
-        )
+        return table.where(F.col("model") == model).select("prompt_hash", "response")
 
     def append(self, answers: DataFrame, model: str) -> None:
         answers.select("prompt_hash", "response", F.lit(model).alias("model")).write.mode("append").partitionBy(
@@ -126,27 +125,32 @@ def run_wave(
     """
     spark = requests.sparkSession
     asked = settle(distinct_prompts(requests, prompt), "prompts")
-    todo = asked
+    n_asked, total, largest = asked.agg(F.count(F.lit(1)), F.sum("n"), F.max("n")).head()
+    todo, n_todo, kept = asked, n_asked, None
     if cache is not None:
         stored = cache.read(spark, model)
-        todo = asked.join(stored, "prompt_hash", "left_anti")
-        todo = settle(todo, "queue")
-    n_todo = todo.count()
+        # The stored answers in use are fixed here, before this wave adds to the folder.
+        kept = settle(
+            stored.join(asked.select("prompt_hash"), "prompt_hash", "left_semi")
+            .groupBy("prompt_hash")
+            .agg(F.min("response").alias("response")),
+            "cached",
+        )
+        todo = settle(asked.join(kept, "prompt_hash", "left_anti"), "queue")
+        n_todo = todo.count()
     tasks = max(1, -(-n_todo // calls_per_task), min(n_todo, spark.sparkContext.defaultParallelism))
     answers = settle(call_service(todo.repartition(tasks, "prompt_hash"), client, model, threads), "answers")
     known = answers.select("prompt_hash", "response")
     if cache is not None:
-        # Earlier answers are fixed before this wave's are added to the same folder.
-        kept = settle(stored.join(asked.select("prompt_hash"), "prompt_hash", "left_semi"), "cached")
         cache.append(answers.where(~F.col("failed")), model)
         known = known.unionByName(kept)
 
-    total = asked.agg(F.sum("n")).head()[0] or 0
-    hot = hot_keys(asked, "prompt_hash", "n", total, rows_per_salt)
     keyed = requests.select(key, prompt_hash(F.col(prompt)).alias("prompt_hash"))
-    joined = salted_left_join(
-        keyed.where(F.col("prompt_hash").isNotNull()), known, "prompt_hash", hot, spread_by=key
-    )
-    silent = keyed.where(F.col("prompt_hash").isNull()).withColumn("response", F.lit(None).cast("string"))
-    out = joined.unionByName(silent).select(key, F.col("response").alias(response))
-    return settle(out, "wave")
+    if (largest or 0) <= rows_per_salt:
+        out = keyed.join(known, "prompt_hash", "left")
+    else:
+        hot = hot_keys(asked, "prompt_hash", "n", total, rows_per_salt)
+        out = salted_left_join(keyed.where(F.col("prompt_hash").isNotNull()), known, "prompt_hash", hot, key)
+        silent = keyed.where(F.col("prompt_hash").isNull())
+        out = out.unionByName(silent.withColumn("response", F.lit(None).cast("string")))
+    return settle(out.select(key, F.col("response").alias(response)), "wave")

@@ -14,22 +14,25 @@ from .features import idf, n_rows, with_grams
 
 TOP_K = 10
 DECIMALS = 9
-# Query values one pass may carry to the tasks (64 MB of doubles).
-BLOCK_VALUES = 8_000_000
+# Query values one pass may carry to the tasks (16 MB of doubles).
+BLOCK_VALUES = 2_000_000
+# Similarities a task holds at a time (32 MB of doubles).
+CHUNK_VALUES = 4_000_000
 # Query terms that may be sent to every task.
 BROADCAST_TERMS = 200_000
 
 
-def _top_of_block(ids: np.ndarray, sims: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """The k best of one query's block: similarity down, then id up."""
-    if len(sims) > k:
-        edge = np.partition(sims, len(sims) - k)[len(sims) - k]
-        keep = sims >= edge
-        ids, sims = ids[keep], sims[keep]
+def _top(ids: np.ndarray, sims: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The k best: similarity down, then id up."""
     order = np.lexsort((ids, -sims))[:k]
     return ids[order], sims[order]
 
 
+def _unit(m: np.ndarray) -> np.ndarray:
+    norms = np.linalg.norm(m, axis=1, keepdims=True)
+    return np.divide(m, norms, out=np.zeros_like(m), where=norms > 0)
+
+
 def cosine_topk(
     queries: DataFrame,
     corpus: DataFrame,
@@ -48,6 +51,7 @@ def cosine_topk(
     Vectors of length zero have no direction and score 0.
     """
     spark = corpus.sparkSession
+    queries = settle(queries.select(query_id, vector), "queries")
     size = queries.agg(F.count(F.lit(1)), F.max(F.size(vector))).head()
     n_queries, width = size[0], size[1] or 1
     blocks = max(1, math.ceil(n_queries * width / block_values))
@@ -66,26 +70,28 @@ def cosine_topk(
 
 
 def _search_block(spark, corpus, rows, k, query_id, vec_id, vector) -> DataFrame:
-    qid = np.array([r[0] for r in rows], dtype=np.int64)
-    q = np.array([r[1] for r in rows], dtype=np.float64)
-    norms = np.linalg.norm(q, axis=1, keepdims=True)
-    shared = spark.sparkContext.broadcast((qid, np.divide(q, norms, out=np.zeros_like(q), where=norms > 0)))
+    numbers = np.array([r[0] for r in rows], dtype=np.int64)
+    shared = spark.sparkContext.broadcast((numbers, _unit(np.array([r[1] for r in rows], dtype=np.float64))))
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         qid, q = shared.value
         best = [(np.empty(0, dtype=np.int64), np.empty(0)) for _ in qid]
+        last = np.full(len(qid), -np.inf)  # similarity a new row must reach
+        step = max(1, CHUNK_VALUES // len(qid))
         for pdf in batches:
-            if not len(pdf):
-                continue
-            ids = pdf[vec_id].to_numpy(dtype=np.int64)
-            c = np.array(pdf[vector].tolist(), dtype=np.float64)
-            norms = np.linalg.norm(c, axis=1, keepdims=True)
-            c = np.divide(c, norms, out=np.zeros_like(c), where=norms > 0)
-            sims = np.round(q @ c.T, DECIMALS)
-            for i, (old_ids, old_sims) in enumerate(best):
-                best[i] = _top_of_block(
-                    np.concatenate([old_ids, ids]), np.concatenate([old_sims, sims[i]]), k
-                )
+            all_ids = pdf[vec_id].to_numpy(dtype=np.int64)
+            for at in range(0, len(pdf), step):
+                ids = all_ids[at : at + step]
+                c = _unit(np.array(pdf[vector].iloc[at : at + step].tolist(), dtype=np.float64))
+                sims = np.round(q @ c.T, DECIMALS)
+                reach = sims >= last[:, None]
+                for i in np.flatnonzero(reach.any(axis=1)):
+                    new = reach[i]
+                    best[i] = _top(
+                        np.concatenate([best[i][0], ids[new]]), np.concatenate([best[i][1], sims[i, new]]), k
+                    )
+                    if len(best[i][1]) == k:
+                        last[i] = best[i][1][-1]
         for i, (ids, sims) in enumerate(best):
             if len(ids):
                 yield pd.DataFrame({query_id: qid[i], vec_id: ids, "similarity": sims})

@@ -102,10 +102,11 @@ def test_sequential_split(spark, n):
     assert sorted(r["k"] for r in out.where("not is_test").collect()) == keys[: int(n * 0.8)]
 
 
-def test_kth_smallest_with_a_wide_bracket(spark):
-    df = spark.range(1000).withColumnRenamed("id", "k")
+@pytest.mark.parametrize("max_ordered", [1, 30, 5000])
+def test_kth_smallest_narrows_the_bracket(spark, max_ordered):
+    df = spark.range(1000).select((F.col("id") * F.col("id")).alias("k"))
     for k in (1, 2, 499, 1000):
-        assert sp.kth_smallest(df, "k", k, 1000, accuracy=20) == k - 1
+        assert sp.kth_smallest(df, "k", k, 1000, 20, max_ordered) == (k - 1) ** 2
 
 
 def test_split_modes(spark):
