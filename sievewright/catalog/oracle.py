@@ -388,6 +388,18 @@ def _hybrid() -> str:
   SELECT query_id, vec_id, round(score, 6) AS score, rank FROM hr WHERE rank <= 10"""
 
 
+def _lettered() -> str:
+    def count(letter: str) -> str:
+        return f"(length(t) - length(replace(t, '{letter}', '')))"
+
+    soft = "exp(l{i} - {top}) / (exp(l0 - {top}) + exp(l1 - {top}) + exp(l2 - {top})) AS p{i}"
+    ps = ", ".join(soft.format(i=i, top=top("l")) for i in range(3))
+    return f"""{CAND}, texts AS (SELECT candidate_id, verdict, {COMBINED} AS t FROM cand),
+  logits AS (SELECT candidate_id, verdict, {count('a')} / 100.0 AS l0, {count('e')} / 200.0 AS l1,
+    {count('o')} / 100.0 AS l2 FROM texts),
+  probs AS (SELECT candidate_id, verdict, {ps} FROM logits)"""
+
+
 def oracle_sql() -> dict[str, str]:
     c = f"WITH {CAND} SELECT candidate_id, "
     json_ok = "event_id % 10 <> 0"
@@ -514,6 +526,15 @@ def oracle_sql() -> dict[str, str]:
         "cv_folds": "SELECT doc_id AS candidate_id, CAST('0x' || left(md5('42:' || doc_id), 7) AS BIGINT) % 5 AS fold FROM documents",
         "label_drift": _drift(),
         "score_batched": _linear(),
+        "predict_scorer_flow": f"""WITH {_lettered()} SELECT candidate_id,
+          CASE WHEN {blank('verdict')} THEN {best_label('p')} ELSE verdict END AS verdict,
+          CASE WHEN {blank('verdict')} THEN round({top('p')}, 6) END AS confidence,
+          CASE WHEN {blank('verdict')} THEN {top('p')} < {REVIEW_BELOW} END AS needs_review FROM probs""",
+        "predict_all_flow": f"""WITH {_lettered()} SELECT {best_label('p')} AS verdict, count(*) AS n,
+          round(avg({top('p')}), 6) AS mean_confidence FROM probs GROUP BY 1""",
+        "row_count": "SELECT count(*) AS n_seen, count(*) AS n_landed FROM documents",
+        "column_defaults": c + """company, 'Not Provided' AS email,
+          coalesce(CAST(duration AS VARCHAR), 'Not Available') AS duration FROM cand""",
         "embed_text": f"""WITH {CAND}, x AS (SELECT candidate_id, {COMBINED} AS t FROM cand) SELECT candidate_id,
           length(t) AS n_chars, length(t) - length(replace(t, 'e', '')) AS n_e,
           length(t) - length(replace(t, 'n', '')) AS n_n, length(t) - length(replace(t, ' ', '')) AS n_blank FROM x""",

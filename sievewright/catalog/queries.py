@@ -13,8 +13,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from ..functions import labels as lab, parse, scores as sc, templates as tpl, text as tx
 from ..operators import compare, dedup, evaluate as ev, features as ft, inference as inf, merge, scoring
 from ..operators import similarity as sim, split as sp, weights as wt
-from ..operators.model import FitSettings, feature_stages
+from ..operators.model import FitSettings, feature_stages, load_model, save_model
 from ..plans import evaluation as flow, prediction, training
+from ..schema import column_or
 from ..session import new_path, spread
 from ..sources import tables
 from ..sources.candidates import candidates, table
@@ -428,12 +429,15 @@ def _training(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def ml_features(spark: SparkSession, sf: str) -> DataFrame:
-    """The model's feature vectors: terms per candidate and their weights."""
+    """The feature vectors of the saved and loaded stages: terms per candidate and
+    their weights."""
     df = _texts(spark, sf)
     vocab = ft.vocabulary(df, KEY, "text").collect()  # at most 5,000 rows
     stages = feature_stages([r["term"] for r in vocab], [r["idf"] for r in vocab])
+    path = new_path(spark, "model")
+    save_model(PipelineModel(stages=stages), path)
     values = vector_to_array("features")
-    return PipelineModel(stages=stages).transform(df).select(
+    return load_model(spark, path).transform(df).select(
         KEY,
         F.size(F.filter(values, lambda x: x > 0)).cast("bigint").alias("n_terms"),
         F.round(F.array_max(values), 6).alias("top_weight"),
@@ -490,6 +494,47 @@ def embed_text(spark: SparkSession, sf: str) -> DataFrame:
     return out.select(KEY, *[F.get(e, F.lit(i)).cast("bigint").alias(x) for i, x in enumerate(names)])
 
 
+def _load_by_letters():
+    """Logits from letter counts, a stand-in for a text model."""
+
+    def model(texts):
+        return np.array([[t.count("a"), t.count("e") / 2.0, t.count("o")] for t in texts], dtype=np.float64) / 100.0
+
+    return model
+
+
+def predict_scorer_flow(spark: SparkSession, sf: str) -> DataFrame:
+    """The prediction flow with an injected model: only empty verdicts change."""
+    df = candidates(spark, sf, "job_desc", "resume_text", "verdict")
+    out = prediction.predict_with_scorer(df, _load_by_letters, confidence_threshold=REVIEW_BELOW)
+    return out.select(KEY, "verdict", F.round("confidence", 6).alias("confidence"), "needs_review")
+
+
+def predict_all_flow(spark: SparkSession, sf: str) -> DataFrame:
+    """Without a verdict column every row is scored and the column is added."""
+    df = candidates(spark, sf, "job_desc", "resume_text")
+    out = prediction.predict_with_scorer(df, _load_by_letters)
+    return out.groupBy("verdict").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("confidence"), 6).alias("mean_confidence"))
+
+
+def row_count(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows seen while the candidates are landed as Parquet, and rows read back."""
+    df, seen = tables.counted(candidates(spark, sf, "company", "verdict"))
+    landed = tables.land(df, new_path(spark, "landed"))
+    return landed.agg(F.lit(seen.get["n_rows"]).cast("bigint").alias("n_seen"), F.count(F.lit(1)).alias("n_landed"))
+
+
+def column_defaults(spark: SparkSession, sf: str) -> DataFrame:
+    """A present, an absent and a null column in prompt slots."""
+    df = candidates(spark, sf, "company", "duration")
+    return df.select(
+        KEY,
+        column_or(df, "company", tpl.NOT_PROVIDED).alias("company"),
+        column_or(df, "email", tpl.NOT_PROVIDED).alias("email"),
+        tpl.metric_slot(F.col("duration")).alias("duration"),
+    )
+
+
 def kmeans5(spark: SparkSession, sf: str) -> DataFrame:
     df = table(spark, sf, "embeddings").select(
         "vec_id", array_to_vector(F.col("embedding").cast("array<double>")).alias("features")
@@ -677,7 +722,7 @@ QUERIES: dict[str, Query] = {
         split_plain, split_sequential, softmax_argmax, threshold_verdict, confidence_summary, low_confidence,
         review_queue, confusion_matrix, classification_report, accuracy, weighted_log_loss, ensemble_avg,
         model_agreement, cv_folds, label_drift, ml_features, fit_predict_tfidf_lr, train_output, score_batched, embed_text,
-        kmeans5, render_prompt, guard_missing, error_propagate, parse_decision, parse_justification,
+        kmeans5, predict_scorer_flow, predict_all_flow, row_count, column_defaults, render_prompt, guard_missing, error_propagate, parse_decision, parse_justification,
         parse_json_eval, api_errors, wave_map, wave_cache, prompt_multiplicity, eval_flow, profile_flow,
         manual_review_flow, knn_topk, knn_vote, hybrid_topk, upsert_latest,
     )
