@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..session import settle
-from .features import idf, n_rows, with_grams
+from .features import exploded, idf, n_rows, with_grams
 
 TOP_K = 10
 DECIMALS = 9
@@ -143,10 +143,7 @@ def vote(
 def query_terms(asked: DataFrame, text: str = "text", query_id: str = "query_id") -> DataFrame:
     """Distinct grams of each query text: ``(query_id, term)``."""
     grams = with_grams(asked.select(query_id, text), text)
-    return (
-        grams.select(query_id, F.explode_outer(F.array_distinct("grams")).alias("term"))
-        .where(F.col("term").isNotNull())
-    )
+    return exploded(grams.withColumn("grams", F.array_distinct("grams")), query_id)
 
 
 def keyword_scores(
@@ -165,7 +162,7 @@ def keyword_scores(
         return F.broadcast(df) if small else df
 
     grams = with_grams(docs.select(key, text), text)
-    once = grams.select(key, F.explode_outer(F.array_distinct("grams")).alias("term"))
+    once = exploded(grams.withColumn("grams", F.array_distinct("grams")), key)
     # Matches are few next to the texts; written once, they serve both uses below.
     present = settle(once.join(sized(terms.select("term").distinct()), "term", "left_semi"), "matches")
     frequency = present.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
