@@ -16,6 +16,7 @@ tables write no block. Extra columns are ignored.
 from __future__ import annotations
 
 import os
+import string
 import zlib
 
 import numpy as np
@@ -30,6 +31,8 @@ BLOCKS = (
     "ranked binary, control binary, data binary"
 )
 
+#: Marks that never join letters before them in one token; an apostrophe may.
+MARKS = string.punctuation.replace("'", "")
 #: For each control byte the sizes of its four ranks.
 SIZES = 1 + ((np.arange(256)[:, None] >> np.array([0, 2, 4, 6])) & 3)
 
@@ -38,36 +41,40 @@ def pack(ranks: np.ndarray) -> tuple[bytes, bytes]:
     """Control and data bytes of ranks below 2^32."""
     ranks = ranks.astype(np.uint32)
     n = len(ranks)
-    extra = (ranks > 0xFF).astype(np.uint8) + (ranks > 0xFFFF) + (ranks > 0xFFFFFF)
+    extra = (ranks > 0xFF).astype(np.uint8)
+    for most in (0xFFFF, 0xFFFFFF):
+        if n and ranks.max() > most:
+            extra += ranks > most
     codes = np.zeros(-(-n // 4) * 4, np.uint8)
     codes[:n] = extra
-    control = (codes.reshape(-1, 4) << np.array([0, 2, 4, 6], np.uint8)).sum(1).astype(np.uint8)
-    raw = ranks.astype("<u4").view(np.uint8).reshape(n, 4)
-    return control.tobytes(), raw[np.arange(4) <= extra[:, None]].tobytes()
+    control = codes[0::4] | codes[1::4] << 2 | codes[2::4] << 4 | codes[3::4] << 6
+    width = int(extra.max(initial=0)) + 1
+    raw = ranks.astype("<u4").view(np.uint8).reshape(n, 4)[:, :width]
+    return control.tobytes(), raw[np.arange(width) <= extra[:, None]].tobytes()
 
 
 def unpack(control: bytes, data: bytes, n: int) -> np.ndarray:
     """The ranks that :func:`pack` stored."""
     sizes = SIZES[np.frombuffer(control, np.uint8)].ravel()[:n]
-    ends = np.cumsum(sizes)
-    at = ends - sizes
+    at = np.cumsum(sizes) - sizes
     raw = np.frombuffer(data, np.uint8)
-    out = np.zeros(n, np.uint32)
-    for k in range(4):
+    out = raw[at].astype(np.uint32)
+    for k in range(1, int(sizes.max(initial=1))):
         more = np.flatnonzero(sizes > k)
         out[more] |= raw[at[more] + k].astype(np.uint32) << np.uint32(8 * k)
     return out
 
 
 class WordTokenizer:
-    """A tokenizers file whose white space separates independent words.
+    """A tokenizers file that lowers case and ends every word with its own last token.
 
-    Every distinct word is encoded once by the library and kept in a bounded cache. Only
-    blanks and line ends separate words here; other white space stays inside a word and
-    is left to the library.
+    Words stand between white space and are independent of one another. The library
+    encodes every distinct word once, many words to a call, and a bounded cache keeps the
+    ids. Only blanks and line ends separate words here; other white space stays inside a
+    word and is left to the library.
     """
 
-    def __init__(self, path: str, end_id: int = 2, cache_limit: int = 1_000_000):
+    def __init__(self, path: str, end_id: int = 2, cache_limit: int = 1_500_000):
         with open(path, encoding="utf-8") as f:
             self.json = f.read()
         self.end_id, self.cache_limit = end_id, cache_limit
@@ -76,28 +83,75 @@ class WordTokenizer:
     def __getstate__(self):
         return self.__dict__ | {"_library": None, "_cache": {}}
 
+    def _load(self) -> None:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self._library = Tokenizer.from_str(self.json)
+        vocabulary = self._library.get_vocab()
+        self._ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self._ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+
+    def _library_ids(self, words: list[str]) -> list[bytes]:
+        coded = self._library.encode_batch_fast(words, add_special_tokens=False)
+        return [np.array(e.ids, "<u4").tobytes() for e in coded]
+
+    def _together(self, words: list[str]) -> list[bytes]:
+        """Ids of words of letters alone, which the library sees as one text: each then
+        is one run up to a token that ends a word. If the runs don't number the words, as
+        where lowering a letter yields a mark, the words are encoded one by one."""
+        ids = np.array(self._library.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, "<u4")
+        ends = np.flatnonzero(self._ends[ids]) + 1
+        if len(ends) != len(words) or ends[-1] != len(ids):
+            return self._library_ids(words)
+        raw, edges = ids.tobytes(), [0, *(4 * ends).tolist()]
+        return [raw[a:b] for a, b in zip(edges, edges[1:])]
+
+    def _learn(self, words: set[str]) -> None:
+        cache = self._cache
+        # A word of letters, perhaps before marks, is coded as its parts are.
+        stems, others, derived, bases, tails = set(), [], [], [], []
+        for w in words:
+            stem = w.rstrip(MARKS)
+            base = stem.lower()
+            if not base.isalpha():
+                others.append(w)
+                continue
+            stems.add(base)
+            if base != w:
+                derived.append(w)
+                bases.append(base)
+                tails.append(w[len(stem) :])
+        fresh = list(stems.difference(cache))
+        for start in range(0, len(fresh), 1_000):
+            part = fresh[start : start + 1_000]
+            cache.update(zip(part, self._together(part)))
+        others += set(tails).difference(cache, others)
+        for start in range(0, len(others), 10_000):
+            part = others[start : start + 10_000]
+            cache.update(zip(part, self._library_ids(part)))
+        cache.update((w, cache[b] + cache[t] if t else cache[b]) for w, b, t in zip(derived, bases, tails))
+
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """ids of each text with the end id, as 32-bit integers."""
         if self._library is None:
-            os.environ["TOKENIZERS_PARALLELISM"] = "false"
-            from tokenizers import Tokenizer
-
-            self._library = Tokenizer.from_str(self.json)
+            self._load()
         end = np.uint32(self.end_id).tobytes()
-        out = []
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        unseen = set().union(*split).difference(self._cache)
-        if len(self._cache) + len(unseen) > self.cache_limit:
+        sizes, words = [0], []
+        for t in texts:
+            words += t.replace("\n", " ").split(" ")
+            sizes.append(len(words))
+        found = list(map(self._cache.get, words))
+        holes = [i for i, f in enumerate(found) if f is None]
+        missing = {words[i] for i in holes}
+        if len(self._cache) + 2 * len(missing) > self.cache_limit:
             self._cache.clear()
-            unseen = set().union(*split)
-        words = list(unseen)
-        for start in range(0, len(words), 20_000):
-            part = words[start : start + 20_000]
-            for w, e in zip(part, self._library.encode_batch_fast(part, add_special_tokens=False)):
-                self._cache[w] = np.array(e.ids, "<u4").tobytes()
-        for words in split:
-            out.append(np.frombuffer(b"".join(map(self._cache.__getitem__, words)) + end, "<u4"))
-        return out
+            missing, holes = set(words), range(len(words))
+        if missing:
+            self._learn(missing)
+            for i in holes:
+                found[i] = self._cache[words[i]]
+        return [np.frombuffer(b"".join(found[a:b]) + end, "<u4") for a, b in zip(sizes, sizes[1:])]
 
 
 def broadcast_tokenizer(spark: SparkSession, path: str, end_id: int = 2) -> Shared:
@@ -120,14 +174,14 @@ def write_tokens(
 
         def finish():
             ids = np.concatenate(held)
-            found, place, n = np.unique(ids, return_inverse=True, return_counts=True)
-            order = np.lexsort((found, -n))
-            rank = np.empty(len(order), np.uint32)
-            rank[order] = np.arange(len(order), dtype=np.uint32)
-            control, data = pack(rank[place])
+            times = np.bincount(ids)
+            ranked = np.argsort(-times, kind="stable")[: np.count_nonzero(times)].astype("<u4")
+            rank = np.empty(len(times), np.uint32)
+            rank[ranked] = np.arange(len(ranked), dtype=np.uint32)
+            control, data = pack(rank[ids])
             return {
                 "part": [part], "block": [block], "start_in_part": [start], "n_ids": [len(ids)], "doc_ids": [doc_ids],
-                "counts": [[len(x) for x in held]], "ranked": [found[order].astype("<u4").tobytes()],
+                "counts": [[len(x) for x in held]], "ranked": [ranked.tobytes()],
                 "control": [control], "data": [data],
             }
 
