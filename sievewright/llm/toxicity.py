@@ -44,9 +44,12 @@ def grams(word: str) -> list[str]:
 
 
 def gram_counts(docs: DataFrame, labels: DataFrame, label: str) -> DataFrame:
-    """Counts by class of all runs of five characters in the labelled rows."""
+    """Counts by class of all runs of five characters in the labelled rows.
+
+    Labels grow with the documents, so they are never broadcast, at any size.
+    """
     known = source_columns(labels, id="doc_id", label=label).where(F.col("label").isNotNull() & learnable(F.col("id")))
-    rows = source_columns(docs, id="doc_id", text="text").join(known, "id").select("text", (F.col("label") > 0).alias("toxic"))
+    rows = source_columns(docs, id="doc_id", text="text").join(known.hint("merge"), "id").select("text", (F.col("label") > 0).alias("toxic"))
 
     def task(batches):
         held = (Counter(), Counter())
