@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import new_path
-from . import bpe, chat, html_text, quality, token_files, toxicity
+from . import ann, bpe, chat, html_text, quality, set_join, token_files, toxicity
 from .common import table
 
 
@@ -15,6 +15,11 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_rp_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return ann.search(vectors, vectors.where(F.col("vec_id") % 20 == 0), k=20)
+
+
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocab = bpe.broadcast_vocabulary(spark, tokenizer_path("byte_bpe_multi_50k.tiktoken"))
     return bpe.round_trip(table(spark, sf_dir, "documents"), vocab)
@@ -53,16 +58,22 @@ def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("n_chars", F.length("text").cast("long"))
 
 
+def op9_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return set_join.near_copies(table(spark, sf_dir, "documents"))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _with_fold(toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")), 0.5)
 
 
 QUERIES = {
+    "op1_rp_forest": op1_rp_forest,
     "op2_chat_format": op2_chat_format,
     "op3_byte_bpe": op3_byte_bpe,
     "op5_token_files": op5_token_files,
     "op7_quality": op7_quality,
     "op8_html_text": op8_html_text,
+    "op9_chosen_path": op9_chosen_path,
     "op10_toxicity": op10_toxicity,
 }
 
