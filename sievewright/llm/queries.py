@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import new_path
-from . import ann, bpe, chat, html_text, quality, set_join, token_files, toxicity
+from . import ann, bpe, chat, html_text, passages, quality, set_join, token_files, toxicity
 from .common import table
 
 
@@ -25,6 +25,10 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), vocab)
 
 
+def op4_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.repeated(table(spark, sf_dir, "documents"))
+
+
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "token-files")
     tokenizer = token_files.broadcast_tokenizer(spark, tokenizer_path("word_bpe_49k.json"))
@@ -70,6 +74,7 @@ QUERIES = {
     "op1_rp_forest": op1_rp_forest,
     "op2_chat_format": op2_chat_format,
     "op3_byte_bpe": op3_byte_bpe,
+    "op4_passages": op4_passages,
     "op5_token_files": op5_token_files,
     "op7_quality": op7_quality,
     "op8_html_text": op8_html_text,
