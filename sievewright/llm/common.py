@@ -135,3 +135,8 @@ def source_columns(df: DataFrame, **names: str) -> DataFrame:
     """Keep only the needed columns, under fixed working names, so that nothing else in
     the caller's table can clash."""
     return df.select(*[F.col(f"`{source}`").alias(name) for name, source in names.items()])
+
+
+def ddl(df: DataFrame) -> str:
+    """The columns of a table as text, for an operator that passes all of them on."""
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)

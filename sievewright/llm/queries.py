@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import new_path
-from . import ann, bpe, chat, html_text, passages, quality, set_join, token_files, toxicity
+from . import ann, bpe, chat, decontaminate, html_text, passages, quality, set_join, token_files, toxicity
 from .common import table
 
 
@@ -43,6 +43,10 @@ def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.chat_digest(chat.format_chats(rows.union(extra)))
 
 
+def op6_latent_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def _with_fold(scored: DataFrame, threshold: float) -> DataFrame:
     return scored.select(
         "doc_id",
@@ -67,7 +71,8 @@ def op9_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _with_fold(toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")), 0.5)
+    scored = toxicity.score(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"))
+    return _with_fold(scored.withColumnRenamed("__score", "score"), 0.5)
 
 
 QUERIES = {
@@ -76,6 +81,7 @@ QUERIES = {
     "op3_byte_bpe": op3_byte_bpe,
     "op4_passages": op4_passages,
     "op5_token_files": op5_token_files,
+    "op6_latent_leaks": op6_latent_leaks,
     "op7_quality": op7_quality,
     "op8_html_text": op8_html_text,
     "op9_chosen_path": op9_chosen_path,

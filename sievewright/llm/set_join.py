@@ -330,3 +330,10 @@ def _intersections(sets: list[np.ndarray], a: np.ndarray, b: np.ndarray, look: n
         left, right = (np.array([np.isin(part, sets[i], assume_unique=True) for i in side], np.float32) for side in (a, b))
         out += left @ right.T
     return out
+
+
+def one_per_class(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The documents with the smallest id of each class; rows that repeat id and text
+    become one. Rows with a null id belong to no class and stay."""
+    gone = found.where(F.col(id_col) != F.col("class_id")).select(id_col).distinct()
+    return docs.join(gone, id_col, "left_anti").dropDuplicates([id_col, text_col]).select(*docs.columns)

@@ -25,7 +25,7 @@ import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import settle
-from .common import Shared, map_batches, map_slices, slices, source_columns
+from .common import Shared, ddl, map_batches, map_slices, slices, source_columns
 from .quality import labelled_sample, learnable
 
 ORDER = 5
@@ -197,27 +197,31 @@ def calibrate(x: np.ndarray, y: np.ndarray, rounds: int = 50) -> np.ndarray:
 
 
 def score(docs: DataFrame, labels: DataFrame, label: str = "toxic", calibration_rows: int = CALIBRATION_ROWS) -> DataFrame:
-    """doc_id, ``score`` and the two ratios of every document, learned from ``labels``."""
-    spark = docs.sparkSession
-    shared = Shared(spark, fit(docs, labels, label))
-    kind = docs.schema["doc_id"].dataType.simpleString()
+    """All columns of the documents with ``__score``, and ``__mean`` and ``__peak``, the
+    two ratios it comes from, as learned from ``labels``."""
+    shared = Shared(docs.sparkSession, fit(docs, labels, label))
+
+    def ratios(df: DataFrame) -> DataFrame:
+        cache: dict[str, float] = {}
 
-    def ratios(cache):
         def work(batch, texts):
             found = describe(shared.value, texts, cache)
-            return {n: batch.column(n) for n in batch.schema.names if n != "text"} | {"mean": found[:, 0], "peak": found[:, 1]}
+            return {n: batch.column(n) for n in batch.schema.names} | {"__mean": found[:, 0], "__peak": found[:, 1]}
 
-        return work
+        return map_slices(df, "text", f"{ddl(df)}, __mean double, __peak double", work)
 
-    sample = labelled_sample(docs, labels, label, calibration_rows).select((F.col("label") > 0).cast("double").alias("y"), "text")
-    known = map_slices(sample, "text", "y double, mean double, peak double", ratios({})).toPandas()
+    sample = labelled_sample(docs, labels, label, calibration_rows).select("text", (F.col("label") > 0).cast("double").alias("y"))
+    known = ratios(sample).select("y", "__mean", "__peak").toPandas()  # about calibration_rows at most
     y = known["y"].to_numpy()
     if 0 < y.sum() < len(y):
-        w = calibrate(known[["mean", "peak"]].to_numpy(), y)
+        w = calibrate(known[["__mean", "__peak"]].to_numpy(), y)
+        total = F.col("__mean") * float(w[0]) + F.col("__peak") * float(w[1]) + F.lit(float(w[2]))
+        scored = F.lit(1.0) / (F.lit(1.0) + F.exp(-total))
     else:
-        w = np.array([0.0, 0.0, -np.inf])
-    found = map_slices(
-        source_columns(docs, doc_id="doc_id", text="text"), "text", f"doc_id {kind}, mean double, peak double", ratios({})
-    )
-    total = F.col("mean") * float(w[0]) + F.col("peak") * float(w[1]) + F.lit(float(w[2]))
-    return found.withColumn("score", F.lit(1.0) / (F.lit(1.0) + F.exp(-total)))
+        scored = F.lit(0.0)
+    return ratios(docs).withColumn("__score", scored)
+
+
+def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
+    """The documents that score below the threshold, as they came."""
+    return score(docs, labels).where(F.col("__score") < threshold).select(*docs.columns)
