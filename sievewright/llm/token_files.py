@@ -18,6 +18,7 @@ from __future__ import annotations
 import os
 import string
 import zlib
+from array import array
 
 import numpy as np
 from pyspark import TaskContext
@@ -74,7 +75,7 @@ class WordTokenizer:
     word and is left to the library.
     """
 
-    def __init__(self, path: str, end_id: int = 2, cache_limit: int = 1_500_000):
+    def __init__(self, path: str, end_id: int = 2, cache_limit: int = 900_000):
         with open(path, encoding="utf-8") as f:
             self.json = f.read()
         self.end_id, self.cache_limit = end_id, cache_limit
@@ -88,23 +89,25 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self._library = Tokenizer.from_str(self.json)
+        self._model = self._library.model
         vocabulary = self._library.get_vocab()
+        self._kind = np.dtype("<u2" if max(vocabulary.values()) < 1 << 16 else "<u4")
         self._ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self._ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
 
     def _library_ids(self, words: list[str]) -> list[bytes]:
         coded = self._library.encode_batch_fast(words, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in coded]
+        return [np.array(e.ids, self._kind).tobytes() for e in coded]
 
     def _together(self, words: list[str]) -> list[bytes]:
         """Ids of words of letters alone, which the library sees as one text: each then
         is one run up to a token that ends a word. If the runs don't number the words, as
         where lowering a letter yields a mark, the words are encoded one by one."""
-        ids = np.array(self._library.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, "<u4")
+        ids = np.array(self._library.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, self._kind)
         ends = np.flatnonzero(self._ends[ids]) + 1
         if len(ends) != len(words) or ends[-1] != len(ids):
             return self._library_ids(words)
-        raw, edges = ids.tobytes(), [0, *(4 * ends).tolist()]
+        raw, edges = ids.tobytes(), [0, *(self._kind.itemsize * ends).tolist()]
         return [raw[a:b] for a, b in zip(edges, edges[1:])]
 
     def _learn(self, words: set[str]) -> None:
@@ -122,7 +125,12 @@ class WordTokenizer:
                 derived.append(w)
                 bases.append(base)
                 tails.append(w[len(stem) :])
-        fresh = list(stems.difference(cache))
+        fresh = stems.difference(cache)
+        # Small letters of ASCII are their own bytes, so the library's model takes them as they are.
+        code, split = self._kind.char, self._model.tokenize
+        for w in [w for w in fresh if w.isascii()]:
+            cache[w] = array(code, [x.id for x in split(w)]).tobytes()
+        fresh = [w for w in fresh if not w.isascii()]
         for start in range(0, len(fresh), 1_000):
             part = fresh[start : start + 1_000]
             cache.update(zip(part, self._together(part)))
@@ -133,25 +141,24 @@ class WordTokenizer:
         cache.update((w, cache[b] + cache[t] if t else cache[b]) for w, b, t in zip(derived, bases, tails))
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """ids of each text with the end id, as 32-bit integers."""
+        """ids of each text with the end id, in as few bytes as the vocabulary needs."""
         if self._library is None:
             self._load()
-        end = np.uint32(self.end_id).tobytes()
+        end = np.array([self.end_id], self._kind).tobytes()
         sizes, words = [0], []
         for t in texts:
             words += t.replace("\n", " ").split(" ")
             sizes.append(len(words))
         found = list(map(self._cache.get, words))
         holes = [i for i, f in enumerate(found) if f is None]
-        missing = {words[i] for i in holes}
-        if len(self._cache) + 2 * len(missing) > self.cache_limit:
-            self._cache.clear()
-            missing, holes = set(words), range(len(words))
-        if missing:
+        if holes:
+            missing = {words[i] for i in holes}
+            if len(self._cache) + 2 * len(missing) > self.cache_limit:
+                self._cache = {w: f for w, f in zip(words, found) if f is not None}
             self._learn(missing)
             for i in holes:
                 found[i] = self._cache[words[i]]
-        return [np.frombuffer(b"".join(found[a:b]) + end, "<u4") for a, b in zip(sizes, sizes[1:])]
+        return [np.frombuffer(b"".join(found[a:b]) + end, self._kind) for a, b in zip(sizes, sizes[1:])]
 
 
 def broadcast_tokenizer(spark: SparkSession, path: str, end_id: int = 2) -> Shared:
