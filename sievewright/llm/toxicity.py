@@ -31,7 +31,7 @@ from .quality import labelled_sample, learnable
 ORDER = 5
 DISCOUNT = 0.75
 RUN_WORDS = 8
-TOP_BITS, LOW_BITS = 20, 18
+TOP_BITS, CONTEXT_BITS, LOW_BITS = 20, 18, 16
 CALIBRATION_ROWS = 20_000
 WORD = re.compile(r"\w+")
 START, END = "\x02", "\x03"
@@ -101,11 +101,12 @@ class KneserNey:
         if n == 0:
             return 1.0 / 2_000
         lower = self.shared(gram[1:])
-        context = self.place(gram[:-1], LOW_BITS)
+        bits = LOW_BITS if n < 3 else CONTEXT_BITS
+        context = self.place(gram[:-1], bits)
         total = float(self.den[n][context])
         if not total:
             return lower
-        own = float(self.num[n][self.place(gram, LOW_BITS)])
+        own = float(self.num[n][self.place(gram, bits)])
         return (max(own - DISCOUNT, 0) + DISCOUNT * float(self.kinds[n][context]) * lower) / total
 
     def ratio(self, gram: str) -> float:
@@ -115,7 +116,7 @@ class KneserNey:
             if len(self.cache) > 2_000_000:
                 self.cache.clear()
             lower = self.shared(gram[1:])
-            at, context = self.place(gram, TOP_BITS), self.place(gram[:-1], TOP_BITS)
+            at, context = self.place(gram, TOP_BITS), self.place(gram[:-1], CONTEXT_BITS)
             p = []
             for c in ("toxic", "ordinary"):
                 total = float(self.den[c][context])
@@ -132,11 +133,11 @@ class KneserNey:
 def _table(df: DataFrame, key: str, bits: int, **sums) -> dict[str, np.ndarray]:
     """Sums by hashed key as arrays of 2^bits: what reaches the driver is bounded by that."""
     place = F.xxhash64(key).bitwiseAND(F.lit((1 << bits) - 1)).alias("at")
-    rows = df.groupBy(place).agg(*[c.cast("double").alias(n) for n, c in sums.items()]).toPandas()
+    rows = df.groupBy(place).agg(*[c.cast("double").alias(n) for n, c in sums.items()]).toArrow()
     out = {}
     for n in sums:
         out[n] = np.zeros(1 << bits, np.float32)
-        out[n][rows["at"].to_numpy(np.int64)] = rows[n].to_numpy(np.float32)
+        out[n][rows["at"].to_numpy()] = rows[n].to_numpy()
     return out
 
 
@@ -146,7 +147,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> KneserNey:
     context = top.withColumn("context", F.expr(f"substring(gram, 1, {ORDER - 1})"))
     num = _table(top, "gram", TOP_BITS, toxic=F.sum("toxic"), ordinary=F.sum("ordinary"))
     den = _table(
-        context, "context", TOP_BITS, toxic=F.sum("toxic"), ordinary=F.sum("ordinary"),
+        context, "context", CONTEXT_BITS, toxic=F.sum("toxic"), ordinary=F.sum("ordinary"),
         toxic_kinds=F.sum((F.col("toxic") > 0).cast("int")), ordinary_kinds=F.sum((F.col("ordinary") > 0).cast("int")),
     )
     for c in ("toxic", "ordinary"):
@@ -155,9 +156,10 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> KneserNey:
     for n in range(ORDER - 1, 0, -1):
         # One row per distinct longer run: its tail gains one distinct character to the left.
         here = longer.groupBy(F.expr("substring(gram, 2)").alias("gram")).agg(F.count("*").alias("left"))
-        model.num[n] = _table(here, "gram", LOW_BITS, x=F.sum("left"))["x"]
+        bits = LOW_BITS if n < 3 else CONTEXT_BITS
+        model.num[n] = _table(here, "gram", bits, x=F.sum("left"))["x"]
         after = here.withColumn("context", F.expr(f"substring(gram, 1, {n - 1})"))
-        both = _table(after, "context", LOW_BITS, total=F.sum("left"), kinds=F.count("*"))
+        both = _table(after, "context", bits, total=F.sum("left"), kinds=F.count("*"))
         model.den[n], model.kinds[n] = both["total"], both["kinds"]
         longer = here.select("gram")
     return model
@@ -211,10 +213,10 @@ def score(docs: DataFrame, labels: DataFrame, label: str = "toxic", calibration_
         return map_slices(df, "text", f"{ddl(df)}, __mean double, __peak double", work)
 
     sample = labelled_sample(docs, labels, label, calibration_rows).select("text", (F.col("label") > 0).cast("double").alias("y"))
-    known = ratios(sample).select("y", "__mean", "__peak").toPandas()  # about calibration_rows at most
+    known = ratios(sample).select("y", "__mean", "__peak").toArrow()  # about calibration_rows at most
     y = known["y"].to_numpy()
     if 0 < y.sum() < len(y):
-        w = calibrate(known[["__mean", "__peak"]].to_numpy(), y)
+        w = calibrate(np.column_stack([known["__mean"].to_numpy(), known["__peak"].to_numpy()]), y)
         total = F.col("__mean") * float(w[0]) + F.col("__peak") * float(w[1]) + F.lit(float(w[2]))
         scored = F.lit(1.0) / (F.lit(1.0) + F.exp(-total))
     else:
