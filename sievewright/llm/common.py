@@ -11,6 +11,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
+from xxhash import xxh3_64_digest
 
 CHARS_PER_SLICE = 2_000_000
 
@@ -79,19 +80,16 @@ def map_slices(
     return map_batches(df, schema, lambda batches: (work(batch, texts) for batch, texts in slices(batches, text)))
 
 
-def word_hashes(words: list[str], cache: dict[str, int], limit: int = 1_000_000) -> np.ndarray:
-    """A 64-bit hash for each word; ``cache`` holds at most ``limit`` of them."""
-    from xxhash import xxh3_64_intdigest
-
+def word_hashes(words: list[str], cache: dict[str, bytes], limit: int = 1_000_000) -> np.ndarray:
+    """A 64-bit hash for each word; ``cache`` holds at most about ``limit`` of them."""
     if len(cache) > limit:
         cache.clear()
-    out = [cache.get(w) for w in words]
-    if None in out:
-        for i, h in enumerate(out):
-            if h is None:
-                w = words[i]
-                out[i] = cache[w] = xxh3_64_intdigest(w)
-    return np.array(out, dtype=np.uint64)
+    found = list(map(cache.get, words))
+    if None in found:
+        for i in [i for i, h in enumerate(found) if h is None]:
+            w = words[i]
+            found[i] = cache[w] = xxh3_64_digest(w)
+    return np.frombuffer(b"".join(found), np.uint64)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -103,6 +101,35 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
+#: Which code points separate words, as ``str.split`` sees it; none lies beyond U+3000.
+SPACES = np.array([chr(i).isspace() for i in range(0x3001)] + [False])
+
+
+def hashed_words(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """A 64-bit hash of every word of the texts, in order, and the words of each text.
+
+    Words are ``text.lower().split()``; a hash adds up mixed (character, place) pairs, so
+    whole slices are hashed at once without a Python object for a word.
+    """
+    lowered = [t.lower() for t in texts]
+    points = np.frombuffer("\n".join(lowered).encode("utf-32-le", "surrogatepass"), np.uint32)
+    at = np.flatnonzero(~SPACES[np.minimum(points, 0x3001)])
+    if not len(at):
+        return np.empty(0, np.uint64), np.zeros(len(texts), np.int64)
+    begins = np.flatnonzero(np.diff(at, prepend=-2) != 1)
+    sizes = np.diff(np.append(begins, len(at)))
+    place = (np.arange(len(at)) - np.repeat(begins, sizes)).astype(np.uint64)
+    hashes = mix(np.add.reduceat(mix(points[at] | (place << np.uint64(32))), begins))
+    starts = np.cumsum([0, *(len(t) + 1 for t in lowered[:-1])])
+    owner = np.searchsorted(starts, at[begins], "right") - 1
+    return hashes, np.bincount(owner, minlength=len(texts))
+
+
+def words_by_text(texts: list[str]) -> list[np.ndarray]:
+    hashes, sizes = hashed_words(texts)
+    return np.split(hashes, np.cumsum(sizes)[:-1]) if len(texts) else []
+
+
 def shingle_hashes(h: np.ndarray, k: int) -> np.ndarray:
     """The hash of every run of ``k`` words, in text order; shorter inputs give none."""
     n = len(h) - k + 1

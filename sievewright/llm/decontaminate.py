@@ -25,7 +25,7 @@ import numpy as np
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-from .common import Shared, map_batches, map_slices, mix, slices, source_columns, word_hashes
+from .common import Shared, hashed_words, map_batches, map_slices, mix, slices, source_columns, words_by_text
 
 BITS = 15
 PASSAGE = 64
@@ -58,21 +58,18 @@ def fit(docs: DataFrame) -> np.ndarray:
 
     Every task adds up one sketch; sketches are added by row, so the driver gets one.
     """
-    cache: dict[str, int] = {}
     width = 1 << BITS
 
     def sketched(batches):
         sums = np.zeros((SKETCH + 1) * width, np.int64)
         n = 0
         for _, texts in slices(batches, "text"):
-            split = [t.lower().split() for t in texts]
-            sizes = np.array([len(w) for w in split])
+            hashes, sizes = hashed_words(texts)
             n += int((sizes > 0).sum())
-            hashes = word_hashes([w for ws in split for w in ws], cache)
             if not len(hashes):
                 continue
             at = features(hashes)
-            doc = np.repeat(np.arange(len(split)), sizes)
+            doc = np.repeat(np.arange(len(sizes)), sizes)
             first = np.repeat(np.cumsum(sizes) - sizes, sizes)
             place = np.arange(len(at)) - first
             begins = np.flatnonzero(place % PASSAGE == 0)
@@ -101,21 +98,26 @@ def fit(docs: DataFrame) -> np.ndarray:
                 held = sums.setdefault(row, [np.zeros(width, np.int64), 0])
                 held[0] += own
                 held[1] += n
-        yield {"row": list(sums), "sums": [s[0].astype("<i8").tobytes() for s in sums.values()], "n": [s[1] for s in sums.values()]}
+        yield {"row": list(sums), "sums": [s[0].astype("<f4").tobytes() for s in sums.values()], "n": [s[1] for s in sums.values()]}
 
     schema = "row int, sums binary, n long"
     parts = map_batches(source_columns(docs, text="text"), schema, sketched)
     whole = map_batches(parts.repartition("row"), schema, added).collect()  # SKETCH + 1 rows of fixed size
-    sketch, seen, total = np.zeros((SKETCH, width)), np.zeros(width), 0
+    sketch, seen, total = np.zeros((SKETCH, width), np.float32), np.zeros(width), 0
     for r in whole:
         if r.row == SKETCH:
-            seen, total = np.frombuffer(r.sums, "<i8").astype(float), r.n
+            seen, total = np.frombuffer(r.sums, "<f4").astype(float), r.n
         else:
-            sketch[r.row] = np.frombuffer(r.sums, "<i8")
+            sketch[r.row] = np.frombuffer(r.sums, "<f4")
     # Words in more than a twentieth of the documents weigh nothing, rarer ones by their rarity.
     weight = np.maximum(np.log(max(MOST_DOCS * total, LEAST_DOCS) / (1 + seen)), 0)
-    _, _, right = np.linalg.svd(sketch * weight, full_matrices=False)
-    return (right[:LATENT] * weight).T.astype(np.float32)
+    sketch *= weight.astype(np.float32)
+    # The right singular vectors, from the small Gram matrix of the sketch's rows.
+    power, left = np.linalg.eigh(sketch.astype(np.float64) @ sketch.T.astype(np.float64))
+    kept = np.argsort(-power)[:LATENT]
+    kept = kept[power[kept] > 1e-9 * max(power.max(initial=0), 1e-9)]
+    right = (left[:, kept].T / np.sqrt(power[kept])[:, None]).astype(np.float32) @ sketch
+    return np.ascontiguousarray((right * weight.astype(np.float32)).T)
 
 
 class Items:
@@ -124,10 +126,8 @@ class Items:
     def __init__(self, rows: list[tuple], projection: np.ndarray):
         self.projection = np.vstack([projection, np.zeros((1, projection.shape[1]), np.float32)])
         self.names, self.words, self.masks, self.answers = [], [], [], []
-        cache: dict[str, int] = {}
         for name, text, answer in rows:
-            words = word_hashes(text.lower().split(), cache)
-            tail = word_hashes((answer or last_sentence(text)).lower().split(), cache)
+            words, tail = words_by_text([text, answer or last_sentence(text)])
             pieces = -(-len(words) // (CLASSES[-1] * 3 // 2)) if len(words) else 0
             for piece in np.array_split(words, pieces) if pieces else []:
                 self.names.append(name)
@@ -252,13 +252,10 @@ def leaks(
         mine = questions.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == block)
         rows = [(r.item, r.text, r.answer) for r in mine.orderBy("item", "text").collect()]  # about ITEMS_PER_BLOCK
         shared = Shared(spark, Items(rows, projection))
-        cache: dict[str, int] = {}
 
-        def work(batch, own_texts, shared=shared, cache=cache):
+        def work(batch, own_texts, shared=shared):
             items = shared.value
-            split = [t.lower().split() for t in own_texts]
-            sizes = np.array([len(w) for w in split])
-            hashes = word_hashes([w for ws in split for w in ws], cache)
+            hashes, sizes = hashed_words(own_texts)
             columns = {n: [] for n in ("row", "item_id", "cosine", "overlap", "answered", "first_word", "last_word")}
             if len(hashes) and items.names:
                 near: dict[int, list] = {}

@@ -82,7 +82,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, bound: int)
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", fit_rows: int = FIT_ROWS, shards: int = 4, passes: int = 3) -> np.ndarray:
     """The weights. What reaches the driver is ``shards`` states of fixed size a pass."""
     spark = docs.sparkSession
-    cache: dict[str, int] = {}
+    cache: dict[str, bytes] = {}
 
     def work(batch, texts):
         return {
@@ -123,7 +123,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", fit_rows: in
 def score(docs: DataFrame, weights: np.ndarray) -> DataFrame:
     """doc_id and ``score`` of every document."""
     shared = Shared(docs.sparkSession, weights.astype(np.float32))
-    cache: dict[str, int] = {}
+    cache: dict[str, bytes] = {}
 
     def work(batch, texts):
         w = shared.value

@@ -29,7 +29,7 @@ import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import settle
-from .common import map_batches, map_slices, mix, shingle_hashes, source_columns, word_hashes
+from .common import map_batches, map_slices, mix, shingle_hashes, source_columns, words_by_text
 from .components import connected
 
 SHINGLE = 5
@@ -42,13 +42,9 @@ BLOCK = 512
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
-def shingles(text: str, cache: dict[str, int], k: int = SHINGLE) -> np.ndarray:
-    """The distinct hashed word runs of a text, sorted."""
-    words = text.lower().split()
-    if not words:
-        return np.empty(0, np.uint64)
-    h = word_hashes(words, cache)
-    return np.unique(shingle_hashes(h, min(k, len(h))))
+def shingles(words: np.ndarray, k: int = SHINGLE) -> np.ndarray:
+    """The distinct hashed runs of a text's hashed words, sorted."""
+    return np.unique(shingle_hashes(words, min(k, len(words)))) if len(words) else words
 
 
 def set_key(own: np.ndarray) -> bytes:
@@ -99,10 +95,9 @@ def near_copies(
     repetitions = repetitions_for(similarity, recall)
     texts = source_columns(docs, id=id_col, text=text_col)
     kind = texts.schema["id"].dataType.simpleString()
-    cache: dict[str, int] = {}
 
     def drawn(batch, own_texts):
-        sets = [shingles(t, cache) for t in own_texts]
+        sets = [shingles(w) for w in words_by_text(own_texts)]
         full = [i for i, s in enumerate(sets) if len(s)]
         key, sketch, path = [None] * len(sets), [None] * len(sets), [None] * len(sets)
         if full:
@@ -266,15 +261,14 @@ def _placed(rows: DataFrame) -> DataFrame:
 def _verified(texts: DataFrame, flagged: DataFrame, repetitions: int, similarity: float) -> DataFrame:
     """(key, links, root) from exact comparison; ``root`` is a set of the same class."""
     floor = sketch_floor(similarity)
-    cache: dict[str, int] = {}
     carried = ["leaf", "low", "high", "own", "r", "key", "sketch", "leaves"]
 
     def with_sets(batch, own_texts):
         sets, memo = [], {}
-        for t, key in zip(own_texts, batch.column("key").to_pylist()):
+        for words, key in zip(words_by_text(own_texts), batch.column("key").to_pylist()):
             own = memo.get(key)
-            if own is None:
-                own = memo[key] = shingles(t, cache)
+            if own is None or set_key(own) != key:
+                own = memo[key] = shingles(words)
             # Rows that repeat an id may hold another text: only that of the key counts.
             sets.append(own.tobytes() if set_key(own) == key else None)
         return {c: batch.column(c) for c in carried} | {"items": sets}
