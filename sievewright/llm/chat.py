@@ -4,9 +4,9 @@ A conversation's turns, in order of turn, role and text, are rendered by a templ
 result is parsed again by a deterministic parser and compared with the source. Rendering
 starts without escapes; where the parsed turns differ, or a control string stands inside
 a turn, the conversation is rendered again with its control strings escaped, and at last
-with every character escaped that could begin one. Escaping puts a backslash before the
-second character of a control string (before the character itself, at the last level) and
-doubles backslashes, so it can always be undone.
+with its texts in base64, for templates whose marks run into the ends of texts. Escaping
+puts a backslash before the second character of a control string and doubles backslashes,
+so it can always be undone.
 
 Null roles and texts are empty. Rows with a null conversation id form one conversation.
 Repeated rows are repeated turns. Empty tables give no conversation. Extra columns are
@@ -21,6 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 LEVELS = 3
+WHOLE = "\\b"  # begins a text that is coded as a whole
 
 
 @dataclass(frozen=True)
@@ -37,16 +38,16 @@ class ChatTemplate:
     def escape(self, x: Column, level: int) -> Column:
         if level == 0:
             return x
+        if level > 1:
+            return F.concat(F.lit(WHOLE), F.base64(F.encode(x, "UTF-8")))
         x = F.replace(x, F.lit("\\"), F.lit("\\\\"))
-        if level == 1:
-            for c in self.controls:
-                x = F.replace(x, F.lit(c), F.lit(f"{c[0]}\\{c[1:]}"))
-            return x
-        firsts = "".join(re.escape(c) for c in sorted({c[0] for c in self.controls}))
-        return F.regexp_replace(x, f"([{firsts}])", r"\\$1")
+        for c in self.controls:
+            x = F.replace(x, F.lit(c), F.lit(f"{c[0]}\\{c[1:]}"))
+        return x
 
     def unescape(self, x: Column) -> Column:
-        return F.regexp_replace(x, r"(?s)\\(.)", "$1")
+        whole = F.decode(F.try_to_binary(F.substring(x, F.lit(len(WHOLE) + 1), F.length(x)), F.lit("base64")), "UTF-8")
+        return F.when(F.startswith(x, F.lit(WHOLE)), whole).otherwise(F.regexp_replace(x, r"(?s)\\(.)", "$1"))
 
     def render(self, turns: Column, level: int) -> Column:
         def one(t: Column) -> Column:

@@ -34,7 +34,7 @@ from .components import connected
 
 SHINGLE = 5
 SIMILARITY = 0.8
-RECALL = 0.98
+RECALL = 0.999
 TOKENS = 64
 DEPTH = 4
 SMALL = 64

@@ -10,8 +10,8 @@ by its highest length-normalised ratio in a run of words, and a small logistic
 regression, fitted on a bounded sample, turns the two into a score.
 
 Counts cover every labelled row that may be learned from, and are added up by Spark.
-Scoring holds them in tables of fixed size, by hash. Null texts are empty; texts without
-words have a ratio of 0. Null labels aren't learned from. With no label of one class,
+Scoring holds them in tables of fixed size, by hash. Null texts are empty; a text without
+words scores 0, as nothing speaks against it. Null labels aren't learned from. With no label of one class,
 every score is 0. Repeated rows count, and are scored, each time. Extra columns are
 ignored.
 """
@@ -166,8 +166,9 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> KneserNey:
 
 
 def describe(model: KneserNey, texts: list[str], cache: dict[str, float]) -> np.ndarray:
-    """For each text the mean ratio per word, and the highest mean over a run of words."""
-    out = np.zeros((len(texts), 2))
+    """For each text the mean ratio per word, and the highest mean over a run of words; NaN
+    for a text without words."""
+    out = np.full((len(texts), 2), np.nan)
     if len(cache) > 1_000_000:
         cache.clear()
     for i, t in enumerate(texts):
@@ -184,18 +185,29 @@ def describe(model: KneserNey, texts: list[str], cache: dict[str, float]) -> np.
     return out
 
 
-def calibrate(x: np.ndarray, y: np.ndarray, rounds: int = 50) -> np.ndarray:
-    """Weights and bias of a small ridge logistic regression, by Newton's method."""
-    a = np.column_stack([x, np.ones(len(x))])
+def calibrate(x: np.ndarray, y: np.ndarray, rounds: int = 60, ridge: float = 0.1) -> np.ndarray:
+    """Weights and bias of a small ridge logistic regression, by damped Newton steps on
+    standardised columns, so that classes that don't overlap do no harm."""
+    middle, spread = x.mean(0), np.maximum(x.std(0), 1e-9)
+    a = np.column_stack([(x - middle) / spread, np.ones(len(x))])
+    keep = np.array([ridge] * x.shape[1] + [1e-6])
+
+    def loss(w):
+        return np.logaddexp(0, np.where(y > 0, -1, 1) * (a @ w)).sum() + (keep * w * w).sum() / 2
+
     w = np.zeros(a.shape[1])
-    ridge = np.array([1e-3] * x.shape[1] + [1e-6])
     for _ in range(rounds):
-        p = 1 / (1 + np.exp(-np.clip(a @ w, -30, 30)))
-        step = np.linalg.solve((a * (p * (1 - p))[:, None]).T @ a + np.diag(ridge + 1e-9), a.T @ (p - y) + ridge * w)
-        w = w - np.clip(step, -5, 5)
-        if np.abs(step).max() < 1e-6:
+        p = 1 / (1 + np.exp(-np.clip(a @ w, -35, 35)))
+        slope = a.T @ (p - y) + keep * w
+        step = np.linalg.solve((a * (p * (1 - p))[:, None]).T @ a + np.diag(keep), slope)
+        size = 1.0
+        while size > 1e-6 and loss(w - size * step) > loss(w):
+            size /= 2
+        w = w - size * step
+        if np.abs(size * step).max() < 1e-6:
             break
-    return w
+    own = w[:-1] / spread
+    return np.append(own, w[-1] - own @ middle)
 
 
 def score(docs: DataFrame, labels: DataFrame, label: str = "toxic", calibration_rows: int = CALIBRATION_ROWS) -> DataFrame:
@@ -213,12 +225,12 @@ def score(docs: DataFrame, labels: DataFrame, label: str = "toxic", calibration_
         return map_slices(df, "text", f"{ddl(df)}, __mean double, __peak double", work)
 
     sample = labelled_sample(docs, labels, label, calibration_rows).select("text", (F.col("label") > 0).cast("double").alias("y"))
-    known = ratios(sample).select("y", "__mean", "__peak").toArrow()  # about calibration_rows at most
+    known = ratios(sample).select("y", "__mean", "__peak").where(~F.isnan("__mean")).toArrow()  # about calibration_rows at most
     y = known["y"].to_numpy()
     if 0 < y.sum() < len(y):
         w = calibrate(np.column_stack([known["__mean"].to_numpy(), known["__peak"].to_numpy()]), y)
         total = F.col("__mean") * float(w[0]) + F.col("__peak") * float(w[1]) + F.lit(float(w[2]))
-        scored = F.lit(1.0) / (F.lit(1.0) + F.exp(-total))
+        scored = F.nanvl(F.lit(1.0) / (F.lit(1.0) + F.exp(-total)), F.lit(0.0))
     else:
         scored = F.lit(0.0)
     return ratios(docs).withColumn("__score", scored)
