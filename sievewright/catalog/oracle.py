@@ -77,7 +77,7 @@ def profile_link(x: str) -> str:
 
 
 def first_name(x: str) -> str:
-    return f"CASE WHEN coalesce({x}, '') = '' THEN 'Candidate' ELSE split_part({x}, ' ', 1) END"
+    return f"CASE WHEN coalesce({x}, '') IN ('', 'Not Provided') THEN 'Candidate' ELSE split_part({x}, ' ', 1) END"
 
 
 def clean_profile(x: str) -> str:
@@ -382,8 +382,9 @@ def _hybrid() -> str:
   mass AS (SELECT query_id, sum(idf) AS mass FROM qw GROUP BY query_id),
   kw AS (SELECT vec_id, qw.query_id, sum(idf) / max(mass) AS keyword FROM dt JOIN qw USING (term)
     JOIN mass ON mass.query_id = qw.query_id GROUP BY 1, 2),
-  mixed AS (SELECT sims.query_id, sims.vec_id, round(0.3 * coalesce(keyword, 0) + 0.7 * s, 9) AS score
-    FROM sims LEFT JOIN kw ON kw.query_id = sims.query_id AND kw.vec_id = sims.vec_id),
+  mixed AS (SELECT coalesce(sims.query_id, kw.query_id) AS query_id, coalesce(sims.vec_id, kw.vec_id) AS vec_id,
+    round(0.3 * coalesce(keyword, 0) + 0.7 * coalesce(s, 0), 9) AS score
+    FROM sims FULL JOIN kw ON kw.query_id = sims.query_id AND kw.vec_id = sims.vec_id),
   hr AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM mixed)
   SELECT query_id, vec_id, round(score, 6) AS score, rank FROM hr WHERE rank <= 10"""
 

@@ -91,9 +91,12 @@ def profile_url(c: Column, pattern: str = PROFILE_URL, default: str = NO_PROFILE
     return F.coalesce(F.regexp_substr(c, F.lit(pattern)), F.lit(default))
 
 
+NO_NAME = "Not Provided"
+
+
 def first_name(c: Column, default: str = "Candidate") -> Column:
-    """Text before the first blank; the default for null or empty names."""
-    return F.when(F.coalesce(c, F.lit("")) == "", F.lit(default)).otherwise(F.substring_index(c, " ", 1))
+    """Text before the first blank; the default for null, empty and not provided names."""
+    return F.when(F.coalesce(c, F.lit("")).isin("", NO_NAME), F.lit(default)).otherwise(F.substring_index(c, " ", 1))
 
 
 def hyperlink(label: str, url: Column, missing: str | None = None) -> Column:

@@ -54,21 +54,24 @@ def label_drift(df: DataFrame, period: str, label: str, labels: Sequence[str]) -
     the period before.
 
     Counts per period and label come from one pass with partial aggregation; the
-    windows run over one row per period. A share of zero is held at 1e-6.
+    windows run over one row per period. A share of zero is held at 1e-6. All labels
+    outside the list, and missing ones, share one bucket of their own.
     """
-    counts = [F.count_if(F.col(label) == x).alias(f"c{i}") for i, x in enumerate(labels)]
+    own = F.col(label)
+    counts = [F.count_if(own == x).alias(f"c{i}") for i, x in enumerate(labels)]
+    counts.append(F.count_if(F.coalesce(~own.isin(*labels), F.lit(True))).alias(f"c{len(labels)}"))
     table = df.groupBy(period).agg(F.count(F.lit(1)).alias("n"), *counts)
     shares = table.select(
         period,
         "n",
-        *[F.greatest(F.col(f"c{i}") / F.col("n"), F.lit(1e-6)).alias(f"s{i}") for i in range(len(labels))],
+        *[F.greatest(F.col(f"c{i}") / F.col("n"), F.lit(1e-6)).alias(f"s{i}") for i in range(len(labels) + 1)],
     )
     order = Window.orderBy(period)
     first = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
     def psi(reference) -> Column:
         total = F.lit(0.0)
-        for i in range(len(labels)):
+        for i in range(len(labels) + 1):
             ref = reference(F.col(f"s{i}"))
             total = total + (F.col(f"s{i}") - ref) * F.log(F.col(f"s{i}") / ref)
         return total

@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.labels import LABELS
 
+LEAST_PROBABILITY = 2.2250738585072014e-308  # of normal doubles
+
 
 def confusion_matrix(
     df: DataFrame, truth: str, predicted: str, labels: Sequence[str] = LABELS
@@ -108,8 +110,14 @@ def _line(label: str, values: Sequence[Column]) -> Column:
 
 
 def weighted_log_loss(df: DataFrame, true_probability: Column, weight: Column) -> DataFrame:
-    """Weighted cross-entropy ``sum(-w ln p) / sum(w)``."""
-    loss = F.sum(-weight * F.log(true_probability)) / F.sum(weight)
+    """Weighted cross-entropy ``sum(-w ln p) / sum(w)``.
+
+    A probability that has underflowed to 0 counts as the least positive number, so
+    that the worst rows weigh most; rows without a probability don't count at all.
+    """
+    p = F.greatest(true_probability, F.lit(LEAST_PROBABILITY))
+    known = F.when(true_probability.isNotNull(), weight)
+    loss = F.sum(-known * F.log(p)) / F.sum(known)
     return df.agg(loss.alias("log_loss"), F.count(F.lit(1)).alias("n"))
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.parse import ERROR_MARK
 from ..session import settle
-from .skew import ROWS_PER_SALT, hot_keys, salted_left_join
+from .skew import SALTS, salted_left_join
 
 THREADS = 32
 CALLS_PER_TASK = 2_000
@@ -115,7 +115,7 @@ def run_wave(
     cache: ResponseCache | None = None,
     threads: int = THREADS,
     calls_per_task: int = CALLS_PER_TASK,
-    rows_per_salt: int = ROWS_PER_SALT,
+    salts: int = SALTS,
 ) -> DataFrame:
     """One answer per request, as a written table ``(key, response)``.
 
@@ -125,7 +125,7 @@ def run_wave(
     """
     spark = requests.sparkSession
     asked = settle(distinct_prompts(requests, prompt), "prompts")
-    n_asked, total, largest = asked.agg(F.count(F.lit(1)), F.sum("n"), F.max("n")).head()
+    n_asked = asked.count()
     todo, n_todo, kept = asked, n_asked, None
     if cache is not None:
         stored = cache.read(spark, model)
@@ -146,11 +146,5 @@ def run_wave(
         known = known.unionByName(kept)
 
     keyed = requests.select(key, prompt_hash(F.col(prompt)).alias("prompt_hash"))
-    if (largest or 0) <= rows_per_salt:
-        out = keyed.join(known, "prompt_hash", "left")
-    else:
-        hot = hot_keys(asked, "prompt_hash", "n", total, rows_per_salt)
-        out = salted_left_join(keyed.where(F.col("prompt_hash").isNotNull()), known, "prompt_hash", hot, key)
-        silent = keyed.where(F.col("prompt_hash").isNull())
-        out = out.unionByName(silent.withColumn("response", F.lit(None).cast("string")))
+    out = salted_left_join(keyed, known, "prompt_hash", key, salts)
     return settle(out.select(key, F.col("response").alias(response)), "wave")

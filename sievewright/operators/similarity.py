@@ -204,7 +204,8 @@ def hybrid_topk(
 
     A row without a shared term scores by its vector alone, so only the ``k``
     nearest vectors can be such rows; all others share a term. The two sets
-    together contain the answer, and no full query-by-corpus table is made.
+    together contain the answer. A document or query without a vector scores by its
+    keywords alone.
     """
     keyword = keyword_scores(docs, query_terms(asked, query_id=query_id), vec_id, query_id=query_id)
     near = cosine_topk(queries, corpus, k, query_id, vec_id, vector).select(
@@ -213,8 +214,8 @@ def hybrid_topk(
     vectors = corpus.select(vec_id, F.col(vector).alias("__c"))
     asked_vectors = queries.select(query_id, F.col(vector).alias("__q"))
     matched = (
-        keyword.join(vectors, vec_id)
-        .join(asked_vectors, query_id)
+        keyword.join(vectors, vec_id, "left")
+        .join(asked_vectors, query_id, "left")
         .select(query_id, vec_id, "keyword", cosine(F.col("__q"), F.col("__c")).alias("similarity"))
     )
     both = matched.join(near, [query_id, vec_id], "full_outer").withColumn(

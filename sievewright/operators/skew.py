@@ -4,33 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-MAX_HOT = 1_000
-ROWS_PER_SALT = 200_000
+SALTS = 1_024
 
 
-def hot_keys(
-    counts: DataFrame, on: str, n: str, total: int, rows_per_salt: int = ROWS_PER_SALT, max_hot: int = MAX_HOT
-) -> DataFrame:
-    """Keys worth splitting with the number of parts for each.
+def salted_left_join(left: DataFrame, right: DataFrame, on: str, spread_by: str, salts: int = SALTS) -> DataFrame:
+    """Left join on ``on`` with every key's rows dealt to ``salts`` parts.
 
-    A hot key holds more than ``total / max_hot`` rows, so there are fewer than
-    ``max_hot`` of them however large the table is: safe to broadcast.
+    Left rows are dealt by a hash of ``spread_by``. The parts that really occur, which are
+    counted up in each task first, meet the right side, so a right row is repeated at most
+    once per part and no more often than it has left rows. ``right`` has one row per key.
+    The plan is the same at every size; a null key has no match.
     """
-    floor = max(rows_per_salt, total // max_hot)
-    return counts.where(F.col(n) > F.lit(floor)).select(
-        on, F.ceil(F.col(n) / F.lit(rows_per_salt)).cast("int").alias("__parts")
-    )
-
-
-def salted_left_join(left: DataFrame, right: DataFrame, on: str, hot: DataFrame, spread_by: str) -> DataFrame:
-    """Left join on ``on`` with each hot key cut into parts.
-
-    Left rows of a hot key are dealt to its parts by a hash of ``spread_by``; the
-    matching right row is repeated once per part. ``hot`` comes from
-    :func:`hot_keys`; ``right`` has one row per key.
-    """
-    hot = F.broadcast(hot)
-    parts = F.coalesce(F.col("__parts"), F.lit(1))
-    dealt = left.join(hot, on, "left").withColumn("__salt", F.pmod(F.xxhash64(spread_by), parts).cast("int"))
-    repeated = right.join(hot, on, "left").withColumn("__salt", F.explode(F.sequence(F.lit(0), parts - 1)))
-    return dealt.drop("__parts").join(repeated.drop("__parts"), [on, "__salt"], "left").drop("__salt")
+    dealt = left.withColumn("__salt", F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int"))
+    parts = dealt.where(F.col(on).isNotNull()).select(on, "__salt").distinct().join(right, on)
+    out = dealt.join(parts, [on, "__salt"], "left")
+    return out.select(*left.columns, *[c for c in right.columns if c != on])

@@ -88,8 +88,9 @@ def predict_with_scorer(
 
 
 def _with_rest(scored: DataFrame, ready: DataFrame, mask: Column, df: DataFrame) -> DataFrame:
-    """The scored rows and the untouched ones with null scores."""
-    columns = [*df.columns, *([] if "verdict" in df.columns else ["verdict"])]
+    """The scored rows and the untouched ones with null scores; earlier scores are replaced."""
+    kept = [c for c in df.columns if c not in ("confidence", "needs_review")]
+    columns = [*kept, *([] if "verdict" in kept else ["verdict"])]
     rest = ready.where(~mask).withColumns(
         {
             "confidence": F.lit(None).cast("double"),

@@ -28,7 +28,7 @@ CANDIDATE_SCHEMA = T.StructType(
 TRAIN_REQUIRED = ("job_desc", "resume_text", "verdict")
 PREDICT_REQUIRED = ("job_desc", "resume_text")
 
-TEXT_COL = "text"
+TEXT_COL = "__text"  # reserved, so that a caller's own column of text stays
 CLEAN_COL = "verdict_clean"
 WORKING_COLS = (TEXT_COL, CLEAN_COL)
 

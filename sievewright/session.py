@@ -10,6 +10,8 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+# Folders of local sessions that name none; the setting itself is fixed once a session runs.
+_own_dirs: dict[str, str] = {}
 
 
 def local_session(app: str = "sievewright", cpus: int | str = 8, **conf: str) -> SparkSession:
@@ -47,9 +49,10 @@ def shared_dir(spark: SparkSession) -> str:
         return named
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder that all executors share")
-    own = tempfile.mkdtemp(prefix="run-")
-    spark.conf.set(CHECKPOINT_CONF, own)
-    return own
+    app = spark.sparkContext.applicationId
+    if app not in _own_dirs:
+        _own_dirs[app] = tempfile.mkdtemp(prefix="run-")
+    return _own_dirs[app]
 
 
 def new_path(spark: SparkSession, name: str) -> str:

@@ -7,16 +7,14 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from sievewright.session import CHECKPOINT_CONF, local_session, ship_package  # noqa: E402
+from sievewright.session import local_session, ship_package  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark(tmp_path_factory):
+def spark():
     ship_package()
     session = local_session("tests", 4)
     session.sparkContext.setLogLevel("ERROR")
-    if session.conf.get(CHECKPOINT_CONF, None) is None:
-        session.conf.set(CHECKPOINT_CONF, str(tmp_path_factory.mktemp("shared")))
     yield session
     session.stop()
 

@@ -86,7 +86,7 @@ def test_hot_prompt_is_asked_once_and_split(spark, tmp_path):
     client = LoggingClient(str(tmp_path))
     prompt = F.when(F.col("id") % 2 == 0, "same").otherwise(F.concat(F.lit("p"), F.col("id") % 50))
     df = spark.range(2000).select(F.col("id").alias("candidate_id"), prompt.alias("prompt"))
-    out = answers(inf.run_wave(df, client, "m", rows_per_salt=50, calls_per_task=5))
+    out = answers(inf.run_wave(df, client, "m", calls_per_task=5))
     assert len(out) == 2000
     assert out[0] == "m:same" and out[3] == "m:p3"
     assert len(client.calls()) == 26

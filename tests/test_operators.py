@@ -47,19 +47,12 @@ def test_merges(spark):
 
 
 def test_salted_join_is_a_left_join(spark):
-    left = spark.range(3000).select("id", F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"))
-    right = left.select("k").distinct().where("k <> '1'").withColumn("v", F.concat(F.lit("v"), "k"))
-    counts = left.groupBy("k").agg(F.count("*").alias("n"))
-    hot = skew.hot_keys(counts, "k", "n", 3000, rows_per_salt=100)
-    assert rows(hot, "k") == [("hot", 10)]
-    out = skew.salted_left_join(left, right, "k", hot, "id")
-    want = left.join(right, "k", "left").select("k", "id", "v")
-    assert rows(out.select("k", "id", "v"), "id") == rows(want, "id")
-
-
-def test_hot_keys_are_few(spark):
-    counts = spark.range(5000).select(F.col("id").cast("string").alias("k"), F.lit(10).cast("long").alias("n"))
-    assert skew.hot_keys(counts, "k", "n", 50_000, rows_per_salt=1, max_hot=100).count() == 0
+    left = spark.range(3000).selectExpr("id", "if(id % 3 = 0, 'hot', if(id % 3 = 1, concat('k', id), null)) as k")
+    right = spark.createDataFrame([("hot", 1), ("k1", 2), ("none", 3)], "k string, v int")
+    out = skew.salted_left_join(left, right, "k", "id", salts=16)
+    got = {r.id: r.v for r in out.collect()}
+    assert out.columns == ["id", "k", "v"] and len(got) == 3000 == out.count()
+    assert got == {i: 1 if i % 3 == 0 else 2 if i == 1 else None for i in range(3000)}
 
 
 def test_class_weights(spark):
@@ -102,11 +95,27 @@ def test_sequential_split(spark, n):
     assert sorted(r["k"] for r in out.where("not is_test").collect()) == keys[: int(n * 0.8)]
 
 
-@pytest.mark.parametrize("max_ordered", [1, 30, 5000])
-def test_kth_smallest_narrows_the_bracket(spark, max_ordered):
-    df = spark.range(1000).select((F.col("id") * F.col("id")).alias("k"))
-    for k in (1, 2, 499, 1000):
-        assert sp.kth_smallest(df, "k", k, 1000, 20, max_ordered) == (k - 1) ** 2
+def test_kth_smallest_of_any_ordered_type(spark):
+    df = spark.range(1000).selectExpr("(id * 7919) % 1000 as n").selectExpr("n", "format_string('%04d', n) as t").repartition(7)
+    for k in (1, 2, 500, 999, 1000):
+        assert sp.kth_smallest(df, "n", k) == k - 1
+        assert sp.kth_smallest(df, "t", k) == f"{k - 1:04d}"
+    assert sp.kth_smallest(df, "n", 0) is None and sp.kth_smallest(df, "n", 1001) is None
+    marked = sp.sequential_split(df, "t", 0.8)
+    assert marked.where("is_test").count() == 200 and marked.where("is_test").agg(F.min("t")).head()[0] == "0800"
+
+
+def test_log_loss_of_an_impossible_truth_is_large(spark):
+    df = spark.createDataFrame([(0.0, 1.0), (0.5, 1.0), (None, 1.0)], "p double, w double")
+    loss = ev.weighted_log_loss(df, F.col("p"), F.col("w")).head()["log_loss"]
+    assert 300 < loss < 400
+
+
+def test_drift_sees_labels_outside_the_list(spark):
+    rows = [("a", "x"), ("a", "y"), ("a", "y"), ("b", "x"), ("b", "x"), ("b", "z")]
+    df = spark.createDataFrame(rows, "period string, label string")
+    psi = {r.period: r.psi_baseline for r in compare.label_drift(df, "period", "label", ["x"]).collect()}
+    assert psi["a"] == 0 and psi["b"] > 0.1
 
 
 def test_split_modes(spark):
@@ -226,4 +235,5 @@ def test_schema_helpers(spark):
     full = schema.ensure_columns(short, {"verdict": None, "criteria": "z"})
     assert full.columns == ["job_desc", "criteria", "verdict"] and full.head()["criteria"] == "y"
     assert short.select(schema.column_or(short, "none", "d")).head()[0] == "d"
-    assert schema.drop_working(short.withColumn("text", F.lit(""))).columns == short.columns
+    own = short.withColumn("text", F.lit("kept"))
+    assert schema.drop_working(own.withColumn(schema.TEXT_COL, F.lit(""))).columns == [*short.columns, "text"]
