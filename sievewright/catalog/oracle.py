@@ -137,9 +137,8 @@ cand AS (
   LEFT JOIN part p ON p.p_partkey = d.doc_id
   LEFT JOIN benchmark b ON b.item_id = d.doc_id % (SELECT count(*) FROM benchmark)
   LEFT JOIN labels l ON l.doc_id = d.doc_id
-  LEFT JOIN (SELECT conv_id, arg_max(role || ': ' || text, turn) AS transcript,
-      CAST(sum(length(text)) AS BIGINT) AS duration FROM conversations GROUP BY conv_id) t
-    ON t.conv_id = d.doc_id
+  LEFT JOIN (SELECT page_id, html AS transcript, CAST(length(html) AS BIGINT) AS duration FROM pages) t
+    ON t.page_id = d.doc_id
 )"""
 
 NORM = title(strip("result_llm"))
@@ -229,7 +228,7 @@ def manual(x: str) -> tuple[str, str]:
     failed = f"starts_with({x}, 'Error:')"
     return (
         f"CASE WHEN {failed} THEN 'API Error' ELSE {decision(x, "contains({line}, 'no')")} END",
-        f"CASE WHEN {failed} THEN {strip(f'substr({x}, 7)')} ELSE {justification(x)} END",
+        f"CASE WHEN {failed} THEN substr({x}, {len('Error: Invalid API key - ') + 1}) ELSE {justification(x)} END",
     )
 
 

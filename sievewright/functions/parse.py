@@ -44,15 +44,15 @@ def justification(c: Column) -> Column:
     return F.coalesce(strip(F.regexp_replace(hit, r"(?d)\A[^:]*:", "")), F.lit(NO_JUSTIFICATION))
 
 
-def manual_verdict(c: Column) -> Column:
-    """Decision of a manual-review answer; a failed call is an API Error."""
-    return F.when(c.startswith(ERROR_MARK), API_ERROR).otherwise(decision(c))
+def manual_verdict(c: Column, failure: Column) -> Column:
+    """Decision of a manual-review answer; a call that failed, whose exception text is in
+    ``failure``, is an API Error."""
+    return F.when(failure.isNotNull(), API_ERROR).otherwise(decision(c))
 
 
-def manual_justification(c: Column) -> Column:
-    """Justification of a manual-review answer; a failed call keeps its message."""
-    message = strip(F.substr(c, F.lit(len(ERROR_MARK) + 1)))
-    return F.when(c.startswith(ERROR_MARK), message).otherwise(justification(c))
+def manual_justification(c: Column, failure: Column) -> Column:
+    """Justification of a manual-review answer; a failed call keeps its exception text."""
+    return F.coalesce(failure, justification(c))
 
 
 def is_error(c: Column) -> Column:

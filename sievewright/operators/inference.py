@@ -5,6 +5,7 @@ Lineage must never repeat a billed call: each step of a wave is a written table.
 
 from __future__ import annotations
 
+import warnings
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from typing import Protocol
@@ -13,11 +14,12 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.parse import ERROR_MARK
-from ..session import settle
+from ..session import discard, new_path, settle
 from .skew import SALTS, salted_left_join
 
 THREADS = 32
 CALLS_PER_TASK = 2_000
+CALLS_PER_BATCH = 1_000_000
 
 # Marks of a key or permission failure in an exception text.
 KEY_FAILURE_MARKS = ("api key", "invalid", "401", "403", "permission", "unauthorized")
@@ -49,7 +51,10 @@ class ResponseCache:
         have stored the same prompt."""
         try:
             table = spark.read.schema(self.SCHEMA).parquet(self.path)
-        except AnalysisException:
+        except AnalysisException as exc:
+            # Any other trouble must not look like an empty cache: all would be asked again.
+            if exc.getCondition() != "PATH_NOT_FOUND":
+                raise
             table = spark.createDataFrame([], self.SCHEMA)
         return table.where(F.col("model") == model).select("prompt_hash", "response")
 
@@ -60,18 +65,20 @@ class ResponseCache:
 
 
 def call_service(queue: DataFrame, client: TextClient, model: str, threads: int = THREADS) -> DataFrame:
-    """``(prompt_hash, response, failed)`` for each row of ``(prompt_hash, prompt)``.
+    """``(prompt_hash, response, message)`` for each row of ``(prompt_hash, prompt)``.
 
-    One thread pool per task; a failing call becomes an error text and leaves the
-    others alone. The rate limit is running tasks times ``threads``.
+    One thread pool per task; a failing call becomes an error text, with the exception's own
+    text as ``message``, and leaves the others alone. ``message`` is null for an answer, so
+    an answer that reads like an error stays an answer. The rate limit is running tasks
+    times ``threads``.
     """
 
-    def one(prompt: str) -> tuple[str, bool]:
+    def one(prompt: str) -> tuple[str, str | None]:
         try:
             answer = client.complete(model, prompt)
-            return ("" if answer is None else str(answer).strip(), False)
+            return ("" if answer is None else str(answer).strip(), None)
         except Exception as exc:  # every failure is data here
-            return (error_text(exc), True)
+            return (error_text(exc), str(exc))
 
     def call(batches):
         with ThreadPoolExecutor(max_workers=threads) as pool:
@@ -79,11 +86,11 @@ def call_service(queue: DataFrame, client: TextClient, model: str, threads: int
                 done = list(pool.map(one, pdf["prompt"]))
                 out = pdf[["prompt_hash"]].copy()
                 out["response"] = [text for text, _ in done]
-                out["failed"] = [failed for _, failed in done]
+                out["message"] = [message for _, message in done]
                 yield out
 
     return queue.select("prompt_hash", "prompt").mapInPandas(
-        call, "prompt_hash string, response string, failed boolean"
+        call, "prompt_hash string, response string, message string"
     )
 
 
@@ -116,35 +123,64 @@ def run_wave(
     threads: int = THREADS,
     calls_per_task: int = CALLS_PER_TASK,
     salts: int = SALTS,
+    calls_per_batch: int = CALLS_PER_BATCH,
+    failure: str | None = None,
 ) -> DataFrame:
     """One answer per request, as a written table ``(key, response)``.
 
     Each distinct prompt that the cache does not hold is asked once. Requests with
-    a null prompt get a null answer and no call. A lost executor repeats at most
-    the calls of its unfinished tasks, ``calls_per_task`` each.
+    a null prompt get a null answer and no call. The queue is worked off in batches of
+    about ``calls_per_batch`` calls, and the answers of each enter the cache before the
+    next begins: a wave that is stopped and started again asks only for the rest. A lost
+    executor repeats at most the calls of its unfinished tasks, ``calls_per_task`` each.
+
+    ``failure`` names a third column: the exception text of a failed call, null otherwise.
+    Prompts are written once, in the queue, which goes when the wave is written.
     """
     spark = requests.sparkSession
-    asked = settle(distinct_prompts(requests, prompt), "prompts")
-    n_asked = asked.count()
-    todo, n_todo, kept = asked, n_asked, None
+    if spark.conf.get("spark.speculation", "false") == "true":
+        warnings.warn("spark.speculation is on: a slow task's calls are made twice", stacklevel=2)
+    queue, found = new_path(spark, "queue"), new_path(spark, "answers")
+    todo, kept = distinct_prompts(requests, prompt).drop("n"), None
+    wanted = requests.where(F.col(prompt).isNotNull()).select(prompt_hash(F.col(prompt)).alias("prompt_hash")).distinct()
     if cache is not None:
-        stored = cache.read(spark, model)
         # The stored answers in use are fixed here, before this wave adds to the folder.
         kept = settle(
-            stored.join(asked.select("prompt_hash"), "prompt_hash", "left_semi")
+            cache.read(spark, model)
+            .join(wanted, "prompt_hash", "left_semi")
             .groupBy("prompt_hash")
             .agg(F.min("response").alias("response")),
             "cached",
         )
-        todo = settle(asked.join(kept, "prompt_hash", "left_anti"), "queue")
-        n_todo = todo.count()
-    tasks = max(1, -(-n_todo // calls_per_task), min(n_todo, spark.sparkContext.defaultParallelism))
-    answers = settle(call_service(todo.repartition(tasks, "prompt_hash"), client, model, threads), "answers")
-    known = answers.select("prompt_hash", "response")
-    if cache is not None:
-        cache.append(answers.where(~F.col("failed")), model)
-        known = known.unionByName(kept)
+        todo = todo.join(kept, "prompt_hash", "left_anti")
+        wanted = wanted.join(kept, "prompt_hash", "left_anti")
+    n_todo = wanted.count()
+    batches = max(1, -(-n_todo // calls_per_batch))
+    # A hash decides the batch, so that a batch is one folder of the queue.
+    batch = F.pmod(F.xxhash64("prompt_hash"), F.lit(batches)).cast("int")
+    todo.withColumn("batch", batch).repartition("batch", F.pmod(F.hash("prompt_hash"), F.lit(64))).write.partitionBy(
+        "batch"
+    ).parquet(queue)
+    waiting = spark.read.schema("prompt_hash string, prompt string, batch int").parquet(queue)
+    per_batch = -(-n_todo // batches)
+    tasks = max(1, -(-per_batch // calls_per_task), min(per_batch, spark.sparkContext.defaultParallelism))
+    columns = "prompt_hash string, response string, message string"
+    for b in range(batches):
+        path = f"{found}/batch={b}"
+        part = waiting.where(F.col("batch") == b).repartition(tasks, "prompt_hash")
+        call_service(part, client, model, threads).write.parquet(path)
+        if cache is not None:
+            cache.append(spark.read.schema(columns).parquet(path).where(F.col("message").isNull()), model)
+    known = spark.read.schema(columns).parquet(found).select("prompt_hash", "response", "message")
+    if kept is not None:
+        known = known.unionByName(kept.withColumn("message", F.lit(None).cast("string")))
 
     keyed = requests.select(key, prompt_hash(F.col(prompt)).alias("prompt_hash"))
     out = salted_left_join(keyed, known, "prompt_hash", key, salts)
-    return settle(out.select(key, F.col("response").alias(response)), "wave")
+    wave = settle(
+        out.select(key, F.col("response").alias(response), *([F.col("message").alias(failure)] if failure else [])),
+        "wave",
+    )
+    discard(spark, queue)
+    discard(spark, found)
+    return wave

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import labels as lab, parse, templates as tpl, text as tx
 from ..operators.dedup import dedup_first
-from ..operators.inference import CALLS_PER_TASK, THREADS, ResponseCache, TextClient, run_wave
+from ..operators.inference import CALLS_PER_BATCH, CALLS_PER_TASK, THREADS, ResponseCache, TextClient, run_wave
 from ..operators.merge import scatter, update_merge, write_back
 from ..schema import column_or, ensure_columns, require_columns
 from ..session import settle
@@ -42,8 +42,9 @@ class Service:
     cache: ResponseCache | None = None
     threads: int = THREADS
     calls_per_task: int = CALLS_PER_TASK
+    calls_per_batch: int = CALLS_PER_BATCH
 
-    def wave(self, requests: DataFrame, model: str, response: str) -> DataFrame:
+    def wave(self, requests: DataFrame, model: str, response: str, failure: str | None = None) -> DataFrame:
         return run_wave(
             requests,
             self.client,
@@ -53,6 +54,8 @@ class Service:
             cache=self.cache,
             threads=self.threads,
             calls_per_task=self.calls_per_task,
+            calls_per_batch=self.calls_per_batch,
+            failure=failure,
         )
 
 
@@ -182,13 +185,13 @@ def detailed_profiles(chosen: DataFrame, service: Service, templates: Templates)
 def manual_review(rows: DataFrame, service: Service, templates: Templates) -> DataFrame:
     """``manual_verdict, justification`` for the given rows."""
     answers = service.wave(
-        rows.select(KEY, manual_prompt(rows, templates.manual).alias("prompt")), service.judge, "answer"
+        rows.select(KEY, manual_prompt(rows, templates.manual).alias("prompt")), service.judge, "answer", "failure"
     )
-    a = F.col("answer")
+    a, failure = F.col("answer"), F.col("failure")
     return answers.select(
         KEY,
-        parse.manual_verdict(a).alias("manual_verdict"),
-        parse.manual_justification(a).alias("justification"),
+        parse.manual_verdict(a, failure).alias("manual_verdict"),
+        parse.manual_justification(a, failure).alias("justification"),
     )
 
 

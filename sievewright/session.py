@@ -72,17 +72,10 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Give a small input enough partitions for CPU-heavy expressions.
-
-    A table in one small file arrives in one task. Below one partition per core
-    the rows are hashed on ``keys``; larger inputs, which already have many
-    splits, pass through without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, *keys)
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove one table that :func:`new_path` named, once nothing reads it any more."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def ship_package() -> None:

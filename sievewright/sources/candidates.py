@@ -8,8 +8,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..session import spread
-
 URL_PREFIX = "https://cv.example.com/"
 PHONE_PATTERN = r"\+?\d[\d ().-]{8,}\d"
 
@@ -23,6 +21,7 @@ SCHEMAS = {
     "benchmark": "item_id bigint, text string",
     "conversations": "conv_id bigint, turn bigint, role string, text string",
     "embeddings": "vec_id bigint, embedding array<float>, label int",
+    "pages": "page_id bigint, url string, html string",
     "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
 }
 
@@ -54,8 +53,6 @@ def candidates(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     used = ["doc_id"] + (["text"] if needs_text else [])
     used += [c for c, by in (("source", "company"), ("lang", "criteria")) if by in wanted]
     docs = docs.select(*used)
-    if needs_text:
-        docs = spread(docs, "doc_id")
     out = docs.select(
         doc_id.alias("candidate_id"), *[own[c].alias(c) for c in wanted if c in own]
     )
@@ -90,19 +87,14 @@ def _verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _interviews(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The closing message as the transcript and the talk length of all messages.
+    """The whole page of the same number as the transcript, and its length as the talk's.
 
-    Both combine before the shuffle; joining all messages into one cell would
-    gather a conversation of any length in one task.
+    ``pages`` holds one whole text per key, so nothing is cut and no rows are gathered.
     """
-    said = F.concat("role", F.lit(": "), "text")
-    return (
-        table(spark, sf_dir, "conversations")
-        .groupBy(F.col("conv_id").alias("candidate_id"))
-        .agg(
-            F.max_by(said, "turn").alias("transcript"),
-            F.sum(F.length("text").cast("long")).alias("duration"),
-        )
+    return table(spark, sf_dir, "pages").select(
+        F.col("page_id").alias("candidate_id"),
+        F.col("html").alias("transcript"),
+        F.length("html").cast("long").alias("duration"),
     )
 
 

@@ -76,6 +76,48 @@ def test_cache_asks_once_and_not_for_failures(spark, tmp_path):
     assert len(client.calls()) == 8
 
 
+@dataclass(frozen=True)
+class StoppingClient(LoggingClient):
+    """Ends the whole process of the worker after some calls, as a lost executor does."""
+
+    until: int = 0
+
+    def complete(self, model, prompt):
+        if len(os.listdir(self.folder)) >= self.until:
+            raise KeyboardInterrupt
+        return super().complete(model, prompt)
+
+
+def test_stopped_wave_asks_only_for_the_rest(spark, tmp_path):
+    calls = tmp_path / "calls"
+    calls.mkdir()
+    cache = inf.ResponseCache(str(tmp_path / "cache"))
+    df = spark.range(60).select(F.col("id").alias("candidate_id"), F.format_string("p%02d", "id").alias("prompt"))
+    with pytest.raises(Exception):
+        inf.run_wave(df, StoppingClient(str(calls), until=30), "m", cache=cache, calls_per_batch=10, threads=1)
+    stored = cache.read(spark, "m").count()
+    assert 0 < stored <= 30
+    before = len(os.listdir(calls))
+    out = answers(inf.run_wave(df, LoggingClient(str(calls)), "m", cache=cache, calls_per_batch=10))
+    assert out == {i: f"m:p{i:02d}" for i in range(60)}
+    assert len(os.listdir(calls)) - before == 60 - stored
+
+
+def test_failure_keeps_the_exception_text(spark, tmp_path):
+    df = spark.createDataFrame([(1, "a"), (2, "bad"), (3, None)], "candidate_id long, prompt string")
+    out = inf.run_wave(df, LoggingClient(str(tmp_path), fail_on="bad"), "m", failure="why")
+    assert {r[0]: r["why"] for r in out.collect()} == {1: None, 2: "no PERMISSION for this", 3: None}
+
+
+def test_unreadable_cache_is_not_an_empty_one(spark, tmp_path):
+    (tmp_path / "c" / "model=m").mkdir(parents=True)
+    (tmp_path / "c" / "other").mkdir()
+    (tmp_path / "c" / "model=m" / "a.parquet").write_bytes(b"x")
+    df = spark.createDataFrame([(1, "a")], "candidate_id long, prompt string")
+    with pytest.raises(Exception):
+        inf.run_wave(df, LoggingClient(str(tmp_path)), "m", cache=inf.ResponseCache(str(tmp_path / "c")))
+
+
 def test_empty_wave(spark, tmp_path):
     df = spark.createDataFrame([], "candidate_id long, prompt string")
     out = inf.run_wave(df, LoggingClient(str(tmp_path)), "m", cache=inf.ResponseCache(str(tmp_path / "c")))

@@ -67,8 +67,13 @@ def test_strict_decision(column):
 
 
 def test_manual_answers_keep_the_error(column):
-    assert column(["Error: quota", "no"], parse.manual_verdict) == ["API Error", "No"]
-    assert column(["Error: quota", "no"], parse.manual_justification) == ["quota", parse.NO_JUSTIFICATION]
+    failed, answered = F.lit("quota"), F.lit(None).cast("string")
+    texts = ["Error: quota", "no"]
+    assert column(texts, lambda c: parse.manual_verdict(c, failed)) == ["API Error", "API Error"]
+    assert column(texts, lambda c: parse.manual_justification(c, failed)) == ["quota", "quota"]
+    # An answer that reads like an error is still an answer.
+    assert column(texts, lambda c: parse.manual_verdict(c, answered)) == [parse.PARSING_ERROR, "No"]
+    assert column(["Error: a\njustification: b"], lambda c: parse.manual_justification(c, answered)) == ["b"]
 
 
 def test_api_errors(column):
