@@ -369,8 +369,7 @@ def _hybrid() -> str:
         return kept
 
     return f"""WITH {NEAR},
-  qk AS (SELECT item_id AS query_id, {grams('text')} AS t FROM benchmark
-    WHERE item_id IN (SELECT label FROM embeddings)),
+  qk AS (SELECT item_id AS query_id, {grams('text')} AS t FROM benchmark),
   qt AS (SELECT DISTINCT query_id, term FROM (SELECT query_id, unnest(list_concat(t, {PAIRS})) AS term FROM qk)),
   dk AS (SELECT doc_id AS vec_id, {grams('text')} AS t FROM documents),
   dt AS (SELECT DISTINCT vec_id, term FROM (SELECT vec_id, unnest(list_concat(t, {PAIRS})) AS term FROM dk)),
@@ -569,6 +568,11 @@ def oracle_sql() -> dict[str, str]:
           r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY votes DESC, w DESC, label) AS rn FROM v)
           SELECT query_id, CAST(label AS BIGINT) AS label, votes FROM r WHERE rn = 1""",
         "hybrid_topk": _hybrid(),
+        "kmeans_fit": """SELECT count(*) AS n_rows, 5::BIGINT AS n_clusters, 0::BIGINT AS n_misplaced,
+          0::BIGINT AS n_off_centre FROM embeddings""",
+        "fit_masks": f"WITH {CAND} SELECT candidate_id, {blank('verdict')} AS masked, true AS as_ruled FROM cand",
+        "dedup_landed": """SELECT min(doc_id) AS row, 'https://cv.example.com/' || md5(text) AS resume_url,
+          arg_min(source, doc_id) AS company FROM documents GROUP BY md5(text)""",
         "upsert_latest": """WITH u AS (SELECT vec_id AS id, 0::BIGINT AS version, label::VARCHAR AS payload FROM embeddings
             UNION ALL SELECT user_id, event_id + 1, event_type FROM events),
           r AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY version DESC) AS rn FROM u)

@@ -6,16 +6,15 @@ from collections.abc import Callable
 
 import numpy as np
 from pyspark.ml import PipelineModel
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions import labels as lab, parse, scores as sc, templates as tpl, text as tx
-from ..operators import compare, dedup, evaluate as ev, features as ft, inference as inf, merge, scoring
+from ..operators import cluster, compare, dedup, evaluate as ev, features as ft, inference as inf, merge, scoring
 from ..operators import similarity as sim, split as sp, weights as wt
-from ..operators.model import FitSettings, feature_stages, load_model, save_model
+from ..operators.model import FitSettings, apply_model, feature_stages, load_model, model_labels, save_model
 from ..plans import evaluation as flow, prediction, training
-from ..schema import column_or
+from ..schema import TEXT_COL, column_or
 from ..session import new_path
 from ..sources import tables
 from ..sources.candidates import candidates, table
@@ -454,11 +453,54 @@ def fit_predict_tfidf_lr(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def train_output(spark: SparkSession, sf: str) -> DataFrame:
-    prepared = _training(spark, sf)
-    model = training.train(prepared, FitSettings()).model
-    return training.training_output(model, prepared).select(
-        KEY, "verdict", "verdict_clean", "verdict_predicted"
+    rows = training.with_labels(candidates(spark, sf, "job_desc", "resume_text", "verdict", "result_llm"))
+    model = training.train(_training(spark, sf), FitSettings()).model
+    return training.training_output(model, rows).select(KEY, "verdict", "verdict_clean", "verdict_predicted")
+
+
+def fit_masks(spark: SparkSession, sf: str) -> DataFrame:
+    """What a fit may and may not do to a row, whatever its weights: rows with a verdict keep
+    it unscored; the others get the label the rules give their probabilities."""
+    df = candidates(spark, sf, "job_desc", "resume_text", "verdict")
+    model = training.train(_training(spark, sf), FitSettings(max_iter=20)).model
+    out = prediction.predict(df, model, confidence_threshold=REVIEW_BELOW).select(
+        KEY, F.col("verdict").alias("after"), "confidence", "needs_review"
+    )
+    p = dict(zip(model_labels(model), (F.get("probabilities", F.lit(i)) for i in range(3))))
+    text = tx.combined_text(F.col("job_desc"), F.col("resume_text"))
+    chances = apply_model(model, df.withColumn(TEXT_COL, text)).select(
+        KEY, "verdict", F.array_max("probabilities").alias("top"),
+        F.expr("aggregate(probabilities, 0D, (a, x) -> a + x)").alias("sum"),
+        *[c.alias(x) for x, c in p.items()],
+    )
+    both = chances.join(out, KEY)
+    ruled = F.expr("CASE WHEN Yes > 0.25 THEN 'Yes' WHEN Maybe > 0.15 THEN 'Maybe' ELSE 'No' END")
+    sound = (F.col("after") == ruled) & (F.abs(F.col("sum") - 1) < 1e-9) & (F.abs(F.col("confidence") - F.col("top")) < 1e-9)
+    untouched = (F.col("after") == F.col("verdict")) & F.col("confidence").isNull() & F.col("needs_review").isNull()
+    empty = lab.to_predict(F.col("verdict"))
+    return both.select(
+        KEY, empty.alias("masked"), F.coalesce(F.when(empty, sound).otherwise(untouched), F.lit(False)).alias("as_ruled")
+    )
+
+
+def cross_validate(spark: SparkSession, sf: str) -> DataFrame:
+    out = training.cross_validate(_training(spark, sf), 5, FitSettings(max_iter=20))
+    return out.select(F.col("fold").cast("bigint").alias("fold"), "n", *[F.round(m, 4).alias(m) for m in ("accuracy", "macro_f1")])
+
+
+def dedup_landed(spark: SparkSession, sf: str) -> DataFrame:
+    """Files without a key and with foreign headings: landed with one, then deduplicated.
+
+    ``row`` tells which file row was kept; the file is written in its order.
+    """
+    path = new_path(spark, "csv")
+    headings = {"Resume (link)": "resume_url", "Applied at": "company"}
+    df = candidates(spark, sf, "company", "resume_url").select(
+        F.col(KEY).alias("row"), F.col("company").alias("Applied at"), F.col("resume_url").alias("Resume (link)")
     )
+    tables.write_csv(df.repartitionByRange(4, "row").sortWithinPartitions("row"), path, bom=False)
+    landed = tables.land_csv(spark, path, new_path(spark, "landed"), headings, KEY)
+    return dedup.dedup_first(landed).select(F.col("row").cast("bigint").alias("row"), "resume_url", "company")
 
 
 def linear_weights(width: int = 64, n_labels: int = 3) -> np.ndarray:
@@ -536,11 +578,24 @@ def column_defaults(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def kmeans5(spark: SparkSession, sf: str) -> DataFrame:
-    df = table(spark, sf, "embeddings").select(
-        "vec_id", array_to_vector(F.col("embedding").cast("array<double>")).alias("features")
+    out, _ = cluster.kmeans(table(spark, sf, "embeddings"), k=5)
+    return out.select("vec_id", "cluster")
+
+
+def kmeans_fit(spark: SparkSession, sf: str) -> DataFrame:
+    """How the fit stands: rows, clusters in use, rows that lie nearer to another cluster's
+    mean, and clusters whose mean is not the centre the fit gave, beyond its tolerance."""
+    out, centres = cluster.kmeans(table(spark, sf, "embeddings"), k=5)
+    means = {r["query_id"]: r["embedding"] for r in sim.centroids(out, "cluster").collect()}  # five rows
+    again = cluster.with_nearest(out.select("embedding", "distance", "cluster").withColumnRenamed("distance", "own"),
+                                 [means.get(i, c) for i, c in enumerate(centres)], target="nearest")
+    off = sum(float(np.linalg.norm(np.subtract(means[i], centres[i]))) > 0.05 for i in means)
+    return again.agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_distinct("cluster").alias("n_clusters"),
+        F.count_if(F.col("distance") < F.col("own") - 0.05).alias("n_misplaced"),
+        F.lit(off).cast("bigint").alias("n_off_centre"),
     )
-    model = KMeans(k=5, seed=42, featuresCol="features", predictionCol="cluster").fit(df)
-    return model.transform(df).select("vec_id", "cluster")
 
 
 # -- templates and parsing ---------------------------------------------------------
@@ -687,15 +742,12 @@ def knn_vote(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def hybrid_topk(spark: SparkSession, sf: str) -> DataFrame:
-    """Per label: its mean vector and the words of the benchmark text of the same
-    number, against documents that have a vector."""
+    """Every benchmark text, with the mean vector of the label of the same number where there
+    is one, against all documents, with or without a vector."""
     corpus = table(spark, sf, "embeddings")
-    queries = sim.centroids(corpus, "label")
     docs = table(spark, sf, "documents").select(F.col("doc_id").alias("vec_id"), "text")
-    asked = table(spark, sf, "benchmark").select(F.col("item_id").alias("query_id"), "text").join(
-        corpus.select(F.col("label").cast("long").alias("query_id")).distinct(), "query_id", "left_semi"
-    )
-    out = sim.hybrid_topk(queries, asked, corpus, docs, 10)
+    asked = table(spark, sf, "benchmark").select(F.col("item_id").alias("query_id"), "text")
+    out = sim.hybrid_topk(sim.centroids(corpus, "label"), asked, corpus, docs, 10)
     return out.select(
         "query_id", "vec_id", F.round("score", 6).alias("score"), F.col("rank").cast("bigint").alias("rank")
     )
@@ -722,7 +774,7 @@ QUERIES: dict[str, Query] = {
         split_plain, split_sequential, softmax_argmax, threshold_verdict, confidence_summary, low_confidence,
         review_queue, confusion_matrix, classification_report, accuracy, weighted_log_loss, ensemble_avg,
         model_agreement, cv_folds, label_drift, ml_features, fit_predict_tfidf_lr, train_output, score_batched, embed_text,
-        kmeans5, predict_scorer_flow, predict_all_flow, row_count, column_defaults, render_prompt, guard_missing, error_propagate, parse_decision, parse_justification,
+        kmeans5, kmeans_fit, fit_masks, cross_validate, dedup_landed, predict_scorer_flow, predict_all_flow, row_count, column_defaults, render_prompt, guard_missing, error_propagate, parse_decision, parse_justification,
         parse_json_eval, api_errors, wave_map, wave_cache, prompt_multiplicity, eval_flow, profile_flow,
         manual_review_flow, knn_topk, knn_vote, hybrid_topk, upsert_latest,
     )

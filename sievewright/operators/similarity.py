@@ -2,24 +2,22 @@
 
 from __future__ import annotations
 
-import math
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..session import settle
 from .features import exploded, idf, n_rows, with_grams
+from .skew import salted_left_join
 
 TOP_K = 10
 DECIMALS = 9
-# Query values one pass may carry to the tasks (16 MB of doubles).
+# Numbers (vector positions and terms) a block of queries and a block of stored rows may hold.
 BLOCK_VALUES = 2_000_000
+CORPUS_VALUES = 1_000_000
 # Similarities a task holds at a time (32 MB of doubles).
 CHUNK_VALUES = 4_000_000
-# Query terms that may be sent to every task.
-BROADCAST_TERMS = 200_000
+KEYWORD_WEIGHT, VECTOR_WEIGHT = 0.3, 0.7
 
 
 def _top(ids: np.ndarray, sims: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -41,66 +39,138 @@ def cosine_topk(
     vec_id: str = "vec_id",
     vector: str = "embedding",
     block_values: int = BLOCK_VALUES,
+    corpus_values: int = CORPUS_VALUES,
 ) -> DataFrame:
     """The ``k`` nearest corpus vectors per query: ``(query_id, vec_id, similarity, rank)``.
 
-    The queries travel to the corpus, never the other way: each task multiplies its
-    vectors with one block of queries and passes on at most ``k`` rows per query, so
-    neither pairs nor corpus vectors are shuffled. A block is limited by
-    ``block_values``; more queries than that mean more passes, all of them exact.
-    Vectors of length zero have no direction and score 0.
+    Exact at every size; see :func:`_best_of_blocks`. Vectors of length zero have no
+    direction and score 0; rows without a vector take no part.
     """
-    spark = corpus.sparkSession
-    queries = settle(queries.select(query_id, vector), "queries")
-    size = queries.agg(F.count(F.lit(1)), F.max(F.size(vector))).head()
-    n_queries, width = size[0], size[1] or 1
-    blocks = max(1, math.ceil(n_queries * width / block_values))
-    found = None
-    for b in range(blocks):
-        part = queries if blocks == 1 else queries.where(F.pmod(F.xxhash64(query_id), F.lit(blocks)) == b)
-        rows = part.select(F.col(query_id).cast("long"), F.col(vector).cast("array<double>")).collect()
-        if not rows:
-            continue
-        block = _search_block(spark, corpus, rows, k, query_id, vec_id, vector)
-        found = block if found is None else found.unionByName(block)
-    if found is None:
-        return spark.createDataFrame([], f"{query_id} long, {vec_id} long, similarity double, rank int")
-    best = Window.partitionBy(query_id).orderBy(F.desc("similarity"), vec_id)
-    return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
-
-
-def _search_block(spark, corpus, rows, k, query_id, vec_id, vector) -> DataFrame:
-    numbers = np.array([r[0] for r in rows], dtype=np.int64)
-    shared = spark.sparkContext.broadcast((numbers, _unit(np.array([r[1] for r in rows], dtype=np.float64))))
-
-    def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        qid, q = shared.value
-        best = [(np.empty(0, dtype=np.int64), np.empty(0)) for _ in qid]
-        last = np.full(len(qid), -np.inf)  # similarity a new row must reach
-        step = max(1, CHUNK_VALUES // len(qid))
-        for pdf in batches:
-            all_ids = pdf[vec_id].to_numpy(dtype=np.int64)
-            for at in range(0, len(pdf), step):
-                ids = all_ids[at : at + step]
-                c = _unit(np.array(pdf[vector].iloc[at : at + step].tolist(), dtype=np.float64))
-                sims = np.round(q @ c.T, DECIMALS)
-                reach = sims >= last[:, None]
-                for i in np.flatnonzero(reach.any(axis=1)):
-                    new = reach[i]
-                    best[i] = _top(
-                        np.concatenate([best[i][0], ids[new]]), np.concatenate([best[i][1], sims[i, new]]), k
-                    )
-                    if len(best[i][1]) == k:
-                        last[i] = best[i][1][-1]
-        for i, (ids, sims) in enumerate(best):
-            if len(ids):
-                yield pd.DataFrame({query_id: qid[i], vec_id: ids, "similarity": sims})
-
-    return corpus.select(F.col(vec_id).cast("long"), vector).mapInPandas(
-        search, f"{query_id} long, {vec_id} long, similarity double"
+    asked = queries.select(F.col(query_id).cast("long").alias("query"), F.col(vector).cast("array<double>").alias("v"))
+    stored = corpus.select(F.col(vec_id).cast("long").alias("row"), F.col(vector).alias("v"))
+    found = _best_of_blocks(
+        _without_terms(asked).where("v is not null"), _without_terms(stored).where("v is not null"),
+        k, 0.0, 1.0, block_values, corpus_values,
+    )
+    return found.select(
+        F.col("query").alias(query_id), F.col("row").alias(vec_id), F.col("score").alias("similarity"), "rank"
+    )
+
+
+def _without_terms(df: DataFrame) -> DataFrame:
+    none = F.array()
+    return df.withColumns({"terms": none.cast("array<long>"), "idfs": none.cast("array<double>")})
+
+
+def _in_blocks(df: DataFrame, key: str, values: int) -> tuple[DataFrame, int]:
+    """``df`` with a ``block`` of about ``values`` numbers each, and the number of blocks."""
+    width = F.coalesce(F.size("v"), F.lit(0)) + F.size("terms")
+    total = df.agg(F.sum(F.greatest(width, F.lit(1)))).head()[0] or 0
+    blocks = max(1, -(-total // values))
+    return df.withColumn("block", F.pmod(F.xxhash64(key), F.lit(blocks)).cast("int")), blocks
+
+
+def _best_of_blocks(
+    asked: DataFrame,
+    stored: DataFrame,
+    k: int,
+    keyword_weight: float,
+    vector_weight: float,
+    block_values: int,
+    corpus_values: int,
+) -> DataFrame:
+    """``(query, row, score, rank)``: the ``k`` best stored rows of every query.
+
+    ``asked`` has ``query, v, terms, idfs`` and ``stored`` has ``row, v, terms``. Both are cut
+    into blocks of bounded size, each pair of blocks meets in one task, and a task passes on
+    ``k`` rows per query: no pair is ever a row, and neither side goes through the driver. A
+    pair counts when both rows have a vector or share a term.
+    """
+    asked, n_asked = _in_blocks(asked, "query", block_values)
+    stored, n_stored = _in_blocks(stored, "row", corpus_values)
+    left = asked.withColumnRenamed("block", "asked_block").withColumn(
+        "stored_block", F.explode(F.sequence(F.lit(0), F.lit(n_stored - 1)))
+    )
+    right = stored.withColumnRenamed("block", "stored_block").withColumn(
+        "asked_block", F.explode(F.sequence(F.lit(0), F.lit(n_asked - 1)))
+    )
+
+    def best(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
+        return _best_in_block(q, c, k, keyword_weight, vector_weight)
+
+    meeting = ("asked_block", "stored_block")
+    found = left.groupBy(*meeting).cogroup(right.groupBy(*meeting)).applyInPandas(
+        best, "query long, row long, score double"
+    )
+    order = Window.partitionBy("query").orderBy(F.desc("score"), "row")
+    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+
+
+def _matrix(vectors: pd.Series) -> tuple[np.ndarray, np.ndarray]:
+    """Unit vectors, zeros where there is none, and which rows have one."""
+    has = vectors.notna().to_numpy()
+    width = max((len(v) for v in vectors[has]), default=0)
+    out = np.zeros((len(vectors), width))
+    if has.any():
+        out[has] = _unit(np.array(vectors[has].tolist(), dtype=np.float64))
+    return out, has
+
+
+def _best_in_block(q: pd.DataFrame, c: pd.DataFrame, k: int, keyword_weight: float, vector_weight: float) -> pd.DataFrame:
+    columns = {"query": [], "row": [], "score": []}
+    if not (len(q) and len(c)):
+        return pd.DataFrame(columns)
+    qv, q_has = _matrix(q["v"])
+    sizes = q["terms"].map(len).to_numpy()
+    terms = np.concatenate([np.asarray(t, dtype=np.int64) for t in q["terms"]])
+    idfs = np.concatenate([np.asarray(w, dtype=np.float64) for w in q["idfs"]])
+    owner = np.repeat(np.arange(len(q)), sizes)
+    mass = np.bincount(owner, weights=idfs, minlength=len(q))
+    order = np.argsort(terms, kind="stable")
+    terms, idfs, owner = terms[order], idfs[order], owner[order]
+    empty = np.empty(0, dtype=np.int64), np.empty(0)
+    best = [empty] * len(q)
+    step = max(1, CHUNK_VALUES // len(q))
+    for at in range(0, len(c), step):
+        part = c.iloc[at : at + step]
+        cv, c_has = _matrix(part["v"])
+        ids = part["row"].to_numpy(dtype=np.int64)
+        counts = q_has[:, None] & c_has[None, :]
+        score = np.zeros(counts.shape)
+        if qv.shape[1] and cv.shape[1]:
+            score = np.round(qv @ cv.T, DECIMALS)
+        if len(terms):
+            keyword = _keyword(terms, idfs, owner, mass, part["terms"])
+            counts |= keyword > 0
+            score = np.round(keyword_weight * keyword + vector_weight * score, DECIMALS)
+        for i in np.flatnonzero(counts.any(axis=1)):
+            own = counts[i]
+            best[i] = _top(np.concatenate([best[i][0], ids[own]]), np.concatenate([best[i][1], score[i, own]]), k)
+    numbers = q["query"].to_numpy(dtype=np.int64)
+    return pd.DataFrame(
+        {
+            "query": np.repeat(numbers, [len(b[0]) for b in best]),
+            "row": np.concatenate([b[0] for b in best]),
+            "score": np.concatenate([b[1] for b in best]),
+        }
     )
 
 
+def _keyword(terms: np.ndarray, idfs: np.ndarray, owner: np.ndarray, mass: np.ndarray, rows: pd.Series) -> np.ndarray:
+    """Per (query, row) the share of the query's idf mass in the terms both have.
+
+    ``terms`` is sorted, with the weight and the query of each entry beside it.
+    """
+    place = np.repeat(np.arange(len(rows)), rows.map(len).to_numpy())
+    held = np.concatenate([np.asarray(t, dtype=np.int64) for t in rows])
+    first, last = np.searchsorted(terms, held, "left"), np.searchsorted(terms, held, "right")
+    n = last - first
+    entry = np.repeat(first - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum()) if len(n) else n
+    cell = owner[entry] * len(rows) + np.repeat(place, n)
+    total = np.bincount(cell, weights=idfs[entry], minlength=len(mass) * len(rows)).reshape(len(mass), len(rows))
+    return np.divide(total, mass[:, None], out=np.zeros(total.shape), where=mass[:, None] > 0)
+
+
 def centroids(corpus: DataFrame, label: str, vector: str = "embedding", query_id: str = "query_id") -> DataFrame:
     """Mean vector per label as query rows.
 
@@ -146,48 +216,19 @@ def query_terms(asked: DataFrame, text: str = "text", query_id: str = "query_id"
     return exploded(grams.withColumn("grams", F.array_distinct("grams")), query_id)
 
 
-def keyword_scores(
+def weighted_terms(
     docs: DataFrame, terms: DataFrame, key: str = "vec_id", text: str = "text", query_id: str = "query_id"
 ) -> DataFrame:
-    """``(key, query_id, keyword)`` for rows that share a term with a query: the idf
-    mass of the shared terms over that of all terms of the query, between 0 and 1.
+    """``(query_id, term, idf)``: the query terms with their idf over ``docs``.
 
-    The query terms are counted first; up to ``BROADCAST_TERMS`` they are sent to
-    the tasks, so that rows are reduced to matching terms before any exchange.
+    Documents are counted per term, combined in each task before the shuffle; a term that
+    very many queries share is dealt to parts.
     """
-    terms = terms.select(query_id, "term")
-    small = terms.count() <= BROADCAST_TERMS
-
-    def sized(df: DataFrame) -> DataFrame:
-        return F.broadcast(df) if small else df
-
     grams = with_grams(docs.select(key, text), text)
     once = exploded(grams.withColumn("grams", F.array_distinct("grams")), key)
-    # Matches are few next to the texts; written once, they serve both uses below.
-    present = settle(once.join(sized(terms.select("term").distinct()), "term", "left_semi"), "matches")
-    frequency = present.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    total = n_rows(docs, key)
-    weighted = terms.join(frequency, "term", "left").withColumn(
-        "idf", idf(F.coalesce("df", F.lit(0)), total)
-    )
-    mass = weighted.groupBy(query_id).agg(F.sum("idf").alias("mass"))
-    return (
-        present.join(sized(weighted.join(mass, query_id)), "term")
-        .groupBy(key, query_id)
-        .agg((F.sum("idf") / F.max("mass")).alias("keyword"))
-    )
-
-
-def cosine(a: Column, b: Column) -> Column:
-    """Cosine of two array columns in double precision; 0 without a direction."""
-
-    def dot(x: Column, y: Column) -> Column:
-        return F.aggregate(
-            F.zip_with(x, y, lambda u, v: u.cast("double") * v.cast("double")), F.lit(0.0), lambda s, z: s + z
-        )
-
-    size = F.sqrt(dot(a, a)) * F.sqrt(dot(b, b))
-    return F.when(size > 0, F.round(dot(a, b) / size, DECIMALS)).otherwise(F.lit(0.0))
+    frequency = once.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    counted = salted_left_join(terms.select(query_id, "term"), frequency, "term", query_id)
+    return counted.select(query_id, "term", idf(F.coalesce("df", F.lit(0)), n_rows(docs, key)).alias("idf"))
 
 
 def hybrid_topk(
@@ -199,33 +240,45 @@ def hybrid_topk(
     query_id: str = "query_id",
     vec_id: str = "vec_id",
     vector: str = "embedding",
+    block_values: int = BLOCK_VALUES,
+    corpus_values: int = CORPUS_VALUES,
 ) -> DataFrame:
-    """Exact top ``k`` per query of the weighted keyword and vector score.
+    """Exact top ``k`` per query of the weighted keyword and vector score:
+    ``(query_id, vec_id, score, rank)``.
 
-    A row without a shared term scores by its vector alone, so only the ``k``
-    nearest vectors can be such rows; all others share a term. The two sets
-    together contain the answer. A document or query without a vector scores by its
-    keywords alone.
+    The keyword score is the idf mass of the terms a row shares with the query over that of
+    all terms of the query. A document or query without a vector scores by its keywords
+    alone, one without a shared term by its vector alone. Both scores of a pair are taken
+    in the task where their blocks meet. Terms travel as 64-bit hashes.
     """
-    keyword = keyword_scores(docs, query_terms(asked, query_id=query_id), vec_id, query_id=query_id)
-    near = cosine_topk(queries, corpus, k, query_id, vec_id, vector).select(
-        query_id, vec_id, F.col("similarity").alias("near")
+    weighted = settle(weighted_terms(docs, query_terms(asked, query_id=query_id), vec_id, query_id=query_id), "terms")
+    per_query = weighted.groupBy(query_id).agg(
+        F.collect_list(F.xxhash64("term")).alias("terms"), F.collect_list("idf").alias("idfs")
     )
-    vectors = corpus.select(vec_id, F.col(vector).alias("__c"))
-    asked_vectors = queries.select(query_id, F.col(vector).alias("__q"))
-    matched = (
-        keyword.join(vectors, vec_id, "left")
-        .join(asked_vectors, query_id, "left")
-        .select(query_id, vec_id, "keyword", cosine(F.col("__q"), F.col("__c")).alias("similarity"))
+    none = F.array()
+    questions = (
+        queries.select(query_id, F.col(vector).cast("array<double>").alias("v"))
+        .join(per_query, query_id, "full_outer")
+        .select(
+            F.col(query_id).cast("long").alias("query"), "v",
+            F.coalesce("terms", none.cast("array<long>")).alias("terms"),
+            F.coalesce("idfs", none.cast("array<double>")).alias("idfs"),
+        )
+    )
+    grams = with_grams(docs.select(vec_id, "text"), "text")
+    hashed = F.transform(F.array_distinct("grams"), lambda x: F.xxhash64(x))
+    rows = (
+        grams.select(vec_id, hashed.alias("terms"))
+        .join(corpus.select(vec_id, F.col(vector).alias("v")), vec_id, "full_outer")
+        .select(F.col(vec_id).cast("long").alias("row"), "v", F.coalesce("terms", none.cast("array<long>")).alias("terms"))
     )
-    both = matched.join(near, [query_id, vec_id], "full_outer").withColumn(
-        "score", hybrid_score(F.col("keyword"), F.coalesce("similarity", "near"))
+    found = _best_of_blocks(
+        settle(questions, "questions"), settle(rows, "rows"), k, KEYWORD_WEIGHT, VECTOR_WEIGHT, block_values, corpus_values
     )
-    ranked = both.select(query_id, vec_id, F.round("score", DECIMALS).alias("score"))
-    return top_k(ranked, query_id, "score", vec_id, k)
+    return found.select(F.col("query").alias(query_id), F.col("row").alias(vec_id), "score", "rank")
 
 
-def hybrid_score(keyword: Column, vector: Column, keyword_weight: float = 0.3, vector_weight: float = 0.7) -> Column:
+def hybrid_score(keyword: Column, vector: Column, keyword_weight: float = KEYWORD_WEIGHT, vector_weight: float = VECTOR_WEIGHT) -> Column:
     """Weighted sum of the two scores; an absent one counts as zero."""
     zero = F.lit(0.0)
     return F.lit(keyword_weight) * F.coalesce(keyword, zero) + F.lit(vector_weight) * F.coalesce(vector, zero)

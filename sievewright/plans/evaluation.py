@@ -5,16 +5,18 @@ Every wave is a written table keyed by ``candidate_id``; the flow only joins the
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions import labels as lab, parse, templates as tpl, text as tx
 from ..operators.dedup import dedup_first
 from ..operators.inference import CALLS_PER_BATCH, CALLS_PER_TASK, THREADS, ResponseCache, TextClient, run_wave
 from ..operators.merge import scatter, update_merge, write_back
-from ..schema import column_or, ensure_columns, require_columns
-from ..session import settle
+from ..schema import column_or, ensure_columns, rename_out, require_columns
+from ..session import new_path, settle
+from ..sources.tables import land_csv, write_csv
 
 KEY = "candidate_id"
 
@@ -213,3 +215,20 @@ def evaluate(
     open_cases = merged.where(lab.needs_manual(F.col("result_llm")))
     review = settle(manual_review(open_cases, service, templates), "review")
     return write_back(merged, review, ("manual_verdict", "justification"))
+
+
+def evaluate_csv(
+    spark: SparkSession,
+    in_csv: str,
+    out_csv: str,
+    service: Service,
+    templates: Templates,
+    headings: Mapping[str, str] | None = None,
+    keep_null_urls: bool = False,
+) -> DataFrame:
+    """Land the files, run the whole flow and write its result under the files' headings."""
+    headings = headings or {}
+    rows = land_csv(spark, in_csv, new_path(spark, "landed"), headings, KEY)
+    out = settle(rename_out(evaluate(rows, service, templates, keep_null_urls), headings), "evaluated")
+    write_csv(out, out_csv)
+    return out

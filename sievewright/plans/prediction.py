@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from ..functions import labels as lab, scores as sc, text as tx
 from ..operators.model import apply_model, load_model, model_labels
 from ..operators.scoring import BATCH, Scorer, score_rows
-from ..schema import PREDICT_REQUIRED, TEXT_COL, drop_working, ensure_columns, require_columns
+from ..schema import PREDICT_REQUIRED, TEXT_COL, drop_working, ensure_columns, rename_in, rename_out, require_columns
 from ..sources.tables import read_csv, write_csv
 
 
@@ -109,9 +109,15 @@ def predict_csv(
     out_csv: str,
     predict_all: bool = False,
     confidence_threshold: float = 0.0,
+    headings: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """Load, score and write; returns the written frame's plan."""
+    """Load, score and write; returns the written frame's plan.
+
+    ``headings`` maps the file's headings to the canonical names; the output has the file's.
+    """
     model = load_model(spark, model_path)
-    out = predict(read_csv(spark, in_csv), model, predict_all, confidence_threshold)
+    headings = headings or {}
+    out = predict(rename_in(read_csv(spark, in_csv), headings), model, predict_all, confidence_threshold)
+    out = rename_out(out, headings)
     write_csv(out, out_csv, bom=False)
     return out

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
+from collections.abc import Mapping
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
+
+from ..schema import rename_in
 
 # Cell texts that mean "missing" in the source files.
 NA_MARKERS = (
@@ -43,6 +47,37 @@ def land(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def land_csv(
+    spark: SparkSession,
+    source: str,
+    path: str,
+    headings: Mapping[str, str] | None = None,
+    key: str = "candidate_id",
+    key_type: str = "bigint",
+) -> DataFrame:
+    """CSV files as one Parquet table under canonical names, with a row key in file order.
+
+    The key is made once and written with the rows: the number of the file, by name, and the
+    place in it, so that "keep the first" means the first in the files. Cells may hold line
+    breaks, so a file is read by one task, in order. A table that has a column ``key`` keeps
+    its own, as ``key_type``. The list of files, one row each, is all that is broadcast; the
+    driver holds it for any scan.
+    """
+    raw = rename_in(read_csv(spark, source), headings or {})
+    if key in raw.columns:
+        return land(raw.withColumn(key, F.col(f"`{key}`").cast(key_type)), path)
+    files = spark.createDataFrame(list(enumerate(sorted(raw.inputFiles()))), "__n long, __file string")
+    in_task = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    placed = raw.withColumns({"__file": F.input_file_name(), "__at": in_task})
+    named = placed.join(F.broadcast(files), "__file", "left")
+    return land(named.select((F.col("__n") * F.lit(1 << 33) + F.col("__at")).alias(key), *raw_columns(raw)), path)
+
+
+def raw_columns(df: DataFrame) -> list[Column]:
+    """All columns, whatever characters their names hold."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
+
+
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 

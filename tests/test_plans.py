@@ -82,13 +82,13 @@ def test_tfidf_drops_foreign_grams_in_the_task(spark, no_auto_broadcast):
     assert "BroadcastHashJoin" in p.split("partial_count")[1]
 
 
-def test_search_shuffles_no_vectors(spark, tmp_path, no_auto_broadcast):
+def test_search_makes_no_pairs(spark, tmp_path, no_auto_broadcast):
     corpus = spark.read.parquet(folder(spark, tmp_path) + "/embeddings.parquet")
     queries = corpus.where("vec_id < 3").select(F.col("vec_id").alias("query_id"), "embedding")
-    p = plan(sim.cosine_topk(queries, corpus, 2))
-    assert "CartesianProduct" not in p and "NestedLoop" not in p
-    below = p.split("MapInPandas")[1] if "MapInPandas" in p else p.split("MapInArrow")[1]
-    assert "Exchange" not in below
+    few, many = (plan(sim.cosine_topk(queries, corpus, 2, block_values=b)) for b in (1_000_000, 20))
+    for p in (few, many):
+        assert "CartesianProduct" not in p and "NestedLoop" not in p and "Broadcast" not in p
+        assert p.count("FlatMapCoGroupsInPandas") == 1
 
 
 def test_shared_folder_comes_from_the_session(spark):

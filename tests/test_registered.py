@@ -12,7 +12,7 @@ import check
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 SQL = entry.oracle_sql()
 # Fits run for minutes on the smallest machine; the model tests cover them.
-QUERIES = [q for q in entry.queries() if q not in ("fit_predict_tfidf_lr", "train_output")]
+QUERIES = [q for q in entry.queries() if q not in ("fit_predict_tfidf_lr", "train_output", "cross_validate")]
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
 

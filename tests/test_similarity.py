@@ -26,12 +26,12 @@ def brute(queries, data, k):
     }
 
 
-@pytest.mark.parametrize("block_values", [8_000_000, 40])
-def test_topk_is_exact(spark, vectors, block_values):
+@pytest.mark.parametrize("block_values, corpus_values", [(8_000_000, 8_000_000), (40, 700)])
+def test_topk_is_exact(spark, vectors, block_values, corpus_values):
     data, df = vectors
     q = np.vstack([data[10], data[3], np.zeros(8), data[:9]])
     queries = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(q)], "query_id long, embedding array<double>")
-    out = sim.cosine_topk(queries, df, 6, block_values=block_values)
+    out = sim.cosine_topk(queries, df, 6, block_values=block_values, corpus_values=corpus_values)
     assert {(r["query_id"], r["vec_id"], r["rank"]) for r in out.collect()} == brute(q, data, 6)
 
 
@@ -52,23 +52,39 @@ def test_centroids_and_vote(spark, vectors):
     assert {r["query_id"]: r["label"] for r in sim.vote(heavy, df, "label", weighted=True).collect()}[1] == 0
 
 
-def test_hybrid_is_exact_against_all_pairs(spark, vectors):
+@pytest.mark.parametrize("block_values, corpus_values", [(8_000_000, 8_000_000), (10, 400)])
+def test_hybrid_is_exact_against_all_pairs(spark, vectors, block_values, corpus_values):
+    """Rows 250 to 299 have no vector, row 300 and up no text, query 2 no known word, query 3 no
+    vector and query 4 no text."""
     data, df = vectors
     words = ["alpha", "beta", "gamma", "delta"]
-    docs = spark.createDataFrame(
-        [(i, " ".join(words[j] for j in range(4) if (i >> j) % 5 == 1)) for i in range(300)], "vec_id long, text string"
+    held = [[words[j] for j in range(4) if (i >> j) % 5 == 1] for i in range(300)]
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(held)], "vec_id long, text string")
+    corpus = df.where("vec_id < 250").unionByName(df.where("vec_id < 5").withColumn("vec_id", F.col("vec_id") + 300))
+    asked = spark.createDataFrame(
+        [(0, "alpha beta"), (1, "gamma"), (2, "unknown"), (3, "delta alpha")], "query_id long, text string"
     )
-    asked = spark.createDataFrame([(0, "alpha beta"), (1, "gamma"), (2, "unknown")], "query_id long, text string")
-    queries = df.where("vec_id in (0, 1, 2)").select(F.col("vec_id").alias("query_id"), "embedding")
-    out = sim.hybrid_topk(queries, asked, df, docs, 5)
-    kw = {(r["query_id"], r["vec_id"]): r["keyword"] for r in sim.keyword_scores(docs, sim.query_terms(asked)).collect()}
-    assert all(0 < v <= 1.0 + 1e-12 for v in kw.values()) and kw
+    queries = df.where("vec_id in (0, 1, 2, 4)").select(F.col("vec_id").alias("query_id"), "embedding")
+    out = sim.hybrid_topk(queries, asked, corpus, docs, 5, block_values=block_values, corpus_values=corpus_values)
+
+    grams = [set(w) | {f"{a} {b}" for a, b in zip(w, w[1:])} for w in held]
+    count = lambda t: sum(t in g for g in grams)
+    weight = lambda t: np.log(301 / (1 + count(t))) + 1
+    wanted = {0: ["alpha", "beta", "alpha beta"], 1: ["gamma"], 2: ["unknown"], 3: ["delta", "alpha", "delta alpha"]}
     unit = np.divide(data, np.linalg.norm(data, axis=1, keepdims=True), out=np.zeros_like(data), where=np.linalg.norm(data, axis=1, keepdims=True) > 0)
-    for q in range(3):
-        score = np.round([0.3 * kw.get((q, i), 0.0) + 0.7 * round(float(unit[q] @ unit[i]), 9) for i in range(300)], 9)
-        want = list(np.lexsort((np.arange(300), -score))[:5])
-        got = [r["vec_id"] for r in out.where(F.col("query_id") == q).orderBy("rank").collect()]
-        assert got == want
+    vector_of = {**{i: unit[i] for i in range(250)}, **{300 + i: unit[i] for i in range(5)}}
+    for q in range(5):
+        scores = []
+        for i in range(305):
+            shared = [t for t in wanted.get(q, []) if i < 300 and t in grams[i]]
+            keyword = sum(map(weight, shared)) / sum(map(weight, wanted[q])) if shared else 0.0
+            both = q != 3 and i in vector_of
+            near = round(float(unit[q] @ vector_of[i]), 9) if both else 0.0
+            if both or shared:
+                scores.append((-round(0.3 * keyword + 0.7 * near, 9), i))
+        got = out.where(F.col("query_id") == q).orderBy("rank").collect()
+        assert [r["vec_id"] for r in got] == [i for _, i in sorted(scores)[:5]]
+        assert [r["score"] for r in got] == pytest.approx([-x for x, _ in sorted(scores)[:5]], abs=2e-9)
 
 
 def test_upsert(spark):

@@ -48,3 +48,19 @@ def test_written_files_are_not_replaced(spark, tmp_path):
     with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
         tables.write_parquet(df, str(tmp_path / "p"))
     assert tables.read_parquet(spark, str(tmp_path / "p")).count() == 1
+
+
+def test_landed_rows_get_a_key_in_file_order(spark, tmp_path):
+    folder = tmp_path / "in put"
+    folder.mkdir()
+    (folder / "b.csv").write_text('Name,Text → a\nthird,"x\ny"\nfourth,z\n')
+    # The longer file would be read first; its name comes second.
+    (folder / "a.csv").write_text("Name,Text → a\nfirst,1\nsecond,2\n")
+    (folder / "c.csv").write_text("Name,Text → a\n" + "".join(f"n{i},{'long ' * 20}\n" for i in range(50)))
+    out = tables.land_csv(spark, str(folder), str(tmp_path / "out"), {"Text → a": "resume_text"})
+    rows = out.orderBy("candidate_id").collect()
+    assert out.columns == ["candidate_id", "Name", "resume_text"]
+    assert [r["Name"] for r in rows] == ["first", "second", "third", "fourth", *[f"n{i}" for i in range(50)]]
+    assert len({r["candidate_id"] for r in rows}) == 54 and rows[2]["resume_text"] == "x\ny"
+    own = tables.land_csv(spark, str(folder), str(tmp_path / "own"), {"Name": "candidate_id"}, key_type="string")
+    assert own.columns == ["candidate_id", "Text → a"] and own.where("candidate_id = 'third'").count() == 1
