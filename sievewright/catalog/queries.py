@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from ..functions import labels as lab, parse, scores as sc, templates as tpl, text as tx
 from ..operators import cluster, compare, dedup, evaluate as ev, features as ft, inference as inf, merge, scoring
 from ..operators import similarity as sim, split as sp, weights as wt
-from ..operators.model import FitSettings, apply_model, feature_stages, load_model, model_labels, save_model
+from ..operators.model import FEATURES, FitSettings, apply_model, feature_stages, load_model, model_labels, save_model
 from ..plans import evaluation as flow, prediction, training
 from ..schema import TEXT_COL, column_or
 from ..session import new_path
@@ -435,7 +435,7 @@ def ml_features(spark: SparkSession, sf: str) -> DataFrame:
     stages = feature_stages([r["term"] for r in vocab], [r["idf"] for r in vocab])
     path = new_path(spark, "model")
     save_model(PipelineModel(stages=stages), path)
-    values = vector_to_array("features")
+    values = vector_to_array(FEATURES)
     return load_model(spark, path).transform(df).select(
         KEY,
         F.size(F.filter(values, lambda x: x > 0)).cast("bigint").alias("n_terms"),

@@ -21,18 +21,22 @@ def batch_scorer(load: Callable[[], Scorer], batch_size: int = BATCH):
     """Column function ``input -> array<double>``.
 
     ``load`` runs once per task. Only the input column crosses to Python; the
-    other columns of the row stay in the JVM.
+    other columns of the row stay in the JVM. A null input never reaches the model and
+    has a null result.
     """
 
     @F.pandas_udf("array<double>")
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         model = load()
         for series in batches:
-            values = series.tolist()
-            rows: list[np.ndarray] = []
+            given = np.flatnonzero(series.notna().to_numpy())
+            values = series.iloc[given].tolist()
+            rows: list[np.ndarray | None] = [None] * len(series)
             for at in range(0, len(values), batch_size):
-                rows.extend(np.asarray(model(values[at : at + batch_size]), dtype=np.float64))
-            yield pd.Series(rows)
+                done = np.asarray(model(values[at : at + batch_size]), dtype=np.float64)
+                for i, row in zip(given[at : at + batch_size], done):
+                    rows[i] = row
+            yield pd.Series(rows, dtype=object)
 
     return score
 
@@ -47,29 +51,18 @@ def score_rows(
 ) -> DataFrame:
     """Adds ``probabilities``, ``predicted`` (argmax) and ``confidence``.
 
-    Only rows under ``mask`` reach the model; the rest are added back unscored.
-    A condition around the call instead would still send every row to Python.
+    One pass: rows outside ``mask`` go through as nulls, which the model never sees, and
+    stay unscored, as do rows whose input is null.
     """
-    scorer = batch_scorer(load, batch_size)
-    chosen = F.lit(True) if mask is None else mask
-    todo = df.where(chosen).withColumn("logits", scorer(F.col(input_col)))
-    scored = todo.withColumn("probabilities", softmax(F.col("logits"))).drop("logits")
-    scored = scored.withColumns(
+    given = F.col(input_col) if mask is None else F.when(mask, F.col(input_col))
+    scored = df.withColumn("__logits", batch_scorer(load, batch_size)(given))
+    scored = scored.withColumn("probabilities", softmax(F.col("__logits"))).drop("__logits")
+    return scored.withColumns(
         {
             "predicted": label_at(argmax(F.col("probabilities")), labels),
             "confidence": confidence(F.col("probabilities")),
         }
     )
-    if mask is None:
-        return scored
-    rest = df.where(~F.coalesce(chosen, F.lit(False))).withColumns(
-        {
-            "probabilities": F.lit(None).cast("array<double>"),
-            "predicted": F.lit(None).cast("string"),
-            "confidence": F.lit(None).cast("double"),
-        }
-    )
-    return scored.unionByName(rest)
 
 
 def embed_text(df: DataFrame, text: str, load: Callable[[], Scorer], target: str = "embedding") -> DataFrame:

@@ -10,9 +10,11 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from ..functions import labels as lab, scores as sc, text as tx
 from ..operators.model import apply_model, load_model, model_labels
 from ..operators.scoring import BATCH, Scorer, score_rows
-from ..schema import PREDICT_REQUIRED, TEXT_COL, drop_working, ensure_columns, rename_in, rename_out, require_columns
+from ..schema import PREDICT_REQUIRED, TEXT_COL, ensure_columns, rename_in, rename_out, require_columns
 from ..sources.tables import read_csv, write_csv
 
+_MASK = "__mask"
+
 
 def _prepared(df: DataFrame, predict_all: bool) -> tuple[DataFrame, Column]:
     require_columns(df, PREDICT_REQUIRED)
@@ -59,13 +61,16 @@ def predict(
     """All rows; those under the mask get ``verdict``, ``confidence`` and
     ``needs_review``.
 
-    Masked rows are scored in place and the others added back, so nothing is
-    joined or shuffled and the columns are the same when there is nothing to do.
+    One pass without a join or a shuffle: the model sees an empty text where the mask is
+    off, and what it says there is not used. The columns are the same when there is
+    nothing to do; a caller's own columns keep their names and values.
     """
     ready, mask = _prepared(df, predict_all)
-    todo = decide(apply_model(model, ready.where(mask)), model_labels(model), rules, confidence_threshold)
-    scored = todo.withColumn("verdict", F.col("label").cast("string"))
-    return drop_working(_with_rest(scored, ready, mask, df))
+    own = {c: f"__own_{c}" for c in ("label", "predicted_class", "probabilities") if c in df.columns}
+    ready = ready.withColumn(_MASK, mask).withColumnsRenamed(own)
+    asked = ready.withColumn(TEXT_COL, F.when(F.col(_MASK), F.col(TEXT_COL)).otherwise(""))
+    scored = decide(apply_model(model, asked), model_labels(model), rules, confidence_threshold)
+    return _filled(scored.withColumn("__said", F.col("label").cast("string")), own, df)
 
 
 def predict_with_scorer(
@@ -78,27 +83,26 @@ def predict_with_scorer(
 ) -> DataFrame:
     """As :func:`predict` with an injected logit scorer and a plain argmax."""
     ready, mask = _prepared(df, predict_all)
-    scored = score_rows(ready.where(mask), TEXT_COL, load, None, labels, batch_size).withColumns(
-        {
-            "verdict": F.col("predicted"),
-            "needs_review": sc.needs_review(F.col("confidence"), confidence_threshold),
-        }
-    )
-    return drop_working(_with_rest(scored, ready, mask, df))
-
-
-def _with_rest(scored: DataFrame, ready: DataFrame, mask: Column, df: DataFrame) -> DataFrame:
-    """The scored rows and the untouched ones with null scores; earlier scores are replaced."""
-    kept = [c for c in df.columns if c not in ("confidence", "needs_review")]
-    columns = [*kept, *([] if "verdict" in kept else ["verdict"])]
-    rest = ready.where(~mask).withColumns(
-        {
-            "confidence": F.lit(None).cast("double"),
-            "needs_review": F.lit(None).cast("boolean"),
-        }
-    )
-    return scored.select(*columns, "confidence", "needs_review").unionByName(
-        rest.select(*columns, "confidence", "needs_review")
+    own = {c: f"__own_{c}" for c in ("predicted", "probabilities") if c in df.columns}
+    ready = ready.withColumn(_MASK, mask).withColumnsRenamed(own)
+    scored = score_rows(ready, TEXT_COL, load, F.col(_MASK), labels, batch_size)
+    flagged = scored.withColumn("needs_review", sc.needs_review(F.col("confidence"), confidence_threshold))
+    return _filled(flagged.withColumn("__said", F.col("predicted")), own, df)
+
+
+def _filled(scored: DataFrame, own: Mapping[str, str], df: DataFrame) -> DataFrame:
+    """The columns of ``df`` with the verdicts filled in and the scores of masked rows;
+    earlier scores are replaced."""
+    masked = F.col(_MASK)
+    kept = [c for c in df.columns if c not in ("verdict", "confidence", "needs_review")]
+    names = [c for c in df.columns if c in kept or c == "verdict"]
+    names += [] if "verdict" in names else ["verdict"]
+    values = {c: F.col(own.get(c, f"`{c}`")).alias(c) for c in kept}
+    values["verdict"] = F.when(masked, F.col("__said")).otherwise(F.col("verdict")).alias("verdict")
+    return scored.select(
+        *[values[c] for c in names],
+        F.when(masked, F.col("confidence")).alias("confidence"),
+        F.when(masked, F.col("needs_review")).alias("needs_review"),
     )
 
 

@@ -152,3 +152,20 @@ def test_batch_scorer_loads_and_batches(spark, n):
 
     out = spark.range(n).coalesce(1).select("id", batch_scorer(load)("id").alias("s")).collect()
     assert {r["id"]: list(r["s"]) for r in out} == {i: [i, i * 2.0] for i in range(n)}
+
+
+def test_null_inputs_never_reach_the_model(spark):
+    import numpy as np
+
+    from sievewright.operators.scoring import score_rows
+
+    def load():
+        def model(values):
+            assert all(v is not None for v in values)
+            return np.array([[len(v), 0.0, 1.0] for v in values])
+
+        return model
+
+    df = spark.createDataFrame([(1, "abc", True), (2, None, True), (3, "x", False), (4, "y", None)], "id long, t string, m boolean")
+    out = {r["id"]: r["predicted"] for r in score_rows(df, "t", load, F.col("m")).collect()}
+    assert out == {1: "Maybe", 2: None, 3: None, 4: None}

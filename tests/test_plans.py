@@ -79,7 +79,8 @@ def test_tfidf_drops_foreign_grams_in_the_task(spark, no_auto_broadcast):
     df = spark.range(10).selectExpr("id k", "concat('some words ', id) text")
     vocab = spark.createDataFrame([("words", 1.0)], "term string, idf double")
     p = plan(ft.tfidf(df, "k", "text", vocab))
-    assert "BroadcastHashJoin" in p.split("partial_count")[1]
+    assert "BroadcastHashJoin" in p.split("Exchange hashpartitioning")[1]
+    assert p.count("Exchange hashpartitioning") == 1
 
 
 def test_search_makes_no_pairs(spark, tmp_path, no_auto_broadcast):
