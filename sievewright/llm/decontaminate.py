@@ -6,7 +6,8 @@ random sign, to one of ``SKETCH`` rows. Weighted by inverse document frequency,
 sketch's singular vectors are a randomised SVD of the TF-IDF passages. A second pass maps
 windows of the documents and the benchmark items into that space; windows are as long as
 items of their length class and overlap by three quarters. Windows whose cosine with an
-item reaches ``COSINE`` are compared with it word by word: a longest common subsequence of
+item reaches ``COSINE``, and stretches that share a run of ``RUN`` words with it, however
+common its words are, are compared with it word by word: a longest common subsequence of
 ``COPY`` of the item is a leak, and one of ``PARAPHRASE`` is, if the answer (the item's last
 sentence, unless a column names it) is found there too. Items of fewer than ``SHORT`` words
 must stand there word for word.
@@ -25,7 +26,7 @@ import numpy as np
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-from .common import Shared, hashed_words, map_batches, map_slices, mix, slices, source_columns, words_by_text
+from .common import Shared, hashed_words, map_batches, map_slices, mix, shingle_hashes, slices, source_columns, words_by_text
 
 BITS = 15
 PASSAGE = 64
@@ -33,6 +34,8 @@ SKETCH = 128
 LATENT = 64
 MOST_DOCS = 0.05
 LEAST_DOCS = 20  # of a small corpus
+FLOOR = 0.1  # weight of a word in more of them
+RUN, RUN_BITS = 4, 22
 COSINE = 0.5
 COPY, PARAPHRASE, ANSWER = 0.8, 0.6, 0.8
 SHORT = 8
@@ -109,8 +112,8 @@ def fit(docs: DataFrame) -> np.ndarray:
             seen, total = np.frombuffer(r.sums, "<f4").astype(float), r.n
         else:
             sketch[r.row] = np.frombuffer(r.sums, "<f4")
-    # Words in more than a twentieth of the documents weigh nothing, rarer ones by their rarity.
-    weight = np.maximum(np.log(max(MOST_DOCS * total, LEAST_DOCS) / (1 + seen)), 0)
+    # Words weigh by their rarity, and a little in any case, so that no item's vector vanishes.
+    weight = np.maximum(np.log(max(MOST_DOCS * total, LEAST_DOCS) / (1 + seen)), FLOOR)
     sketch *= weight.astype(np.float32)
     # The right singular vectors, from the small Gram matrix of the sketch's rows.
     power, left = np.linalg.eigh(sketch.astype(np.float64) @ sketch.T.astype(np.float64))
@@ -139,6 +142,21 @@ class Items:
         self.kind = np.abs(steps).argmin(1)
         vectors = np.array([self.projection[fresh(features(w))].sum(0) for w in self.words]) if len(sizes) else np.zeros((0, 1))
         self.vectors = vectors / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-9)
+        # Runs by their length (shorter items are one run): sorted hashes, their items and places there.
+        self.runs: dict[int, tuple] = {}
+        for k in sorted({min(len(w), RUN) for w in self.words} - {0}):
+            own = [(i, shingle_hashes(w, k)) for i, w in enumerate(self.words) if min(len(w), RUN) == k]
+            keys = np.concatenate([h for _, h in own])
+            item = np.repeat([i for i, _ in own], [len(h) for _, h in own])
+            place = np.concatenate([np.arange(len(h)) for _, h in own])
+            order = np.argsort(keys, kind="stable")
+            flags = np.zeros(1 << RUN_BITS, bool)
+            flags[keys & np.uint64((1 << RUN_BITS) - 1)] = True
+            self.runs[k] = keys[order], item[order], place[order], flags
+
+    def cosine(self, i: int, words: np.ndarray) -> float:
+        vector = self.projection[fresh(features(words))].sum(0)
+        return float(vector @ self.vectors[i] / max(np.linalg.norm(vector), 1e-9))
 
 
 def last_sentence(text: str) -> str:
@@ -201,6 +219,25 @@ def candidates(hashes: np.ndarray, sizes: np.ndarray, items: Items):
                 yield d, i, first, first + width, c
 
 
+def verbatim(hashes: np.ndarray, sizes: np.ndarray, items: Items):
+    """(document, item, first word, last word) of stretches that share a run with an item."""
+    doc = np.repeat(np.arange(len(sizes)), sizes)
+    begins = np.cumsum(sizes) - sizes
+    for k, (keys, item, place, flags) in items.runs.items():
+        own = shingle_hashes(hashes, k)
+        at = np.flatnonzero(flags[own & np.uint64((1 << RUN_BITS) - 1)])
+        at = at[doc[at] == doc[at + k - 1]]
+        low, high = np.searchsorted(keys, own[at], "left"), np.searchsorted(keys, own[at], "right")
+        n = high - low
+        entry = np.repeat(low - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+        at = np.repeat(at, n)
+        d, i = doc[at], item[entry]
+        first = np.maximum(at - begins[d] - place[entry], 0)
+        last = first + np.array([len(w) for w in items.words])[i]
+        # Runs of one stretch all tell the same place.
+        yield from np.unique(np.column_stack([d, i, first, last]), axis=0).tolist()
+
+
 def leaks_of(words: np.ndarray, found: list[tuple], items: Items):
     """The best verified match of each item among candidate windows of one document."""
     regions: dict[int, list[list]] = {}
@@ -227,7 +264,7 @@ def leaks_of(words: np.ndarray, found: list[tuple], items: Items):
                 hit = share >= COPY or answered
             name = items.names[i]
             if hit and (name not in best or share > best[name][0]):
-                best[name] = (share, c, answered, a, b)
+                best[name] = (share, c if c >= COSINE else items.cosine(i, words[a:b]), answered, a, b)
     return best
 
 
@@ -261,6 +298,8 @@ def leaks(
                 near: dict[int, list] = {}
                 for d, i, a, b, c in candidates(hashes, sizes, items):
                     near.setdefault(d, []).append((i, a, b, c))
+                for d, i, a, b in verbatim(hashes, sizes, items):
+                    near.setdefault(d, []).append((i, a, b, 0.0))
                 ends = np.cumsum(sizes)
                 for d, found in near.items():
                     words = hashes[ends[d] - sizes[d] : ends[d]]

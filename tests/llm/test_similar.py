@@ -230,6 +230,23 @@ def test_benchmark_leaks(spark):
     assert decontaminate.leaks(df, benchmark.limit(0)).count() == 0
 
 
+def test_leaks_of_frequent_items_are_found(spark):
+    rng = random.Random(16)
+    hot, common = _words(rng, 24, 900), [f"c{i % 12}" for i in range(30)]
+    texts = []
+    for i in range(600):
+        own = [f"c{rng.randrange(12)}" if n % 3 else f"w{rng.randrange(900)}" for n in range(120)]
+        at = rng.randrange(100)
+        texts.append(own[:at] + hot + own[at:] if i % 3 == 0 else own)
+    texts[1] = texts[1][:50] + common + texts[1][50:]
+    df = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string").repartition(3)
+    bench = [(0, " ".join(hot)), (1, " ".join(common)), (2, " ".join(hot[3:6]))]
+    benchmark = spark.createDataFrame(bench, "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r.overlap for r in decontaminate.leaks(df, benchmark).collect()}
+    wanted = {(i, item) for i in range(0, 600, 3) for item in (0, 2)} | {(1, 1)}
+    assert set(got) == wanted and set(got.values()) == {1.0}
+
+
 def test_pipeline_over_the_smallest_tables(spark):
     import corpus_pipeline
 
