@@ -187,6 +187,31 @@ def test_repeated_passages(spark):
     assert passages.repeated(df.limit(0)).count() == 0
 
 
+def _cuts(spark, texts):
+    df = spark.createDataFrame([(i, " ".join(t)) for i, t in texts.items()], "doc_id long, text string").repartition(3)
+    return {(r.doc_id, r.passage_start, r.passage_end) for r in passages.repeated(df).collect()}
+
+
+def test_passage_whose_halves_stood_first_elsewhere(spark):
+    rng = random.Random(19)
+    texts, wanted = {}, set()
+    for n in range(0, 80, 4):
+        x, y = _words(rng, 30, 10**6), _words(rng, 30, 10**6)
+        for i, own in enumerate((x, y, x + y, x + y)):
+            texts[n + i] = _words(rng, 50, 10**6) + own + _words(rng, 50, 10**6)
+        wanted |= {(n + 2, 50, 110), (n + 3, 50, 110)}
+    found = _cuts(spark, texts)
+    assert {n + 3 for n in range(0, 80, 4)} <= {d for d, _, _ in found} and found <= wanted
+
+
+def test_passage_twice_in_a_later_document(spark):
+    rng = random.Random(20)
+    p, line = _words(rng, 70), _words(rng, 12)
+    q = _words(rng, 20) + line + _words(rng, 28)
+    texts = {1: p, 2: p + _words(rng, 40) + p, 3: _words(rng, 60) + q, 4: line + _words(rng, 60) + q}
+    assert _cuts(spark, texts) == {(2, 0, 70), (2, 110, 180), (4, 72, 132)}
+
+
 def test_chains_are_the_best_by_brute_force():
     rng = random.Random(2)
     for _ in range(40):
