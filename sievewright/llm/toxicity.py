@@ -10,7 +10,7 @@ by its highest length-normalised ratio in a run of words, and a small logistic
 regression, fitted on a bounded sample, turns the two into a score.
 
 Counts cover every labelled row that may be learned from, and are added up by Spark.
-Scoring holds them in tables of fixed size, by hash. Null texts are empty; a text without
+Scoring holds them in tables with a row for each distinct run, by 64-bit hash. Null texts are empty; a text without
 words scores 0, as nothing speaks against it. Null labels aren't learned from. With no label of one class,
 every score is 0. Repeated rows count, and are scored, each time. Extra columns are
 ignored.
@@ -31,7 +31,6 @@ from .quality import labelled_sample, learnable
 ORDER = 5
 DISCOUNT = 0.75
 RUN_WORDS = 8
-TOP_BITS, CONTEXT_BITS, LOW_BITS = 20, 18, 16
 CALIBRATION_ROWS = 20_000
 WORD = re.compile(r"\w+")
 START, END = "\x02", "\x03"
@@ -81,19 +80,34 @@ def gram_counts(docs: DataFrame, labels: DataFrame, label: str) -> DataFrame:
     return counted.groupBy("gram").agg(F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic"))
 
 
+class Counts:
+    """Exact sums by string: sorted 64-bit hashes and a column of sums for each name."""
+
+    def __init__(self, keys: np.ndarray, sums: np.ndarray):
+        self.keys, self.sums = keys, sums
+
+    def any(self) -> bool:
+        return bool(self.sums.any())
+
+    def get(self, place: int) -> float:
+        at = self.keys.searchsorted(place)
+        return float(self.sums[at]) if at < len(self.keys) and self.keys[at] == place else 0.0
+
+
 class KneserNey:
-    """Counts in tables of fixed size: of runs (``num``), of their contexts (``den``) and of
-    the distinct characters after a context (``kinds``)."""
+    """Exact counts of runs (``num``), of their contexts (``den``) and of the distinct
+    characters after a context (``kinds``)."""
 
     def __init__(self):
         self.num, self.den, self.kinds = {}, {}, {}
         self.cache: dict[str, float] = {}
 
     @staticmethod
-    def place(x: str, bits: int) -> int:
+    def place(x: str) -> np.int64:
         from xxhash import xxh64_intdigest
 
-        return xxh64_intdigest(x.encode(), SEED) & ((1 << bits) - 1)
+        digest = xxh64_intdigest(x.encode("utf-8", "replace"), SEED)
+        return np.int64(digest - (1 << 64) if digest >> 63 else digest)
 
     def shared(self, gram: str) -> float:
         """Probability of the last character after the others, from counts of both classes."""
@@ -101,13 +115,12 @@ class KneserNey:
         if n == 0:
             return 1.0 / 2_000
         lower = self.shared(gram[1:])
-        bits = LOW_BITS if n < 3 else CONTEXT_BITS
-        context = self.place(gram[:-1], bits)
-        total = float(self.den[n][context])
+        context = self.place(gram[:-1])
+        total = self.den[n].get(context)
         if not total:
             return lower
-        own = float(self.num[n][self.place(gram, bits)])
-        return (max(own - DISCOUNT, 0) + DISCOUNT * float(self.kinds[n][context]) * lower) / total
+        own = self.num[n].get(self.place(gram))
+        return (max(own - DISCOUNT, 0) + DISCOUNT * self.kinds[n].get(context) * lower) / total
 
     def ratio(self, gram: str) -> float:
         """log of toxic over ordinary probability of the last character after the others."""
@@ -116,12 +129,12 @@ class KneserNey:
             if len(self.cache) > 2_000_000:
                 self.cache.clear()
             lower = self.shared(gram[1:])
-            at, context = self.place(gram, TOP_BITS), self.place(gram[:-1], CONTEXT_BITS)
+            at, context = self.place(gram), self.place(gram[:-1])
             p = []
             for c in ("toxic", "ordinary"):
-                total = float(self.den[c][context])
-                own = float(self.num[c][at])
-                p.append((max(own - DISCOUNT, 0) + DISCOUNT * float(self.kinds[c][context]) * lower) / total if total else lower)
+                total = self.den[c].get(context)
+                own = self.num[c].get(at)
+                p.append((max(own - DISCOUNT, 0) + DISCOUNT * self.kinds[c].get(context) * lower) / total if total else lower)
             found = self.cache[gram] = float(np.log(p[0] / p[1])) if min(p) > 0 else 0.0
         return found
 
@@ -130,24 +143,22 @@ class KneserNey:
         return sum([ratio(g) for g in grams(word)])
 
 
-def _table(df: DataFrame, key: str, bits: int, **sums) -> dict[str, np.ndarray]:
-    """Sums by hashed key as arrays of 2^bits: what reaches the driver is bounded by that."""
-    place = F.xxhash64(key).bitwiseAND(F.lit((1 << bits) - 1)).alias("at")
-    rows = df.groupBy(place).agg(*[c.cast("double").alias(n) for n, c in sums.items()]).toArrow()
-    out = {}
-    for n in sums:
-        out[n] = np.zeros(1 << bits, np.float32)
-        out[n][rows["at"].to_numpy()] = rows[n].to_numpy()
-    return out
+def _table(df: DataFrame, key: str, **sums) -> dict[str, Counts]:
+    """Exact sums by key: a row of the driver for each distinct one."""
+    rows = df.groupBy(F.xxhash64(key).alias("at")).agg(*[c.cast("double").alias(n) for n, c in sums.items()]).toArrow()
+    keys = rows["at"].to_numpy()
+    order = np.argsort(keys)
+    keys = keys[order]
+    return {n: Counts(keys, rows[n].to_numpy()[order]) for n in sums}
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> KneserNey:
     model = KneserNey()
     top = settle(gram_counts(docs, labels, label), "toxic-grams")
     context = top.withColumn("context", F.expr(f"substring(gram, 1, {ORDER - 1})"))
-    num = _table(top, "gram", TOP_BITS, toxic=F.sum("toxic"), ordinary=F.sum("ordinary"))
+    num = _table(top, "gram", toxic=F.sum("toxic"), ordinary=F.sum("ordinary"))
     den = _table(
-        context, "context", CONTEXT_BITS, toxic=F.sum("toxic"), ordinary=F.sum("ordinary"),
+        context, "context", toxic=F.sum("toxic"), ordinary=F.sum("ordinary"),
         toxic_kinds=F.sum((F.col("toxic") > 0).cast("int")), ordinary_kinds=F.sum((F.col("ordinary") > 0).cast("int")),
     )
     for c in ("toxic", "ordinary"):
@@ -156,10 +167,9 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> KneserNey:
     for n in range(ORDER - 1, 0, -1):
         # One row per distinct longer run: its tail gains one distinct character to the left.
         here = longer.groupBy(F.expr("substring(gram, 2)").alias("gram")).agg(F.count("*").alias("left"))
-        bits = LOW_BITS if n < 3 else CONTEXT_BITS
-        model.num[n] = _table(here, "gram", bits, x=F.sum("left"))["x"]
+        model.num[n] = _table(here, "gram", x=F.sum("left"))["x"]
         after = here.withColumn("context", F.expr(f"substring(gram, 1, {n - 1})"))
-        both = _table(after, "context", bits, total=F.sum("left"), kinds=F.count("*"))
+        both = _table(after, "context", total=F.sum("left"), kinds=F.count("*"))
         model.den[n], model.kinds[n] = both["total"], both["kinds"]
         longer = here.select("gram")
     return model

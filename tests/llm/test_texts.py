@@ -137,3 +137,21 @@ def test_recurring_elements_of_a_host_go_and_copies_stay(spark):
     got = {r.page_id: r.text for r in html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     assert [got[i] for i in range(8)] == [f"Story {i} is here" for i in range(8)]
     assert {got[100 + i] for i in range(8)} == {"One story\ntold twice"}
+
+
+def test_toxicity_counts_are_exact(spark):
+    rng = random.Random(21)
+    texts = [" ".join("".join(chr(0x4E00 + rng.randrange(5000)) for _ in range(9)) for _ in range(60)) for _ in range(600)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(600)], "doc_id long, toxic int")
+    model = toxicity.fit(docs, labels)
+    learned = {r.doc_id for r in docs.where(quality.learnable(docs.doc_id)).collect()}
+    want: dict = {}
+    for i in sorted(learned):
+        for w in texts[i].split():
+            for g in toxicity.grams(w):
+                want.setdefault(g[:-1], [0, 0])[i % 2] += 1
+    assert len(want) > 200_000
+    for context in sorted(want)[::200]:
+        place = model.place(context)
+        assert [model.den[c].get(place) for c in ("ordinary", "toxic")] == want[context]
