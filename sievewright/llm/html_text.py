@@ -4,9 +4,10 @@ Pages are parsed into elements. Elements whose name, class, id or role says that
 menus, page headers, footers, sidebars, notices, adverts, forms, scripts, styles or reader
 comments go. Of what is left, every element with text is hashed with all below it, the
 hashes are counted per host, and an element that recurs on many pages of its host belongs
-to the site's template and goes too: outside an article, on three pages at least; inside
-one, on more than half of the host's pages and on ten at least. Only pages that differ in
-the rest of their text count, so copies of an article never make it a template.
+to the site's template and goes too: outside an article, if it is a block, on more than
+half of the host's pages without article and on three at least; inside one, on more than
+half of the host's pages and on ten at least. Only pages that differ in the rest of their
+text count, so copies of an article never make it a template.
 
 Blocks are joined by line ends, white space in a block becomes one blank, character
 references are decoded. A page with articles yields their text, else that of its main
@@ -61,7 +62,7 @@ CLOSES = {
     "option": ({"option"}, {"select"}),
 }
 KEEPS_OPEN = frozenset({"html", "body", "article", "main"})
-MIN_PAGES_OUTSIDE, MIN_PAGES_INSIDE, SHARE_INSIDE = 3, 10, 0.5
+MIN_PAGES_OUTSIDE, MIN_PAGES_INSIDE, SHARE_OUTSIDE, SHARE_INSIDE = 3, 10, 0.5, 0.5
 
 
 class Element:
@@ -145,8 +146,9 @@ def _find(element: Element, tag: str, out: list[Element]) -> list[Element]:
     return out
 
 
-def content(page: str) -> tuple[bool, list[tuple[str, list[int]]], list[int]]:
-    """Whether the text is an article's, its blocks, and the elements that hold them.
+def content(page: str) -> tuple[bool, list[tuple[str, list[int]]], list[int], list[bool]]:
+    """Whether the text is an article's, its blocks, the elements that hold them, and which
+    of these are blocks themselves.
 
     A block is a list of (text, elements around it) and an element is the hash of its name
     and of all text and elements below it.
@@ -157,6 +159,7 @@ def content(page: str) -> tuple[bool, list[tuple[str, list[int]]], list[int]]:
     roots = _find(root, "article", []) or _find(root, "main", [])
     inside = bool(roots)
     hashes: list[int] = []
+    solid: list[bool] = []
     blocks: list[list[tuple[str, list[int]]]] = [[]]
 
     # Depth is walked with a stack of its own: pages may nest deeper than calls can.
@@ -179,6 +182,7 @@ def content(page: str) -> tuple[bool, list[tuple[str, list[int]]], list[int]]:
                 blocks[-1].append((" ", list(around)))
             number = len(hashes)
             hashes.append(0)
+            solid.append(x.tag in BLOCK)
             around.append(number)
             parts.append([x.tag])
             todo.append(("close", x, number))
@@ -192,7 +196,7 @@ def content(page: str) -> tuple[bool, list[tuple[str, list[int]]], list[int]]:
             around.pop()
             if x.tag in BLOCK:
                 blocks.append([])
-    return inside, [b for b in blocks if b], hashes
+    return inside, [b for b in blocks if b], hashes, solid
 
 
 def render(blocks, hashes: list[int], gone: frozenset[int]) -> str:
@@ -213,9 +217,9 @@ def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", page:
 
     def parsed(batch, texts):
         pack = zstandard.ZstdCompressor(level=3).compress
-        whole, seen, insides, rests = [], [], [], []
+        whole, seen, insides, rests, totals = [], [], [], [], []
         for t in texts:
-            inside, blocks, hashes = content(t)
+            inside, blocks, hashes, solid = content(t)
             whole.append(pack(json.dumps([blocks, hashes], separators=(",", ":"), ensure_ascii=False).encode()))
             insides.append(inside)
             # The sum of its texts' hashes tells an element's share of the page, and so the rest.
@@ -228,15 +232,16 @@ def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", page:
                             h = np.int64(hash_text(text))
                             total += h
                             held[around] += h
-                own = {h: int(total - x) for h, x in zip(hashes, held) if x}
+                own = {h: int(total - x) for h, x, block in zip(hashes, held, solid) if x and (inside or block)}
             seen.append(list(own))
             rests.append(list(own.values()))
+            totals.append(int(total))
         return {
             "page_id": batch.column("page_id"), "url": batch.column("url"), "host": batch.column("host"),
-            "inside": insides, "seen": seen, "rests": rests, "content": whole,
+            "inside": insides, "seen": seen, "rests": rests, "total": totals, "content": whole,
         }
 
-    schema = f"page_id {kind}, url string, host string, inside boolean, seen array<long>, rests array<long>, content binary"
+    schema = f"page_id {kind}, url string, host string, inside boolean, seen array<long>, rests array<long>, total long, content binary"
     read = map_slices(rows.withColumn("host", host), "html", schema, parsed)
     named = read.where((F.col("host") != "") & F.col("page_id").isNotNull())
     elements = named.select("page_id", "host", "inside", F.explode(F.arrays_zip("seen", "rests")).alias("e")).select(
@@ -249,10 +254,11 @@ def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", page:
         .where(F.col("n") >= MIN_PAGES_OUTSIDE)
     )
     hosts = source_columns(rows.withColumn("host", host), host="host").groupBy("host").agg(F.count("*").alias("pages"))
+    plain = named.where("not inside and total != 0").select("host", "total").distinct().groupBy("host").agg(F.count("*").alias("plain"))
     many = F.when(
         F.col("inside"), (F.col("n") >= MIN_PAGES_INSIDE) & (F.col("n") > F.col("pages") * SHARE_INSIDE)
-    ).otherwise(F.lit(True))
-    template = counted.join(hosts, "host").where(many).select("host", "hash")
+    ).otherwise(F.col("n") > F.col("plain") * SHARE_OUTSIDE)
+    template = counted.join(hosts, "host").join(plain, "host", "left").where(many).select("host", "hash")
     gone = elements.join(template, ["host", "hash"]).groupBy("page_id").agg(F.collect_set("hash").alias("gone"))
     met = read.select("page_id", "url", "content").join(gone, "page_id", "left")
 

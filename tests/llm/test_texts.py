@@ -139,6 +139,16 @@ def test_recurring_elements_of_a_host_go_and_copies_stay(spark):
     assert {got[100 + i] for i in range(8)} == {"One story\ntold twice"}
 
 
+def test_words_and_shared_paragraphs_of_a_large_host_stay(spark):
+    rows = []
+    for i in range(30):
+        story = f"<p>Tale {i} is <b>very</b> long</p>"
+        shared = "<p>Quoted by three</p>" if i < 3 else ""
+        rows.append((i, f"http://a.example/{i}", f"<body><div><p>Welcome to our site</p></div>{story}{shared}</body>"))
+    got = {r.page_id: r.text for r in html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {i: f"Tale {i} is very long" + ("\nQuoted by three" if i < 3 else "") for i in range(30)}
+
+
 def test_toxicity_counts_are_exact(spark):
     rng = random.Random(21)
     texts = [" ".join("".join(chr(0x4E00 + rng.randrange(5000)) for _ in range(9)) for _ in range(60)) for _ in range(600)]
