@@ -7,7 +7,8 @@ set follows one path: the bucket it is in says which of its tokens is read, and
 says the next bucket, so sets stay together just as far as they share the sampled tokens.
 A bucket is split on, down to ``DEPTH`` tokens, while it holds more than ``SMALL`` sets;
 small ones are compared by brute force, in blocks if a deepest one is still large.
-Repetitions are as many as the target recall asks for a pair that is just similar enough.
+Repetitions are as many as the target recall asks for a pair that is just similar enough,
+on average over the number of tokens it shares, as all repetitions read the same tokens.
 
 In a bucket a pair is looked at in the first repetition that brings it together, so no
 pair is counted twice and none has to be written down. Pairs whose min-hash sketches could
@@ -82,8 +83,19 @@ def sketch_floor(similarity: float, tokens: int = TOKENS) -> int:
     return math.floor(tokens * similarity - 3.5 * math.sqrt(tokens * similarity * (1 - similarity)))
 
 
+def path_recall(similarity: float, repetitions: int, depth: int = DEPTH, tokens: int = TOKENS) -> float:
+    """Chance that a pair of this similarity stays together in some repetition, over the
+    binomial number of tokens it shares."""
+    p = similarity
+    shares = [(math.comb(tokens, m) * p**m * (1 - p) ** (tokens - m), m / tokens) for m in range(tokens + 1)]
+    return sum(chance * (1 - (1 - x**depth) ** repetitions) for chance, x in shares)
+
+
 def repetitions_for(similarity: float, recall: float, depth: int = DEPTH) -> int:
-    return math.ceil(math.log(1 - recall) / math.log(1 - similarity**depth))
+    n = math.ceil(math.log(1 - recall) / math.log(1 - similarity**depth))
+    while path_recall(similarity, n, depth) < recall:
+        n += 1
+    return n
 
 
 def near_copies(

@@ -143,6 +143,14 @@ def test_near_copies_against_brute_force(spark):
     assert set_join.near_copies(df.limit(0)).count() == 0
 
 
+def test_repetitions_reach_the_recall():
+    rng = np.random.default_rng(4)
+    n = set_join.repetitions_for(0.8, 0.999)
+    assert set_join.path_recall(0.8, n) >= 0.999 > set_join.path_recall(0.8, n - 1)
+    shared = rng.binomial(set_join.TOKENS, 0.8, 400_000) / set_join.TOKENS
+    assert (1 - (1 - shared**set_join.DEPTH) ** n).mean() >= 0.9988
+
+
 def test_components_of_a_long_path(spark):
     edges = spark.createDataFrame([(i + 1, i) for i in range(40)] + [(100, 101), (7, 7), (None, 3)], "a long, b long")
     got = {r.node: r.root for r in components.connected(edges).collect()}
