@@ -67,7 +67,7 @@ def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return set_join.near_copies(table(spark, sf_dir, "documents"))
+    return set_join.near_copies(table(spark, sf_dir, "documents")).drop("text_hash")
 
 
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -103,7 +103,7 @@ def near_copies(
 ) -> DataFrame:
     """One row per document: its ``class_id`` (the smallest id in the class), ``copies``
     (documents with the same set of runs, itself included) and ``links`` (other sets that
-    are similar enough)."""
+    are similar enough). ``text_hash`` tells rows that repeat an id apart."""
     repetitions = repetitions_for(similarity, recall)
     texts = source_columns(docs, id=id_col, text=text_col)
     kind = texts.schema["id"].dataType.simpleString()
@@ -118,9 +118,10 @@ def near_copies(
             walked = paths(hashed, repetitions).reshape(len(full), -1)
             for j, i in enumerate(full):
                 key[i], sketch[i], path[i] = set_key(sets[i]), small[j].tobytes(), walked[j].tobytes()
-        return {"id": batch.column("id"), "key": key, "sketch": sketch, "path": path}
+        return {"id": batch.column("id"), "text_hash": batch.column("text_hash"), "key": key, "sketch": sketch, "path": path}
 
-    rows = settle(map_slices(texts, "text", f"id {kind}, key binary, sketch binary, path binary", drawn), "sets")
+    told = texts.withColumn("text_hash", F.xxhash64("text"))
+    rows = settle(map_slices(told, "text", f"id {kind}, text_hash long, key binary, sketch binary, path binary", drawn), "sets")
     named = rows.where("key is not null and id is not null")
     distinct = settle(
         named.groupBy("key").agg(
@@ -139,11 +140,12 @@ def near_copies(
     per_key = per_key.select("key", "class_id", "copies", F.coalesce("links", F.lit(0)).alias("links"))
     one = F.when(F.col("id").isNotNull(), F.lit(1)).otherwise(0).cast("long")
     return (
-        rows.select("id", F.when(F.col("id").isNotNull(), F.col("key")).alias("key")).join(per_key, "key", "left").select(
+        rows.select("id", "text_hash", F.when(F.col("id").isNotNull(), F.col("key")).alias("key")).join(per_key, "key", "left").select(
             F.col("id").alias(id_col),
             F.coalesce("class_id", "id").alias("class_id"),
             F.coalesce("copies", one).alias("copies"),
             F.coalesce("links", F.lit(0)).cast("long").alias("links"),
+            "text_hash",
         )
     )
 
@@ -341,5 +343,7 @@ def _intersections(sets: list[np.ndarray], a: np.ndarray, b: np.ndarray, look: n
 def one_per_class(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents with the smallest id of each class; rows that repeat id and text
     become one. Rows with a null id belong to no class and stay."""
-    gone = found.where(F.col(id_col) != F.col("class_id")).select(id_col).distinct()
-    return docs.join(gone, id_col, "left_anti").dropDuplicates([id_col, text_col]).select(*docs.columns)
+    gone = found.where(F.col(id_col) != F.col("class_id")).select(id_col, F.col("text_hash").alias("__text")).distinct()
+    kept = docs.withColumn("__text", F.xxhash64(text_col)).join(gone, [id_col, "__text"], "left_anti").select(*docs.columns)
+    known = kept.where(F.col(id_col).isNotNull()).dropDuplicates([id_col, text_col])
+    return known.unionByName(docs.where(F.col(id_col).isNull()))

@@ -143,6 +143,16 @@ def test_near_copies_against_brute_force(spark):
     assert set_join.near_copies(df.limit(0)).count() == 0
 
 
+def test_rows_that_repeat_an_id_or_have_none_are_kept_by_text(spark):
+    rng = random.Random(22)
+    a, b = (" ".join(_words(rng, 60)) for _ in range(2))
+    rows = [(1, a), (5, a), (5, b), (5, b), (6, None), (None, a), (None, a), (None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    kept = set_join.one_per_class(df, set_join.near_copies(df)).collect()
+    wanted = [(1, a), (5, b), (6, None), (None, a), (None, a), (None, None)]
+    assert sorted(map(repr, map(tuple, kept))) == sorted(map(repr, wanted))
+
+
 def test_repetitions_reach_the_recall():
     rng = np.random.default_rng(4)
     n = set_join.repetitions_for(0.8, 0.999)
