@@ -484,7 +484,7 @@ def fit_masks(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def cross_validate(spark: SparkSession, sf: str) -> DataFrame:
-    out = training.cross_validate(_training(spark, sf), 5, FitSettings(max_iter=20))
+    out = training.cross_validate(_training(spark, sf), 5, FitSettings())
     return out.select(F.col("fold").cast("bigint").alias("fold"), "n", *[F.round(m, 4).alias(m) for m in ("accuracy", "macro_f1")])
 
 
