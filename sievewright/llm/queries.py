@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import new_path
-from . import ann, bpe, chat, decontaminate, html_text, passages, quality, set_join, token_files, toxicity
+from . import ann, bpe, chat, credentials, decontaminate, hard_negatives, html_text, merkle, oracle, passages, quality
+from . import set_join, token_files, toxicity
 from .common import table
 
 
@@ -75,6 +76,30 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _with_fold(scored.withColumnRenamed("__score", "score"), 0.5)
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = merkle.tampered_manifest(table(spark, sf_dir, "documents")).leaves
+    return found.withColumnRenamed("id", "doc_id").withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def op12_credentials(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = credentials.scan(table(spark, sf_dir, "documents"))
+    written = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s.kind, s.start, s.end)), ",")
+    count = lambda kind: F.size(F.filter("base", lambda s: s.kind == kind)).cast("long")
+    return found.select(
+        "doc_id",
+        *[count(kind).alias(f"n_{kind}") for kind in credentials.STRONG],
+        F.sha2(written("base"), 256).alias("base_sha256"),
+        written("spans").alias("spans"),
+    )
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.col("label").cast("long")
+    rows = table(spark, sf_dir, "embeddings")
+    moved = rows.withColumn("label", F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label))
+    return hard_negatives.mine(moved, F.col("id") % 100 == 0)
+
+
 QUERIES = {
     "op1_rp_forest": op1_rp_forest,
     "op2_chat_format": op2_chat_format,
@@ -86,6 +111,9 @@ QUERIES = {
     "op8_html_text": op8_html_text,
     "op9_chosen_path": op9_chosen_path,
     "op10_toxicity": op10_toxicity,
+    "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_credentials": op12_credentials,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 CHAT_SQL = r"""
@@ -110,4 +138,4 @@ SELECT conv_id, count(*) AS n_turns,
 FROM sized GROUP BY conv_id
 """
 
-ORACLE_SQL: dict[str, str] = {"op2_chat_format": CHAT_SQL}
+ORACLE_SQL: dict[str, str] = {"op2_chat_format": CHAT_SQL} | oracle.ORACLE_SQL
