@@ -5,7 +5,10 @@ Lineage must never repeat a billed call: each step of a wave is a written table.
 
 from __future__ import annotations
 
+import threading
+import time
 import warnings
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from typing import Protocol
@@ -31,6 +34,55 @@ class TextClient(Protocol):
     def complete(self, model: str, prompt: str) -> str: ...
 
 
+# Marks of a failure that may pass, in an exception's text or type.
+PASSING_MARKS = ("429", "500", "502", "503", "504", "rate limit", "timeout", "timed out", "temporarily", "overloaded", "connection reset")
+PASSING_TYPES = (TimeoutError, ConnectionError)
+
+
+def may_pass(exc: Exception) -> bool:
+    return isinstance(exc, PASSING_TYPES) or any(mark in str(exc).lower() for mark in PASSING_MARKS)
+
+
+@dataclass(frozen=True)
+class Pace:
+    """How fast a whole job may call, and how it meets failures that can pass.
+
+    ``calls_per_second`` holds for all tasks together: every task gets an equal part, for
+    as many tasks as can run at once. Attempts count as calls. A failed call that may
+    succeed later is tried ``retries`` times more, after ``first_wait`` seconds and then
+    twice as long each time, at most ``longest_wait``.
+    """
+
+    calls_per_second: float | None = None
+    retries: int = 0
+    first_wait: float = 1.0
+    longest_wait: float = 60.0
+    passing: Callable[[Exception], bool] = may_pass
+
+    def waits(self) -> list[float]:
+        return [min(self.first_wait * 2**i, self.longest_wait) for i in range(self.retries)]
+
+
+class TokenBucket:
+    """One token per ``1 / rate`` seconds and none in store, so that no span of time holds
+    more than its share; threads wait for theirs in turn."""
+
+    def __init__(self, rate: float | None, clock: Callable[[], float] = time.monotonic, sleep: Callable[[float], None] = time.sleep):
+        self.gap = 1.0 / rate if rate else 0.0
+        self.clock, self.sleep = clock, sleep
+        self.lock = threading.Lock()
+        self.next = clock() + self.gap
+
+    def take(self) -> None:
+        if not self.gap:
+            return
+        with self.lock:
+            now = self.clock()
+            turn = max(self.next, now)
+            self.next = turn + self.gap
+        self.sleep(turn - now)
+
+
 def error_text(exc: Exception) -> str:
     lowered = str(exc).lower()
     if any(mark in lowered for mark in KEY_FAILURE_MARKS):
@@ -64,26 +116,37 @@ class ResponseCache:
         ).parquet(self.path)
 
 
-def call_service(queue: DataFrame, client: TextClient, model: str, threads: int = THREADS) -> DataFrame:
+def call_service(
+    queue: DataFrame, client: TextClient, model: str, threads: int = THREADS, pace: Pace = Pace(), running: int | None = None
+) -> DataFrame:
     """``(prompt_hash, response, message)`` for each row of ``(prompt_hash, prompt)``.
 
     One thread pool per task; a failing call becomes an error text, with the exception's own
     text as ``message``, and leaves the others alone. ``message`` is null for an answer, so
-    an answer that reads like an error stays an answer. The rate limit is running tasks
-    times ``threads``.
+    an answer that reads like an error stays an answer. Open calls are at most running tasks
+    times ``threads``; their rate is that of ``pace``, divided over ``running`` tasks (by
+    default the session's cores: no more run at once).
     """
-
-    def one(prompt: str) -> tuple[str, str | None]:
-        try:
-            answer = client.complete(model, prompt)
-            return ("" if answer is None else str(answer).strip(), None)
-        except Exception as exc:  # every failure is data here
-            return (error_text(exc), str(exc))
+    running = running or queue.sparkSession.sparkContext.defaultParallelism
+    own_rate = pace.calls_per_second / running if pace.calls_per_second else None
+
+    def one(prompt: str, bucket: TokenBucket) -> tuple[str, str | None]:
+        waits = pace.waits()
+        while True:
+            bucket.take()
+            try:
+                answer = client.complete(model, prompt)
+                return ("" if answer is None else str(answer).strip(), None)
+            except Exception as exc:  # every failure is data here
+                if not waits or not pace.passing(exc):
+                    return (error_text(exc), str(exc))
+                time.sleep(waits.pop(0))
 
     def call(batches):
+        bucket = TokenBucket(own_rate)
         with ThreadPoolExecutor(max_workers=threads) as pool:
             for pdf in batches:
-                done = list(pool.map(one, pdf["prompt"]))
+                done = list(pool.map(lambda prompt: one(prompt, bucket), pdf["prompt"]))
                 out = pdf[["prompt_hash"]].copy()
                 out["response"] = [text for text, _ in done]
                 out["message"] = [message for _, message in done]
@@ -125,6 +188,7 @@ def run_wave(
     salts: int = SALTS,
     calls_per_batch: int = CALLS_PER_BATCH,
     failure: str | None = None,
+    pace: Pace = Pace(),
 ) -> DataFrame:
     """One answer per request, as a written table ``(key, response)``.
 
@@ -135,7 +199,8 @@ def run_wave(
     executor repeats at most the calls of its unfinished tasks, ``calls_per_task`` each.
 
     ``failure`` names a third column: the exception text of a failed call, null otherwise.
-    Prompts are written once, in the queue, which goes when the wave is written.
+    Prompts are written once, in the queue, which goes when the wave is written. ``pace``
+    bounds the calls per second of the whole wave and says what is tried again.
     """
     spark = requests.sparkSession
     if spark.conf.get("spark.speculation", "false") == "true":
@@ -168,7 +233,7 @@ def run_wave(
     for b in range(batches):
         path = f"{found}/batch={b}"
         part = waiting.where(F.col("batch") == b).repartition(tasks, "prompt_hash")
-        call_service(part, client, model, threads).write.parquet(path)
+        call_service(part, client, model, threads, pace, min(tasks, spark.sparkContext.defaultParallelism)).write.parquet(path)
         if cache is not None:
             cache.append(spark.read.schema(columns).parquet(path).where(F.col("message").isNull()), model)
     known = spark.read.schema(columns).parquet(found).select("prompt_hash", "response", "message")

@@ -7,6 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from ..schema import rename_in
+from . import csv_ranges
 
 # Cell texts that mean "missing" in the source files.
 NA_MARKERS = (
@@ -21,8 +22,8 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None)
     """CSV with a header, quoted line breaks and doubled quotes.
 
     Without a schema every column is a string: there is no second pass to infer
-    types. Missing markers become null. Files with line breaks inside cells cannot
-    be split, so large inputs are landed once with :func:`land`.
+    types. Missing markers become null. A file is read by one task; :func:`land_csv` and
+    :func:`csv_ranges.read_ranges` read large files by many.
     """
     reader = spark.read.option("header", True).option("multiLine", True)
     reader = reader.option("quote", '"').option("escape", '"')
@@ -59,18 +60,16 @@ def land_csv(
 
     The key is made once and written with the rows: the number of the file, by name, and the
     place in it, so that "keep the first" means the first in the files. Cells may hold line
-    breaks, so a file is read by one task, in order. A table that has a column ``key`` keeps
-    its own, as ``key_type``. The list of files, one row each, is all that is broadcast; the
-    driver holds it for any scan.
+    breaks; a file is still read by many tasks (:mod:`.csv_ranges`). A table that has a
+    column ``key`` keeps its own, as ``key_type``.
     """
-    raw = rename_in(read_csv(spark, source), headings or {})
-    if key in raw.columns:
+    headings = headings or {}
+    given = [headings.get(c, c) for c in csv_ranges.headings_of(spark, source)]
+    own = key in given
+    raw = na_to_null(rename_in(csv_ranges.read_ranges(spark, source, key=None if own else "__at"), headings))
+    if own:
         return land(raw.withColumn(key, F.col(f"`{key}`").cast(key_type)), path)
-    files = spark.createDataFrame(list(enumerate(sorted(raw.inputFiles()))), "__n long, __file string")
-    in_task = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    placed = raw.withColumns({"__file": F.input_file_name(), "__at": in_task})
-    named = placed.join(F.broadcast(files), "__file", "left")
-    return land(named.select((F.col("__n") * F.lit(1 << 33) + F.col("__at")).alias(key), *raw_columns(raw)), path)
+    return land(raw.select(F.col("__at").alias(key), *raw_columns(raw.drop("__at"))), path)
 
 
 def raw_columns(df: DataFrame) -> list[Column]:
