@@ -11,22 +11,20 @@ text count, so copies of an article never make it a template.
 
 Blocks are joined by line ends, white space in a block becomes one blank, character
 references are decoded. A page with articles yields their text, else that of its main
-element, else its whole body. Null html gives an empty text; a null url has no host, and a
-null page id no row to tell, so only element names count there. Repeated rows each give a
-row. Extra columns are ignored.
+element, else its whole body. Null html gives an empty text; a null url has no host, so only
+element names count there. Repeated rows each give a row. Extra columns are ignored.
 """
 
 from __future__ import annotations
 
 import html
-import json
 import re
 
 import numpy as np
-import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-from .common import map_batches, map_slices, source_columns
+from ..session import settle
+from .common import map_slices, source_columns
 
 TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>"
@@ -146,12 +144,12 @@ def _find(element: Element, tag: str, out: list[Element]) -> list[Element]:
     return out
 
 
-def content(page: str) -> tuple[bool, list[tuple[str, list[int]]], list[int], list[bool]]:
+def content(page: str, hashed: bool = True) -> tuple[bool, list[tuple[str, list[int]]], list[int], list[bool]]:
     """Whether the text is an article's, its blocks, the elements that hold them, and which
     of these are blocks themselves.
 
     A block is a list of (text, elements around it) and an element is the hash of its name
-    and of all text and elements below it.
+    and of all text and elements below it (0 unless ``hashed``).
     """
     from xxhash import xxh3_64_intdigest
 
@@ -172,7 +170,8 @@ def content(page: str) -> tuple[bool, list[tuple[str, list[int]]], list[int], li
             text = html.unescape(x)
             if text:
                 blocks[-1].append((text, list(around)))
-                parts[-1].append(" ".join(text.split()))
+                if hashed:
+                    parts[-1].append(" ".join(text.split()))
         elif what == "open":
             if x.chrome:
                 continue
@@ -190,9 +189,10 @@ def content(page: str) -> tuple[bool, list[tuple[str, list[int]]], list[int], li
                 todo.append(("open", y, None) if isinstance(y, Element) else ("text", y, None))
         else:
             own = parts.pop()
-            digest = xxh3_64_intdigest("\x1f".join(own))
-            hashes[number] = digest - (1 << 64) if digest >> 63 else digest
-            parts[-1].append(format(digest, "x"))
+            if hashed:
+                digest = xxh3_64_intdigest("\x1f".join(own))
+                hashes[number] = digest - (1 << 64) if digest >> 63 else digest
+                parts[-1].append(format(digest, "x"))
             around.pop()
             if x.tag in BLOCK:
                 blocks.append([])
@@ -210,17 +210,21 @@ def render(blocks, hashes: list[int], gone: frozenset[int]) -> str:
 
 
 def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", page: str = "html") -> DataFrame:
-    """page_id, url, text of every page."""
+    """page_id, url, text of every page.
+
+    Pages are parsed twice: once for the elements they hold, which are written, and again,
+    with the few of them that the host's template holds, for the text. A page is known by
+    the hash of its row, so equal rows are the same page and null ids are no special case.
+    """
     rows = source_columns(pages, page_id=page_id, url=url, html=page)
     kind = rows.schema["page_id"].dataType.simpleString()
     host = F.lower(F.regexp_extract("url", r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)", 1))
+    rows = rows.withColumns({"host": host, "row": F.xxhash64("page_id", "url", "html")})
 
     def parsed(batch, texts):
-        pack = zstandard.ZstdCompressor(level=3).compress
-        whole, seen, insides, rests, totals = [], [], [], [], []
+        seen, insides, rests, totals = [], [], [], []
         for t in texts:
             inside, blocks, hashes, solid = content(t)
-            whole.append(pack(json.dumps([blocks, hashes], separators=(",", ":"), ensure_ascii=False).encode()))
             insides.append(inside)
             # The sum of its texts' hashes tells an element's share of the page, and so the rest.
             held = np.zeros(len(hashes), np.int64)
@@ -236,16 +240,12 @@ def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", page:
             seen.append(list(own))
             rests.append(list(own.values()))
             totals.append(int(total))
-        return {
-            "page_id": batch.column("page_id"), "url": batch.column("url"), "host": batch.column("host"),
-            "inside": insides, "seen": seen, "rests": rests, "total": totals, "content": whole,
-        }
-
-    schema = f"page_id {kind}, url string, host string, inside boolean, seen array<long>, rests array<long>, total long, content binary"
-    read = map_slices(rows.withColumn("host", host), "html", schema, parsed)
-    named = read.where((F.col("host") != "") & F.col("page_id").isNotNull())
-    elements = named.select("page_id", "host", "inside", F.explode(F.arrays_zip("seen", "rests")).alias("e")).select(
-        "page_id", "host", "inside", F.col("e.seen").alias("hash"), F.col("e.rests").alias("rest")
+        return {"row": batch.column("row"), "host": batch.column("host"), "inside": insides, "seen": seen, "rests": rests, "total": totals}
+
+    schema = "row long, host string, inside boolean, seen array<long>, rests array<long>, total long"
+    named = settle(map_slices(rows.where(F.col("host") != ""), "html", schema, parsed), "page-elements")
+    elements = named.select("row", "host", "inside", F.explode(F.arrays_zip("seen", "rests")).alias("e")).select(
+        "row", "host", "inside", F.col("e.seen").alias("hash"), F.col("e.rests").alias("rest")
     )
     # A page is told by the rest of its text, so that copies of a page count once.
     counted = (
@@ -253,25 +253,24 @@ def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", page:
         .groupBy("host", "hash").agg(F.count("*").alias("n"), F.max("inside").alias("inside"))
         .where(F.col("n") >= MIN_PAGES_OUTSIDE)
     )
-    hosts = source_columns(rows.withColumn("host", host), host="host").groupBy("host").agg(F.count("*").alias("pages"))
+    hosts = named.groupBy("host").agg(F.count("*").alias("pages"))
     plain = named.where("not inside and total != 0").select("host", "total").distinct().groupBy("host").agg(F.count("*").alias("plain"))
     many = F.when(
         F.col("inside"), (F.col("n") >= MIN_PAGES_INSIDE) & (F.col("n") > F.col("pages") * SHARE_INSIDE)
     ).otherwise(F.col("n") > F.col("plain") * SHARE_OUTSIDE)
     template = counted.join(hosts, "host").join(plain, "host", "left").where(many).select("host", "hash")
-    gone = elements.join(template, ["host", "hash"]).groupBy("page_id").agg(F.collect_set("hash").alias("gone"))
-    met = read.select("page_id", "url", "content").join(gone, "page_id", "left")
-
-    def rendered(batches):
-        unpack = zstandard.ZstdDecompressor().decompress
-        for batch in batches:
-            texts = []
-            for whole, drop in zip(batch.column("content").to_pylist(), batch.column("gone").to_pylist()):
-                blocks, hashes = json.loads(unpack(whole))
-                texts.append(render(blocks, hashes, frozenset(drop or ())))
-            yield {"page_id": batch.column("page_id"), "url": batch.column("url"), "text": texts}
-
-    return map_batches(met, f"page_id {kind}, url string, text string", rendered)
+    # Written first: where no page has any, or few have, the pages needn't be exchanged.
+    gone = settle(elements.join(template, ["host", "hash"]).groupBy("row").agg(F.collect_set("hash").alias("gone")), "page-templates")
+    met = rows.select("page_id", "url", "html", "row").join(gone, "row", "left")
+
+    def rendered(batch, texts):
+        found = []
+        for t, drop in zip(texts, batch.column("gone").to_pylist()):
+            _, blocks, hashes, _ = content(t, hashed=bool(drop))
+            found.append(render(blocks, hashes, frozenset(drop or ())))
+        return {"page_id": batch.column("page_id"), "url": batch.column("url"), "text": found}
+
+    return map_slices(met, "html", f"page_id {kind}, url string, text string", rendered)
 
 
 def hash_text(text: str) -> int:
