@@ -164,17 +164,19 @@ SPLIT = """split AS (SELECT candidate_id, verdict_clean,
 
 
 def _soft(name: str, start: int) -> str:
-    return ", ".join(
-        f"exp({LOGIT_SCALE} * embedding[{start + i}]::DOUBLE) / (" + " + ".join(
-            f"exp({LOGIT_SCALE} * embedding[{start + j}]::DOUBLE)" for j in range(3)
-        ) + f") AS {name}{i}"
-        for i in range(3)
-    )
+    return ", ".join(f"exp(l{start + i}) / (exp(l{start}) + exp(l{start + 1}) + exp(l{start + 2})) AS {name}{i}" for i in range(3))
+
+
+def _sums() -> str:
+    """Six sums, each of every sixth vector position."""
+    own = "list_sum(list_transform(list_filter(embedding, lambda x, at: (at - 1) % 6 = {i}), lambda x: x::DOUBLE))"
+    return ", ".join(f"{LOGIT_SCALE} * {own.format(i=i)} AS l{i}" for i in range(6))
 
 
-SCORED = f"""scored AS (SELECT vec_id,
+SCORED = f"""sums AS (SELECT vec_id, label, {_sums()} FROM embeddings),
+  scored AS (SELECT vec_id,
     CASE label % 3 WHEN 0 THEN 'Maybe' WHEN 1 THEN 'No' ELSE 'Yes' END AS truth,
-    {_soft('p', 1)}, {_soft('q', 4)} FROM embeddings)"""
+    {_soft('p', 0)}, {_soft('q', 3)} FROM sums)"""
 
 
 def best(name: str) -> str:

@@ -23,7 +23,7 @@ from . import stub
 Query = Callable[[SparkSession, str], DataFrame]
 KEY = "candidate_id"
 EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
-LOGIT_SCALE = 10.0
+LOGIT_SCALE = 3.0
 REVIEW_BELOW = 0.6
 
 
@@ -310,15 +310,16 @@ def tfidf_relational(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _logits(start: int) -> Column:
-    """Three scaled vector positions as logits in the order Maybe, No, Yes."""
-    part = F.slice("embedding", start, 3)
-    return F.transform(part, lambda x: x.cast("double") * F.lit(LOGIT_SCALE))
+    """Logits in the order Maybe, No, Yes: each the scaled sum of every sixth vector position."""
+    every = lambda i: F.filter("embedding", lambda x, at: at % 6 == start + i)
+    total = lambda i: F.aggregate(every(i), F.lit(0.0), lambda a, x: a + x.cast("double"))
+    return F.array(*[total(i) * F.lit(LOGIT_SCALE) for i in range(3)])
 
 
 def _scored(spark: SparkSession, sf: str) -> DataFrame:
     df = table(spark, sf, "embeddings")
     truth = sc.label_at((F.col("label") % 3).cast("int"))
-    return df.select("vec_id", truth.alias("truth"), sc.softmax(_logits(1)).alias("p"), sc.softmax(_logits(4)).alias("q"))
+    return df.select("vec_id", truth.alias("truth"), sc.softmax(_logits(0)).alias("p"), sc.softmax(_logits(3)).alias("q"))
 
 
 def softmax_argmax(spark: SparkSession, sf: str) -> DataFrame:

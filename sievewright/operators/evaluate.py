@@ -16,10 +16,16 @@ LEAST_PROBABILITY = 2.2250738585072014e-308  # of normal doubles
 
 
 def confusion_matrix(
-    df: DataFrame, truth: str, predicted: str, labels: Sequence[str] = LABELS
+    df: DataFrame, truth: str, predicted: str, labels: Sequence[str] = LABELS, other: str | None = None
 ) -> DataFrame:
-    """One row per true label, one count column per predicted label."""
+    """One row per true label, one count column per predicted label.
+
+    ``other`` names a column for predictions outside the set, missing ones included, so
+    that every row of the table is counted; true labels outside it have rows of their own.
+    """
     cells = [F.count_if(F.col(predicted) == p).alias(p) for p in labels]
+    if other is not None:
+        cells.append(F.count_if(F.coalesce(~F.col(predicted).isin(*labels), F.lit(True))).alias(other))
     return df.groupBy(truth).agg(*cells).orderBy(truth)
 
 

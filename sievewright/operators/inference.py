@@ -5,6 +5,7 @@ Lineage must never repeat a billed call: each step of a wave is a written table.
 
 from __future__ import annotations
 
+import hashlib
 import threading
 import time
 import warnings
@@ -18,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.parse import ERROR_MARK
 from ..session import discard, new_path, settle
+from ..sources.stored import StoredTable
 from .skew import SALTS, salted_left_join
 
 THREADS = 32
@@ -98,9 +100,9 @@ class ResponseCache:
 
     SCHEMA = "prompt_hash string, response string, model string"
 
-    def read(self, spark: SparkSession, model: str) -> DataFrame:
+    def read(self, spark: SparkSession, model: str, wanted: DataFrame | None = None) -> DataFrame:
         """Stored ``(prompt_hash, response)`` of one model, as written; two runs may
-        have stored the same prompt."""
+        have stored the same prompt. All of them are read, whatever is ``wanted``."""
         try:
             table = spark.read.schema(self.SCHEMA).parquet(self.path)
         except AnalysisException as exc:
@@ -116,6 +118,39 @@ class ResponseCache:
         ).parquet(self.path)
 
 
+@dataclass(frozen=True)
+class StoredCache:
+    """As :class:`ResponseCache`, a stored table per model in buckets by prompt hash.
+
+    A wave reads only the buckets that hold a prompt it asks for. Answers are appended, a
+    folder per bucket and batch, until ``compact`` makes them one.
+    """
+
+    path: str
+    buckets: int = 256
+
+    def table(self, spark: SparkSession, model: str) -> StoredTable:
+        return StoredTable(spark, f"{self.path}/{hashlib.sha256(model.encode()).hexdigest()[:32]}")
+
+    def read(self, spark: SparkSession, model: str, wanted: DataFrame | None = None) -> DataFrame:
+        """Stored ``(prompt_hash, response)``, of the prompt hashes in ``wanted`` if given."""
+        table = self.table(spark, model)
+        if not table.versions():
+            return spark.createDataFrame([], "prompt_hash string, response string")
+        return table.read() if wanted is None else table.lookup(wanted)
+
+    def append(self, answers: DataFrame, model: str) -> None:
+        table = self.table(answers.sparkSession, model)
+        rows = answers.select("prompt_hash", "response")
+        if table.versions():
+            table.append(rows)
+        else:
+            table.create(rows, "prompt_hash", self.buckets)
+
+    def compact(self, spark: SparkSession, model: str) -> None:
+        self.table(spark, model).compact()
+
+
 def call_service(
     queue: DataFrame, client: TextClient, model: str, threads: int = THREADS, pace: Pace = Pace(), running: int | None = None
 ) -> DataFrame:
@@ -182,7 +217,7 @@ def run_wave(
     key: str = "candidate_id",
     prompt: str = "prompt",
     response: str = "response",
-    cache: ResponseCache | None = None,
+    cache: ResponseCache | StoredCache | None = None,
     threads: int = THREADS,
     calls_per_task: int = CALLS_PER_TASK,
     salts: int = SALTS,
@@ -211,7 +246,7 @@ def run_wave(
     if cache is not None:
         # The stored answers in use are fixed here, before this wave adds to the folder.
         kept = settle(
-            cache.read(spark, model)
+            cache.read(spark, model, wanted)
             .join(wanted, "prompt_hash", "left_semi")
             .groupBy("prompt_hash")
             .agg(F.min("response").alias("response")),

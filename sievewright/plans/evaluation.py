@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions import labels as lab, parse, templates as tpl, text as tx
 from ..operators.dedup import dedup_first
-from ..operators.inference import CALLS_PER_BATCH, CALLS_PER_TASK, THREADS, ResponseCache, TextClient, run_wave
+from ..operators.inference import CALLS_PER_BATCH, CALLS_PER_TASK, THREADS, Pace, ResponseCache, StoredCache, TextClient, run_wave
 from ..operators.merge import scatter, update_merge, write_back
 from ..schema import column_or, ensure_columns, rename_out, require_columns
 from ..session import new_path, settle
@@ -41,10 +41,11 @@ class Service:
     client: TextClient
     writer: str
     judge: str
-    cache: ResponseCache | None = None
+    cache: ResponseCache | StoredCache | None = None
     threads: int = THREADS
     calls_per_task: int = CALLS_PER_TASK
     calls_per_batch: int = CALLS_PER_BATCH
+    pace: Pace = Pace()
 
     def wave(self, requests: DataFrame, model: str, response: str, failure: str | None = None) -> DataFrame:
         return run_wave(
@@ -58,6 +59,7 @@ class Service:
             calls_per_task=self.calls_per_task,
             calls_per_batch=self.calls_per_batch,
             failure=failure,
+            pace=self.pace,
         )
 
 

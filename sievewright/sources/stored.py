@@ -1,7 +1,6 @@
 """A stored table of points by key that is changed in place, a version at a time.
 
-Rows lie in buckets by a hash of their key. A manifest lists the files' folder of every
-bucket; the highest numbered one is the table. A change writes new folders for the buckets
+Rows lie in buckets by a hash of their key. A manifest lists the folders of every bucket; the highest numbered one is the table. A change writes new folders for the buckets
 it touches and then one new manifest that names them next to the old folders of all other
 buckets. Nothing that a manifest names is ever rewritten, so a run that stops half way
 leaves the last version as it was, readers of an old version are not disturbed, and two
@@ -35,7 +34,7 @@ class Version:
     key: str
     buckets: int
     schema: T.StructType
-    folders: dict[int, str]
+    folders: dict[int, list[str]]
 
 
 class StoredTable:
@@ -91,7 +90,7 @@ class StoredTable:
         return self._read(version, list(version.folders))
 
     def _read(self, version: Version, buckets: list[int]) -> DataFrame:
-        folders = sorted({f"{self.path}/{DATA}/{version.folders[b]}" for b in buckets if b in version.folders})
+        folders = sorted(f"{self.path}/{DATA}/{f}" for b in buckets for f in version.folders.get(b, []))
         if not folders:
             return self.spark.createDataFrame([], version.schema)
         return self.spark.read.schema(version.schema).parquet(*folders)
@@ -132,6 +131,31 @@ class StoredTable:
         hit = [b for b in self._touched(gone, now) if b in now.folders]
         return self._replace(now, hit, self._read(now, hit).join(gone, now.key, "left_anti")) if hit else now
 
+    def append(self, rows: DataFrame) -> Version:
+        """Add rows without looking at the stored ones; keys may then repeat until
+        :meth:`compact`. Folders of the buckets that get rows are added to their lists."""
+        now = self.version()
+        rows = rows.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in now.schema])
+        written = self._write(rows, now.key, now.buckets)
+        if not written:
+            return now
+        folders = {b: now.folders.get(b, []) + written.get(b, []) for b in {*now.folders, *written}}
+        made = Version(now.number + 1, now.key, now.buckets, now.schema, folders)
+        self._commit(made)
+        return made
+
+    def compact(self, most: int = 1) -> Version:
+        """Rewrite the buckets of more than ``most`` folders as one folder with one row per
+        key: of rows that repeat a key the smallest stays. Until the new manifest is there
+        the table is as before."""
+        now = self.version()
+        hit = [b for b, held in now.folders.items() if len(held) > most]
+        if not hit:
+            return now
+        rest = [f"`{f.name}`" for f in now.schema if f.name != now.key]
+        least = self._read(now, hit).groupBy(f"`{now.key}`").agg(F.min(F.struct(*rest)).alias("__r"))
+        return self._replace(now, hit, least.select(f"`{now.key}`", "__r.*").select(*[f"`{f.name}`" for f in now.schema]))
+
     def _replace(self, now: Version, hit: list[int], rows: DataFrame) -> Version:
         written = self._write(rows, now.key, now.buckets)
         kept = {b: f for b, f in now.folders.items() if b not in hit}
@@ -139,7 +163,7 @@ class StoredTable:
         self._commit(made)
         return made
 
-    def _write(self, rows: DataFrame, key: str, buckets: int) -> dict[int, str]:
+    def _write(self, rows: DataFrame, key: str, buckets: int) -> dict[int, list[str]]:
         """New folders for the buckets that have rows, ``PARTS`` files each, so that a large
         bucket is not one task and a change does not leave a file per task and bucket."""
         change = uuid.uuid4().hex
@@ -148,7 +172,7 @@ class StoredTable:
         dealt.write.partitionBy("__bucket").parquet(f"{self.path}/{DATA}/{change}")
         folder = self._path(f"{self.path}/{DATA}/{change}")
         names = [s.getPath().getName() for s in self._files.listStatus(folder)]
-        return {int(n.split("=")[1]): f"{change}/{n}" for n in names if n.startswith("__bucket=")}
+        return {int(n.split("=")[1]): [f"{change}/{n}"] for n in names if n.startswith("__bucket=")}
 
     def _touched(self, rows: DataFrame, version: Version) -> list[int]:
         """Buckets with a row: at most as many as the table has."""
@@ -161,7 +185,7 @@ class StoredTable:
         known = self.versions()
         for number in known[:-keep] if keep else known[:-1]:
             self._files.delete(self._path(f"{self.path}/{MANIFESTS}/{number:012d}"), False)
-        named = {f for n in self.versions() for f in self.version(n).folders.values()}
+        named = {f for n in self.versions() for held in self.version(n).folders.values() for f in held}
         gone = []
         root = self._path(f"{self.path}/{DATA}")
         for change in self._files.listStatus(root):

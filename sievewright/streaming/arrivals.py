@@ -10,6 +10,8 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from ..plans.evaluation import Service, Templates, evaluate
 from ..plans.prediction import predict
+from ..session import settle
+from .dedup import dedup_stream
 
 
 def score_stream(stream: DataFrame, model: PipelineModel, confidence_threshold: float = 0.0) -> DataFrame:
@@ -23,8 +25,13 @@ def evaluate_stream(
     templates: Templates,
     sink: Callable[[DataFrame, int], None],
     checkpoint: str,
+    remembered_ms: int | None = 0,
 ) -> DataStreamWriter:
-    """The evaluation flow per micro-batch.
+    """The evaluation flow per micro-batch, for résumés that no earlier batch had.
+
+    A résumé's address is remembered for ``remembered_ms`` (:func:`.dedup.dedup_stream`;
+    0: for ever, None: each batch is deduplicated alone), so that batches cost no more calls
+    than one table of the same rows.
 
     A batch that is repeated after a failure finds its answers in the cache, which
     is therefore required; ``sink`` must be idempotent per batch id.
@@ -33,6 +40,8 @@ def evaluate_stream(
         raise ValueError("evaluate_stream needs a response cache")
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        sink(evaluate(batch, service, templates), batch_id)
+        # Written first: the flow reads it several times, the stream's state must move once.
+        sink(evaluate(settle(batch, "arrivals"), service, templates), batch_id)
 
-    return stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
+    once = stream if remembered_ms is None else dedup_stream(stream, remembered_ms=remembered_ms)
+    return once.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)

@@ -119,3 +119,25 @@ def test_stream_needs_and_uses_the_cache(spark, people, tmp_path):
     got = spark.read.parquet(str(tmp_path / "out-0"))
     assert sorted(r["candidate_id"] for r in got.collect()) == [1, 2, 3, 5, 6]
     assert got.where(F.col("result_llm") == "Manual Intervention").count() == 1
+
+
+def test_files_in_and_out_equal_the_flow_over_the_table(spark, people, tmp_path):
+    """Under the files' own headings, with line breaks and quotes in cells, in file order."""
+    from sievewright.sources.csv_ranges import read_ranges
+    from sievewright.sources.tables import write_csv
+
+    headings = {"Job → Description": "job_desc", "Résumé (link)?": "resume_url", "Name": "name"}
+    outside = {v: k for k, v in headings.items()}
+    given = people.drop("candidate_id", "phone").withColumn("criteria", F.concat("criteria", F.lit(',"a"\nb')))
+    write_csv(given.withColumnsRenamed(outside).coalesce(1), str(tmp_path / "in"))
+    service = flow.Service(Scripted(), "writer", "judge", ResponseCache(str(tmp_path / "cache")))
+    out = flow.evaluate_csv(spark, str(tmp_path / "in"), str(tmp_path / "out"), service, TEMPLATES, headings)
+    assert set(headings) <= set(out.columns) and "job_desc" not in out.columns
+    back = read_ranges(spark, str(tmp_path / "out"))
+    assert back.columns == out.columns and back.count() == out.count() == 5
+    rows = given.select("*").collect()
+    plain = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "candidate_id long, " + ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in given.schema))
+    want = {r["candidate_id"]: (r["result_llm"], r["good_fit"], r["criteria"]) for r in flow.evaluate(plain, service, TEMPLATES).collect()}
+    told = {int(r["candidate_id"]): (r["result_llm"], r["good_fit"], r["criteria"]) for r in back.collect()}
+    assert {k: v[0] for k, v in told.items()} == {k: v[0] for k, v in want.items()}
+    assert {k: v[2] for k, v in told.items()} == {k: v[2] for k, v in want.items()}

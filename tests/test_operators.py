@@ -237,3 +237,10 @@ def test_schema_helpers(spark):
     assert short.select(schema.column_or(short, "none", "d")).head()[0] == "d"
     own = short.withColumn("text", F.lit("kept"))
     assert schema.drop_working(own.withColumn(schema.TEXT_COL, F.lit(""))).columns == [*short.columns, "text"]
+
+
+def test_confusion_counts_every_row_with_a_column_for_other_predictions(spark):
+    df = spark.createDataFrame([("Yes", "No"), ("Yes", "Perhaps"), ("Yes", None), ("odd", "Yes")], "truth string, predicted string")
+    got = {r["truth"]: r.asDict() for r in ev.confusion_matrix(df, "truth", "predicted", other="other").collect()}
+    assert got["Yes"]["No"] == 1 and got["Yes"]["other"] == 2 and got["odd"]["Yes"] == 1
+    assert sum(v for r in got.values() for k, v in r.items() if k != "truth") == 4

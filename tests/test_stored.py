@@ -45,7 +45,7 @@ def test_untouched_files_keep_their_names(spark, stored, tmp_path):
     assert data_files(tmp_path / "t") >= before
     assert sum(folders[b] != after[b] for b in folders) == 1
     # The new folder holds one bucket's rows, not the table's.
-    new = [f for b, f in after.items() if f != folders[b]]
+    new = [f for b, held in after.items() if held != folders[b] for f in held]
     assert spark.read.parquet(f"{stored.path}/data/{new[0]}").count() < 40
 
 
@@ -107,3 +107,44 @@ def test_create_drops_older_repeats_and_needs_a_fresh_path(spark, tmp_path):
         table.create(change(spark, (5, 1, "x")), "id")
     with pytest.raises(FileNotFoundError):
         table.read(7)
+
+
+def test_appended_folders_are_compacted_and_a_stopped_compaction_loses_nothing(spark, stored, monkeypatch):
+    before = stored.version().folders
+    stored.append(change(spark, (1, 7, "more"), (500, 1, "x")))
+    stored.append(change(spark, (1, 7, "more")))
+    assert stored.read().count() == 103 and stored.append(change(spark)).number == 2
+    assert all(stored.version().folders[b][: len(held)] == held for b, held in before.items())
+    want = rows_of(stored.read())
+    commit = stored._commit
+    monkeypatch.setattr(stored, "_commit", lambda version: (_ for _ in ()).throw(KeyboardInterrupt()))
+    with pytest.raises(KeyboardInterrupt):
+        stored.compact()
+    assert rows_of(StoredTable(spark, stored.path).read()) == want
+    monkeypatch.setattr(stored, "_commit", commit)
+    after = stored.compact()
+    assert all(len(held) == 1 for held in after.folders.values()) and stored.read().count() == 101
+    assert stored.compact().number == after.number
+
+
+def test_a_wave_reads_only_the_buckets_that_hold_its_prompts(spark, tmp_path):
+    from sievewright.catalog import stub
+    from sievewright.operators.inference import StoredCache, run_wave
+
+    cache = StoredCache(str(tmp_path / "cache"), buckets=16)
+    asks = lambda *texts: spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "candidate_id long, prompt string")
+    client = stub.StubClient(refuse=False)
+    first = run_wave(asks(*[f"p{i}" for i in range(60)]), client, "m", cache=cache)
+    asked = asks("p3", "p7", "new")
+    from pyspark.sql import functions as f
+
+    wanted = asked.select(f.sha2("prompt", 256).alias("prompt_hash"))
+    every = cache.table(spark, "m").read().inputFiles()
+    found = cache.read(spark, "m", wanted)
+    assert len(found.inputFiles()) < len(every) / 2 and found.count() == 2
+    again = run_wave(asked, stub.StubClient(tag="other", refuse=False), "m", cache=cache)
+    told = {r["candidate_id"]: r["response"] for r in again.collect()}
+    old = {r["candidate_id"]: r["response"] for r in first.collect()}
+    assert told[0] == old[3] and told[1] == old[7] and "other" in told[2]
+    cache.compact(spark, "m")
+    assert cache.read(spark, "m").count() == 61 and cache.read(spark, "unknown").isEmpty()

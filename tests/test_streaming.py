@@ -54,3 +54,23 @@ def test_a_missing_key_column_is_named(spark, tmp_path):
     stream = spark.readStream.schema(SCHEMA).parquet(str(tmp_path / "in"))
     with pytest.raises(ValueError, match="other"):
         dedup_stream(stream, by="other")
+
+
+def test_the_evaluation_flow_asks_nothing_for_a_resume_that_comes_again(spark, tmp_path):
+    from sievewright.catalog import stub
+    from sievewright.operators.inference import ResponseCache
+    from sievewright.plans.evaluation import Service
+    from sievewright.streaming.arrivals import evaluate_stream
+
+    schema = "candidate_id long, resume_url string, name string, resume_text string, job_desc string"
+    seen = []
+
+    def sink(batch, batch_id):
+        seen.append(sorted(r["candidate_id"] for r in batch.select("candidate_id").collect()))
+
+    service = Service(stub.StubClient(refuse=False), stub.WRITER, stub.JUDGE, ResponseCache(str(tmp_path / "cache")))
+    for rows in ([(1, "u1", "a", "text one", "job"), (2, "u2", "b", "text two", "job")], [(3, "u1", "a", "text one, changed", "job"), (4, "u3", "c", "text three", "job")]):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        stream = spark.readStream.schema(schema).parquet(str(tmp_path / "in"))
+        run_to_end(spark, evaluate_stream(stream, service, stub.TEMPLATES, sink, str(tmp_path / "cp")))
+    assert seen == [[1, 2], [4]]
