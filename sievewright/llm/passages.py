@@ -26,7 +26,7 @@ from __future__ import annotations
 import re
 
 import numpy as np
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from .common import ddl, hashed_words, map_batches, map_slices, mix, popcount_lcs, shingle_hashes, source_columns, words_by_text
 
@@ -216,11 +216,9 @@ def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", si
 
     long = max(int(similarity * min_words), SHINGLE)
     found = map_slices(texts, "text", f"hash long, id {kind}, at int, n int", sampled)
-    firsts = (
-        found.groupBy("hash").agg(F.min(F.struct("id", "at")).alias("first"), F.max("id").alias("last"))
-        .where("first.id < last").select("hash", "first")
-    )
-    matches = found.join(firsts, "hash").where("id > first.id")
+    # One exchange by seed finds the first occurrence and meets the others with it.
+    by_seed = Window.partitionBy("hash").orderBy("id", "at")
+    matches = found.withColumn("first", F.first(F.struct("id", "at")).over(by_seed)).where("id > first.id")
     matches = matches.select("id", "at", "n", F.col("first.id").alias("first_id"), F.col("first.at").alias("first_at"))
     together = matches.repartition("id").sortWithinPartitions("id", "first_id", "at", "first_at")
     spans = f"id {kind}, start int, end int, first_id {kind}, first_start int, first_end int"
