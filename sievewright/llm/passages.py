@@ -26,6 +26,8 @@ from __future__ import annotations
 import re
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
 from .common import ddl, hashed_words, map_batches, map_slices, mix, popcount_lcs, shingle_hashes, source_columns, words_by_text
@@ -273,10 +275,30 @@ def _runs_of(batches, keys: list[str], columns: list[str]):
         yield now, held
 
 
+def _without_strays(batches):
+    """The matches without the pairs of documents whose matches are all short and too far
+    apart to stand in one piece: most pairs share no more than common phrases. What may go
+    on in the next batch stays."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        same = np.ones(batch.num_rows - 1, bool)
+        for name in ("id", "first_id"):
+            column = batch.column(name)
+            same &= pc.equal(column[1:], column[:-1]).to_numpy(zero_copy_only=False).astype(bool)
+        at, n = batch.column("at").to_numpy(), batch.column("n").to_numpy()
+        useful = n > SHINGLE
+        useful[1:] |= same & (np.diff(at) <= SHINGLE + LONGEST_GAP)
+        begins = np.concatenate([[0], np.flatnonzero(~same) + 1])
+        kept = np.logical_or.reduceat(useful, begins)
+        kept[[0, -1]] = True
+        yield batch.filter(pa.array(np.repeat(kept, np.diff(np.append(begins, batch.num_rows)))))
+
+
 def _chained(batches):
     names = ("id", "start", "end", "first_id", "first_start", "first_end")
     out = {n: [] for n in names}
-    for (doc, first), held in _runs_of(batches, ["id", "first_id"], ["at", "first_at", "n"]):
+    for (doc, first), held in _runs_of(_without_strays(batches), ["id", "first_id"], ["at", "first_at", "n"]):
         # A long run is a row of short ones.
         at, there, n = (np.array(held[c]) for c in ("at", "first_at", "n"))
         each = (n + SHINGLE - 1) // SHINGLE
