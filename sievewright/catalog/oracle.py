@@ -169,7 +169,7 @@ def _soft(name: str, start: int) -> str:
 
 def _sums() -> str:
     """Six sums, each of every sixth vector position."""
-    own = "list_sum(list_transform(list_filter(embedding, lambda x, at: (at - 1) % 6 = {i}), lambda x: x::DOUBLE))"
+    own = "list_sum(list_transform(list_filter(embedding, lambda x, k: (k - 1) % 6 = {i}), lambda x: x::DOUBLE))"
     return ", ".join(f"{LOGIT_SCALE} * {own.format(i=i)} AS l{i}" for i in range(6))
 
 
