@@ -167,3 +167,11 @@ def source_columns(df: DataFrame, **names: str) -> DataFrame:
 def ddl(df: DataFrame) -> str:
     """The columns of a table as text, for an operator that passes all of them on."""
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """A working column name that no column of the caller's table has, in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name

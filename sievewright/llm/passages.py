@@ -17,8 +17,9 @@ passage; passages of ``MIN_WORDS`` words or more are returned, if one piece alon
 with a passage keeps it, and every later one is named with the document it repeats.
 
 Words are lower case and split at white space. Documents with fewer words, null texts and
-null ids have no passage. Rows that repeat an id are one document (the text whose words
-come first in byte order is aligned). Empty tables give no rows. Extra columns are ignored.
+null ids have no passage. Rows that repeat an id are searched as one document, but pieces are
+aligned and joined in each text by itself, so ``text_hash`` (Spark's xxhash64) tells whose
+passage it is; they are not compared with one another. Empty tables give no rows. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -28,49 +29,84 @@ import re
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from .common import ddl, hashed_words, map_batches, map_slices, mix, popcount_lcs, shingle_hashes, source_columns, words_by_text
+from .common import ddl, free_name, hashed_words, map_batches, map_slices, mix, popcount_lcs, source_columns, words_by_text
 
 SHINGLE = 5
-WINDOW = 16
+WINDOW = 8
 MIN_WORDS = 50
 SIMILARITY = 0.8
 GAP_COST = 0.5
 LONGEST_GAP = 20
-MARGIN = 24
+MARGIN = 48
 MIN_SEEDS = 2
 JOIN_WORDS = 5
-LONG = int(SIMILARITY * MIN_WORDS)
+LONG = 33
+PIECES_HELD = 20_000
+BASE = np.uint64(0x9E3779B97F4A7C15)
+INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 SPACED = re.compile(r"\S+")
 
 
-def sampled_runs(hashes: np.ndarray, length: int, window: int) -> tuple[np.ndarray, np.ndarray]:
-    """Places and hashes of the smallest run of ``length`` words in every window of runs."""
-    runs = shingle_hashes(hashes, length)
-    if len(runs) <= window:
-        at = np.array([runs.argmin()]) if len(runs) else np.empty(0, np.int64)
-    else:
-        windows = np.lib.stride_tricks.sliding_window_view(runs, window)
-        at = np.unique(windows.argmin(1) + np.arange(len(windows)))
+def _sliding(x: np.ndarray, width: int, pick: np.ufunc) -> np.ndarray:
+    """``pick`` over every window of ``width`` values, by doubling."""
+    have = 1
+    while have < width:
+        step = min(have, width - have)
+        x = pick(x[: len(x) - step], x[step:])
+        have += step
+    return x
+
+
+def run_hashes(hashes: np.ndarray, length: int) -> np.ndarray:
+    """The hash of every run of ``length`` words of one sequence, from sums of its prefixes."""
+    n = len(hashes)
+    if n < length:
+        return np.empty(0, np.uint64)
+    powers = np.full(n, BASE, np.uint64)
+    powers[0] = 1
+    np.multiply.accumulate(powers, out=powers)
+    back = np.full(n, INVERSE, np.uint64)
+    back[0] = 1
+    np.multiply.accumulate(back, out=back)
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes * powers, dtype=np.uint64)])
+    return mix((sums[length:] - sums[: n - length + 1]) * back[: n - length + 1])
+
+
+def sampled_runs(hashes: np.ndarray, left: np.ndarray, length: int, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places and hashes of the smallest runs of ``length`` words in every window of runs.
+    ``left`` tells how many words of its text each word begins; no window leaves a text."""
+    runs = run_hashes(hashes, length)
+    if len(runs) < window:
+        return np.empty(0, np.int64), runs[:0]
+    least = _sliding(runs, window, np.minimum)
+    least[left[: len(least)] < window + length - 1] = 0
+    edge = np.zeros(window - 1, np.uint64)
+    at = np.flatnonzero(_sliding(np.concatenate([edge, least, edge]), window, np.maximum) == runs)
     return at, runs[at]
 
 
-def seeds(hashes: np.ndarray, long: int = LONG, min_words: int = MIN_WORDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Places, hashes and lengths of a text's seeds. The n-th occurrence of a run is a seed
-    of its own besides the plain one, so that repetitive texts match in order."""
-    at, runs = sampled_runs(hashes, SHINGLE, WINDOW)
-    order = np.argsort(runs, kind="stable")
-    same = runs[order]
+def seeds(hashes: np.ndarray, sizes: np.ndarray, long: int = LONG, min_words: int = MIN_WORDS) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Texts, places, hashes and lengths of the seeds of a slice of texts, each of
+    ``min_words`` words or more. The n-th occurrence of a run in a text is a seed of its
+    own besides the plain one, so that repetitive texts match in order."""
+    begins = np.cumsum(sizes) - sizes
+    text = np.repeat(np.arange(len(sizes)), sizes)
+    left = np.repeat(begins + sizes, sizes) - np.arange(len(hashes))
+    at, runs = sampled_runs(hashes, left, SHINGLE, min(WINDOW, min_words - SHINGLE + 1))
+    own = runs ^ mix(text[at].astype(np.uint64) + BASE)
+    order = np.argsort(own, kind="stable")
+    same = own[order]
     new = np.flatnonzero(np.concatenate([[True], same[1:] != same[:-1]])) if len(at) else order
     nth = np.empty(len(at), np.uint64)
     nth[order] = np.arange(len(at)) - np.repeat(new, np.diff(np.append(new, len(at))))
     more = np.flatnonzero(nth)
-    far, longer = sampled_runs(hashes, long, max(min_words - long + 1, 1))
+    far, longer = sampled_runs(hashes, left, long, min_words - long + 1)
     places = np.concatenate([at, at[more], far])
-    numbered = mix(runs[more] + nth[more] * np.uint64(0x9E3779B97F4A7C15))
+    numbered = mix(runs[more] + nth[more] * BASE)
     lengths = np.repeat([SHINGLE, SHINGLE, long], [len(at), len(more), len(far)])
-    return places, np.concatenate([mix(runs), numbered, mix(longer + np.uint64(long))]), lengths
+    return text[places], places - begins[text[places]], np.concatenate([mix(runs), numbered, mix(longer + np.uint64(long))]), lengths
 
 
 class Fenwick:
@@ -112,23 +148,26 @@ def diagonal_runs(at: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 def chains(runs: np.ndarray) -> list[list[int]]:
     """Best chains of runs, each used once, by repeated dynamic programming."""
-    left = list(np.lexsort((runs[:, 2], runs[:, 0])))
+    left = np.lexsort((runs[:, 2], runs[:, 0])).tolist()
     out = []
     while left:
         rows = runs[left]
         ends_there = np.unique(rows[:, 3])
         tree = Fenwick(len(ends_there))
         score, before = [0.0] * len(left), [-1] * len(left)
-        by_end = np.argsort(rows[:, 1], kind="stable")
+        ends = (rows[:, 1] + rows[:, 3]).tolist()
+        put_at = np.searchsorted(ends_there, rows[:, 3]).tolist()
+        ask_at = np.searchsorted(ends_there, rows[:, 2], "right").tolist()
+        by_end = np.argsort(rows[:, 1], kind="stable").tolist()
+        finishes = rows[by_end, 1].tolist()
         entered = 0
         for i, (start, _, start_there, _, words, _) in enumerate(rows.tolist()):
-            while entered < len(left) and rows[by_end[entered], 1] <= start:
-                j = int(by_end[entered])
+            while entered < len(left) and finishes[entered] <= start:
+                j = by_end[entered]
                 entered += 1
                 if j < i:
-                    key = score[j] + GAP_COST * float(rows[j, 1] + rows[j, 3])
-                    tree.put(int(np.searchsorted(ends_there, rows[j, 3])), (key, j))
-            value, j = tree.upto(int(np.searchsorted(ends_there, start_there, "right")))
+                    tree.put(put_at[j], (score[j] + GAP_COST * ends[j], j))
+            value, j = tree.upto(ask_at[i])
             gain = value - GAP_COST * (start + start_there)
             score[i], before[i] = (words + gain, j) if gain > 0 else (words, -1)
         # The next best chains are the same without the runs taken, until one would need those.
@@ -152,13 +191,21 @@ def chains(runs: np.ndarray) -> list[list[int]]:
 def pieces(at: np.ndarray, first: np.ndarray) -> list[tuple[int, int, int, int]]:
     """Chained stretches (start, end, start there, end there) without long gaps."""
     runs = diagonal_runs(at, first)
+    rows = runs.tolist()
     out = []
+
+    def close(part):
+        if sum(r[5] for r in part) >= MIN_SEEDS:
+            out.append((part[0][0], part[-1][1], part[0][2], part[-1][3]))
+
     for chain in chains(runs) if len(runs) > 1 else [[0]]:
-        own = runs[chain]
-        gap = np.maximum(own[1:, 0] - own[:-1, 1], own[1:, 2] - own[:-1, 3])
-        for part in np.split(own, np.flatnonzero(gap > LONGEST_GAP) + 1):
-            if part[:, 5].sum() >= MIN_SEEDS:
-                out.append((int(part[0, 0]), int(part[-1, 1]), int(part[0, 2]), int(part[-1, 3])))
+        part = [rows[chain[0]]]
+        for i in chain[1:]:
+            if max(rows[i][0] - part[-1][1], rows[i][2] - part[-1][3]) > LONGEST_GAP:
+                close(part)
+                part = []
+            part.append(rows[i])
+        close(part)
     return out
 
 
@@ -202,59 +249,73 @@ def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", si
     kind = texts.schema["id"].dataType.simpleString()
 
     def sampled(batch, own_texts):
-        rows, places, hashes, lengths = [], [], [], []
-        for i, words in enumerate(words_by_text(own_texts)):
-            if len(words) >= min_words:
-                at, h, n = seeds(words, long, min_words)
-                rows.append(np.full(len(at), i))
-                places.append(at)
-                hashes.append(h)
-                lengths.append(n)
-        row = np.concatenate(rows) if rows else np.empty(0, np.int64)
-        hashed = np.concatenate(hashes).view(np.int64) if rows else np.empty(0, np.int64)
-        at = np.concatenate(places) if rows else np.empty(0, np.int64)
-        n = np.concatenate(lengths) if rows else np.empty(0, np.int64)
-        return {"hash": hashed, "id": batch.column("id").take(row), "at": at.astype(np.int32), "n": n.astype(np.int32)}
-
-    long = max(int(similarity * min_words), SHINGLE)
+        words, sizes = hashed_words(own_texts)
+        enough = np.flatnonzero(sizes >= min_words)
+        row, at, hashed, n = seeds(words[np.repeat(sizes >= min_words, sizes)], sizes[enough], long, min_words)
+        ids = batch.column("id").take(enough[row])
+        return {"hash": hashed.view(np.int64), "id": ids, "at": at.astype(np.int32), "n": n.astype(np.int32)}
+
+    long = max(LONG * min_words // MIN_WORDS, SHINGLE)
     found = map_slices(texts, "text", f"hash long, id {kind}, at int, n int", sampled)
     # One exchange by seed finds the first occurrence and meets the others with it.
-    by_seed = Window.partitionBy("hash").orderBy("id", "at")
-    matches = found.withColumn("first", F.first(F.struct("id", "at")).over(by_seed)).where("id > first.id")
-    matches = matches.select("id", "at", "n", F.col("first.id").alias("first_id"), F.col("first.at").alias("first_at"))
+    by_seed = found.repartition("hash").sortWithinPartitions("hash", "id", "at")
+    matches = map_batches(by_seed, f"id {kind}, at int, n int, first_id {kind}, first_at int", _met)
     together = matches.repartition("id").sortWithinPartitions("id", "first_id", "at", "first_at")
     spans = f"id {kind}, start int, end int, first_id {kind}, first_start int, first_end int"
-    wanted = map_batches(together, spans, lambda batches: _chained(batches))
-    sides = wanted.select(
-        "*",
-        F.explode(
-            F.array(
-                F.struct(F.lit(0).alias("side"), F.col("id").alias("doc"), F.col("start").alias("a"), F.col("end").alias("b")),
-                F.struct(F.lit(1).alias("side"), F.col("first_id").alias("doc"), F.col("first_start").alias("a"), F.col("first_end").alias("b")),
-            )
-        ).alias("s"),
-    ).select("id", "start", "end", "first_id", "first_start", "first_end", "s.*")
-    fetched = sides.join(texts.withColumnRenamed("id", "doc"), "doc")
+    packed = ", ".join(f"{c}: {t}" for c, t in (x.rsplit(" ", 1) for x in f"side int, {spans}".split(", ")))
+    wanted = map_batches(together, f"doc {kind}, spans array<struct<{packed}>>", _chained)
+    fetched = wanted.join(texts.select(F.col("id").alias("doc"), "text", F.xxhash64("text").alias("key")), "doc")
 
     def cut(batch, own_texts):
-        out, last, h = [], None, None
-        for t, a, b in zip(own_texts, batch.column("a").to_pylist(), batch.column("b").to_pylist()):
-            if t is not last:
-                same = last is not None and t == last
-                last = t
-                if not same:
-                    h = hashed_words([t])[0].astype(np.uint32)
-            out.append(h[max(a - MARGIN, 0) : b + MARGIN].tobytes())
-        return {c: batch.column(c) for c in ("id", "start", "end", "first_id", "first_start", "first_end", "side")} | {"words": out}
-
-    words = map_slices(fetched, "text", f"{spans}, side int, words binary", cut)
-    order = ["id", "first_id", "start", "end", "first_start", "first_end", "side", "words"]
+        # Pieces of one text come in several rows; it is hashed once for those that follow one another.
+        new = [i for i, t in enumerate(own_texts) if not i or t != own_texts[i - 1]]
+        hashes = words_by_text([own_texts[i] for i in new])
+        lists = batch.column("spans")
+        rows, each = lists.flatten(), lists.value_lengths().to_numpy()
+        columns = {f.name: rows.field(f.name) for f in rows.type}
+        side = columns["side"].to_numpy() == 0
+        begins = np.where(side, columns["start"].to_numpy(), columns["first_start"].to_numpy())
+        ends = np.where(side, columns["end"].to_numpy(), columns["first_end"].to_numpy()) + MARGIN
+        owner = np.repeat(np.repeat(np.arange(len(new)), np.diff([*new, len(own_texts)])), each)
+        words = [
+            hashes[i][a:b].astype(np.uint32).tobytes()
+            for i, a, b in zip(owner.tolist(), np.maximum(begins - MARGIN, 0).tolist(), ends.tolist())
+        ]
+        return columns | {"key": batch.column("key").take(np.repeat(np.arange(len(each)), each)), "words": words}
+
+    words = map_slices(fetched, "text", f"{spans}, side int, key long, words binary", cut)
+    order = ["id", "first_id", "start", "end", "first_start", "first_end", "side", "key", "words"]
     met = words.repartition("id").sortWithinPartitions(*order)
-    result = f"{spans}, similarity double, passage_start int, passage_end int"
+    result = f"{spans}, similarity double, passage_start int, passage_end int, text_hash long"
     out = map_batches(met, result, lambda batches: _passages(batches, similarity, min_words))
     return out.withColumnsRenamed({"id": id_col, "first_id": f"first_{id_col}"})
 
 
+def _met(batches):
+    """Occurrences of seeds in later documents with the first occurrence, which stands
+    before them; only that one is held, however frequent a seed is."""
+    last, first_id, first_at = None, None, 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        hashes, at, ids = batch.column("hash").to_numpy(), batch.column("at").to_numpy(), batch.column("id")
+        # Place 0 is the first occurrence of the seed that the last batch ended with.
+        all_ids = pa.concat_arrays([ids[:1] if first_id is None else first_id, ids])
+        all_at = np.concatenate([[first_at], at]).astype(np.int32)
+        new = np.concatenate([[last is None or hashes[0] != last], hashes[1:] != hashes[:-1]])
+        first = np.maximum.accumulate(np.where(new, np.arange(1, len(at) + 1), 0))
+        firsts = all_ids.take(first)
+        later = pc.greater(ids, firsts)
+        last, first_id, first_at = hashes[-1], all_ids.slice(first[-1], 1), all_at[first[-1]]
+        yield {
+            "id": ids.filter(later),
+            "at": batch.column("at").filter(later),
+            "n": batch.column("n").filter(later),
+            "first_id": firsts.filter(later),
+            "first_at": pa.array(all_at[first]).filter(later),
+        }
+
+
 def _runs_of(batches, keys: list[str], columns: list[str]):
     """Rows of equal keys, which stand together, as lists by column."""
     now, held = None, None
@@ -295,33 +356,67 @@ def _without_strays(batches):
         yield batch.filter(pa.array(np.repeat(kept, np.diff(np.append(begins, batch.num_rows)))))
 
 
+def _pairs(batches):
+    """(document, earlier one) with the arrays of their matches, which stand together."""
+    now, held = None, []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        ids, firsts = batch.column("id"), batch.column("first_id")
+        same = np.ones(batch.num_rows - 1, bool)
+        for column in (ids, firsts):
+            same &= pc.equal(column[1:], column[:-1]).to_numpy(zero_copy_only=False).astype(bool)
+        edges = [0, *(np.flatnonzero(~same) + 1).tolist(), batch.num_rows]
+        rows = np.column_stack([batch.column(c).to_numpy().astype(np.int64) for c in ("at", "first_at", "n")])
+        for a, b in zip(edges, edges[1:]):
+            pair = ids[a].as_py(), firsts[a].as_py()
+            if pair != now:
+                if held:
+                    yield now, np.concatenate(held)
+                now, held = pair, []
+            held.append(rows[a:b])
+    if held:
+        yield now, np.concatenate(held)
+
+
 def _chained(batches):
-    names = ("id", "start", "end", "first_id", "first_start", "first_end")
-    out = {n: [] for n in names}
-    for (doc, first), held in _runs_of(_without_strays(batches), ["id", "first_id"], ["at", "first_at", "n"]):
+    """The pieces of every pair, each for both of its documents, packed by document."""
+    pending, held = {}, 0
+    for (doc, first), matches in _pairs(_without_strays(batches)):
         # A long run is a row of short ones.
-        at, there, n = (np.array(held[c]) for c in ("at", "first_at", "n"))
+        at, there, n = matches.T
         each = (n + SHINGLE - 1) // SHINGLE
         nth = np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each)
         shift = np.minimum(nth * SHINGLE, np.repeat(n - SHINGLE, each))
-        both = np.unique(np.column_stack([np.repeat(at, each) + shift, np.repeat(there, each) + shift]), axis=0)
+        both = np.unique((np.repeat(at, each) + shift) << 32 | (np.repeat(there, each) + shift))
         if len(both) < MIN_SEEDS:
             continue
-        for a, b, c, d in pieces(both[:, 0], both[:, 1]):
-            for n, v in zip(names, (doc, a, b, first, c, d)):
-                out[n].append(v)
-        if len(out["id"]) >= 10_000:
-            yield out
-            out = {n: [] for n in names}
-    yield out
+        for a, b, c, d in pieces(both >> 32, both & 0xFFFFFFFF):
+            for side, owner in enumerate((doc, first)):
+                pending.setdefault(owner, []).append((side, doc, a, b, first, c, d))
+            held += 1
+        if held >= PIECES_HELD:
+            yield _packed(pending)
+            pending, held = {}, 0
+    yield _packed(pending)
+
+
+def _packed(pending: dict) -> dict:
+    names = ("side", "id", "start", "end", "first_id", "first_start", "first_end")
+    rows = [r for own in pending.values() for r in own]
+    ends = np.cumsum([0, *map(len, pending.values())])
+    columns = [pa.array(c) for c in (zip(*rows) if rows else [[]] * len(names))]
+    inner = pa.StructArray.from_arrays(columns, names)
+    return {"doc": list(pending), "spans": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), inner)}
 
 
 def _passages(batches, similarity: float, min_words: int):
+    """Align every piece in each text of its documents, and join pieces text by text."""
     spans = ["id", "first_id", "start", "end", "first_start", "first_end"]
-    names = ("id", "start", "end", "first_id", "first_start", "first_end", "similarity", "passage_start", "passage_end")
+    names = ("id", "start", "end", "first_id", "first_start", "first_end", "similarity", "passage_start", "passage_end", "text_hash")
     out = {n: [] for n in names}
 
-    def close(doc, kept):
+    def close(doc, key, kept):
         kept.sort()
         groups: list[list] = []
         reach = None
@@ -337,43 +432,61 @@ def _passages(batches, similarity: float, min_words: int):
             longest = max(p[1] - p[0] for p in group)
             if finish - begin >= min_words and longest >= similarity * min_words:
                 for a, b, first, c, d, s in group:
-                    for n, v in zip(names, (doc, a, b, first, c, d, s, begin, finish)):
+                    for n, v in zip(names, (doc, a, b, first, c, d, s, begin, finish, key)):
                         out[n].append(v)
 
-    now, kept = None, []
-    for (doc, first, a, b, c, d), held in _runs_of(batches, spans, ["side", "words"]):
+    now, kept = None, {}
+    for (doc, first, a, b, c, d), held in _runs_of(batches, spans, ["side", "key", "words"]):
         if doc != now:
-            close(now, kept)
-            now, kept = doc, []
+            for key, own in kept.items():
+                close(now, key, own)
+            now, kept = doc, {}
             if len(out["id"]) >= 10_000:
                 yield dict(out)
                 out.update({n: [] for n in names})
-        sides = {s: w for s, w in zip(reversed(held["side"]), reversed(held["words"]))}
-        if len(sides) < 2:
-            continue
-        x, y = (np.frombuffer(sides[s], np.uint32) for s in (0, 1))
+        here, there = {}, set()
+        for side, key, words in zip(held["side"], held["key"], held["words"]):
+            if side:
+                there.add(words)
+            else:
+                here[key] = words
         off, off_there = max(a - MARGIN, 0), max(c - MARGIN, 0)
-        p, q, r, s, same = align(x, y, (a - off, b - off, c - off_there, d - off_there))
-        if same >= similarity:
-            kept.append((p + off, q + off, first, r + off_there, s + off_there, same))
-    close(now, kept)
+        piece = a - off, b - off, c - off_there, d - off_there
+        for key, words in here.items():
+            x, best = np.frombuffer(words, np.uint32), None
+            for other in sorted(there):
+                y = np.frombuffer(other, np.uint32)
+                if min(len(x) - piece[1], len(y) - piece[3]) >= 0:  # else another row of the id is meant
+                    found = align(x, y, piece)
+                    if best is None or found[4] > best[4]:
+                        best = found
+            if best is not None and best[4] >= similarity:
+                p, q, r, s, same = best
+                kept.setdefault(key, []).append((p + off, q + off, first, r + off_there, s + off_there, same))
+    for key, own in kept.items():
+        close(now, key, own)
     yield out
 
 
 def without_passages(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents, all columns kept, with their repeated passages cut from the text.
 
-    A document that is left without a word goes. Rows with a null id stay as they are.
+    A document that is left without a word goes. Rows with a null id stay as they are, and
+    a row that repeats an id with another text loses its own passages only.
     """
-    spans = found.groupBy(F.col(id_col).alias("__id")).agg(F.collect_set(F.struct("passage_start", "passage_end")).alias("__spans"))
-    met = docs.join(spans, docs[id_col] == spans["__id"], "left").select(*[docs[c] for c in docs.columns], "__spans")
+    own, doc, key = (free_name(docs, n) for n in ("spans", "id", "key"))
+    spans = found.groupBy(F.col(id_col).alias(doc), F.col("text_hash").alias(key)).agg(
+        F.collect_set(F.struct("passage_start", "passage_end")).alias(own)
+    )
+    same = (F.col(f"`{id_col}`") == F.col(doc)) & (F.xxhash64(F.col(f"`{text_col}`")) == F.col(key))
+    met = docs.join(spans, same, "left").drop(doc, key)
 
     others = [c for c in docs.columns if c != text_col]
 
     def task(batches):
         for batch in batches:
             texts = batch.column(text_col).to_pylist()
-            spans = batch.column("__spans").to_pylist()
+            spans = batch.column(own).to_pylist()
             left = [t if not s else _cut(t or "", s) for t, s in zip(texts, spans)]
             kept = np.array([i for i, (t, s) in enumerate(zip(left, spans)) if not s or t.split()], np.int64)
             yield {c: batch.column(c).take(kept) for c in others} | {text_col: [left[i] for i in kept]}

@@ -27,7 +27,7 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return passages.repeated(table(spark, sf_dir, "documents"))
+    return passages.repeated(table(spark, sf_dir, "documents")).drop("text_hash")
 
 
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:

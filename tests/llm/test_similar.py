@@ -230,6 +230,57 @@ def test_passage_twice_in_a_later_document(spark):
     assert _cuts(spark, texts) == {(2, 0, 70), (2, 110, 180), (4, 72, 132)}
 
 
+def test_passages_with_changed_words(spark):
+    rng = random.Random(23)
+    rows, planted = [], {}
+    for size, share in ((60, 0.05), (60, 0.1), (120, 0.05), (120, 0.1), (120, 0.15), (400, 0.15)):
+        for _ in range(40):
+            passage = _words(rng, size, 20_000)
+            changed = list(passage)
+            for i in rng.sample(range(size), round(share * size)):
+                changed[i] = f"x{rng.randrange(10**6)}"
+            n = len(planted)
+            planted[1000 + n] = size, share
+            rows += [(i, " ".join(_words(rng, 50, 20_000) + p + _words(rng, 50, 20_000))) for i, p in ((n, passage), (1000 + n, changed))]
+    rows += [(5000 + i, " ".join(_words(rng, 300, 20_000))) for i in range(100)]
+    found = passages.repeated(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    assert {r.doc_id for r in found} <= set(planted) and all(r.first_doc_id == r.doc_id - 1000 for r in found)
+    covered = {d: set() for d in planted}
+    for r in found:
+        covered[r.doc_id] |= set(range(r.passage_start, r.passage_end))
+    for kind in set(planted.values()):
+        own = [covered[d] for d, k in planted.items() if k == kind]
+        place = set(range(50, 50 + kind[0]))
+        assert sum(bool(c & place) for c in own) >= 0.9 * len(own), kind
+        assert sum(len(c & place) for c in own) >= 0.85 * len(own) * kind[0], kind
+        assert all(len(c - place) <= 6 for c in own), kind
+
+
+def test_passages_of_rows_that_repeat_an_id(spark):
+    rng = random.Random(24)
+    passage, other = _words(rng, 70), _words(rng, 150)
+    own = _words(rng, 20) + passage + _words(rng, 60)
+    rows = [(1, " ".join(passage)), (2, " ".join(own)), (2, " ".join(other)), (2, " ".join(other)), (3, " ".join(other)), (4, None)]
+    for parts in (1, 3, 5):
+        df = spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)
+        found = passages.repeated(df)
+        assert {(r.doc_id, r.first_doc_id, r.passage_start, r.passage_end) for r in found.collect()} == {(2, 1, 20, 90), (3, 2, 0, 150)}
+        left = sorted((r.doc_id, " ".join((r.text or "").split())) for r in passages.without_passages(df, found).collect())
+        wanted = [(1, passage), (2, own[:20] + own[90:]), (2, other), (2, other), (4, [])]
+        assert left == sorted((i, " ".join(w)) for i, w in wanted)
+
+
+def test_passages_keep_columns_with_working_names(spark):
+    rng = random.Random(25)
+    p = " ".join(_words(rng, 60))
+    df = spark.createDataFrame([(1, p, "a", 7, "b"), (2, p + " tail", "c", 8, "d")], "doc_id long, text string, spans string, key int, `id` string")
+    left = passages.without_passages(df, passages.repeated(df))
+    assert left.columns == df.columns
+    assert sorted(map(tuple, left.collect())) == [(1, p, "a", 7, "b"), (2, " tail", "c", 8, "d")]
+    texts = spark.createDataFrame([("b", p), ("a", p), ("ab", p)], "doc_id string, text string")
+    assert {(r.doc_id, r.first_doc_id) for r in passages.repeated(texts).collect()} == {("ab", "a"), ("b", "a")}
+
+
 def test_chains_are_the_best_by_brute_force():
     rng = random.Random(2)
     for _ in range(40):
