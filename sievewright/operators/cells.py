@@ -42,6 +42,11 @@ QUERIES_AT_ONCE = 4_096
 FIRST_LOOK = 1_000
 FIRST_POSTINGS = 1_000
 BUCKETS = 64
+# Bounds a task that plans, and similarities a task that compares, holds at a time (16 MB of
+# doubles), and visits a task passes on at a time.
+PLAN_VALUES = 2_000_000
+NEAR_VALUES = 2_000_000
+VISITS_AT_ONCE = 8_192
 # More than rounding of angles and of scores can make up.
 SLACK = 1e-6
 NO_DIRECTION, NO_VECTOR = -1, -2
@@ -322,39 +327,50 @@ class _Plan:
             names = [f.split()[0] for f in VISITS.split(", ")]
             for batch in batches:
                 v, has = _vectors(batch.column("v"), self.centres.shape[1])
-                out: dict[str, list] = {n: [] for n in names}
                 rows = batch.select(["query", "v", "terms", "idfs", "dfs", "reach"]).to_pylist()
-                for at in range(0, len(rows), 64):
-                    bounds = self.rings.bounds(v[at : at + 64], self.centres)
-                    for r, bound, own in zip(rows[at : at + 64], bounds, has[at : at + 64]):
+                step = max(1, min(64, PLAN_VALUES // max(1, len(self.rings.cell))))
+                for at in range(0, len(rows), step):
+                    bounds = self.rings.bounds(v[at : at + step], self.centres)
+                    out: dict[str, list] = {n: [] for n in names}
+                    for r, bound, own in zip(rows[at : at + step], bounds, has[at : at + step]):
                         idfs, dfs = np.array(r["idfs"], float), np.array(r["dfs"], np.int64)
                         groups, split = self.first_look(bound, own), self.first_terms(dfs)
                         if not first:
                             seen = set(groups.tolist())
                             groups, split = self.second_look(bound, own, idfs, dfs, r["reach"])
                             groups = np.array([g for g in groups.tolist() if g not in seen], int)
-                        self.put(out, r, groups, parts, split)
-                types = {"query": pa.int64(), "n": pa.int64(), "cell": pa.int32(), "ring": pa.int32(), "part": pa.int32(), "seen": pa.bool_()}
-                lists = {"v": pa.list_(pa.float64()), "idfs": pa.list_(pa.float64())} | {c: pa.list_(pa.int64()) for c in ("terms", "only", "essential")}
-                kinds = types | lists
-                yield pa.RecordBatch.from_arrays([pa.array(out[n], kinds.get(n, pa.float64())) for n in names], names=names)
+                        for piece in self.pieces(r, groups, parts, split):
+                            for name, value in zip(out, piece):
+                                out[name].append(value)
+                            # A visit holds its query: a batch of visits is bounded, not one of queries.
+                            if len(out["query"]) >= VISITS_AT_ONCE:
+                                yield self.packed(out)
+                                out = {n: [] for n in names}
+                    if out["query"]:
+                        yield self.packed(out)
 
         return run
 
-    def put(self, out: dict[str, list], r: dict, groups: np.ndarray, parts: np.ndarray, split: int) -> None:
-        def add(cell, ring, part, n, essential):
-            row = (r["query"], r["v"], r["terms"], r["idfs"], r["reach"], cell, ring, part, n, None, self.keyword_weight, self.vector_weight, essential, None)
-            for name, value in zip(out, row):
-                out[name].append(value)
+    def packed(self, out: dict[str, list]) -> pa.RecordBatch:
+        types = {"query": pa.int64(), "n": pa.int64(), "cell": pa.int32(), "ring": pa.int32(), "part": pa.int32(), "seen": pa.bool_()}
+        lists = {"v": pa.list_(pa.float64()), "idfs": pa.list_(pa.float64())} | {c: pa.list_(pa.int64()) for c in ("terms", "only", "essential")}
+        kinds = types | lists
+        return pa.RecordBatch.from_arrays([pa.array(x, kinds.get(n, pa.float64())) for n, x in out.items()], names=list(out))
+
+    def pieces(self, r: dict, groups: np.ndarray, parts: np.ndarray, split: int):
+        """The visits of one query, in the order of ``VISITS``."""
+
+        def visit(cell, ring, part, n, essential):
+            return r["query"], r["v"], r["terms"], r["idfs"], r["reach"], cell, ring, part, n, None, self.keyword_weight, self.vector_weight, essential, None
 
         for g in groups.tolist():
             # The rows of a group are dealt evenly enough to its parts for the report.
             whole, share = int(self.rings.rows[g]), int(self.rings.rows[g] // parts[g])
             for p in range(int(parts[g])):
                 n = share if p else whole - share * int(parts[g] - 1)
-                add(int(self.rings.cell[g]), int(self.rings.ring[g]), p, n, None)
+                yield visit(int(self.rings.cell[g]), int(self.rings.ring[g]), p, n, None)
         if split:
-            add(None, None, None, 0, r["terms"][:split])
+            yield visit(None, None, None, 0, r["terms"][:split])
 
 
 def _groups(batches, keys: list[str]):
@@ -398,10 +414,16 @@ def _best(keys: list[str], k: int):
             order = np.argsort(terms, kind="stable")
             terms, owner = terms[order], owner[order]
             q, q_has = _vectors(_column(visits, "v"), v.shape[1])
-            near = np.round(q @ v.T, DECIMALS) if v.shape[1] and q.shape[1] else np.zeros((len(q), len(ids)))
+            step = max(1, NEAR_VALUES // len(ids))
+            asked = visits.select(["query", "terms", "idfs", "only", "reach", "wk", "wv"])
             found: list[tuple] = []
-            for i, visit in enumerate(visits.select(["query", "terms", "idfs", "only", "reach", "wk", "wv"]).to_pylist()):
-                counts, score = has & q_has[i], near[i]
+            for i in range(len(q)):
+                if i % step == 0:
+                    some = q[i : i + step]
+                    near = np.round(some @ v.T, DECIMALS) if v.shape[1] and q.shape[1] else np.zeros((len(some), len(ids)))
+                    listed = asked.slice(i, step).to_pylist()
+                visit = listed[i % step]
+                counts, score = has & q_has[i], near[i % step]
                 if visit["wk"]:
                     keyword = _keyword(np.array(visit["terms"], np.int64), np.array(visit["idfs"], float), terms, owner, len(ids))
                     counts = counts | (keyword > 0)

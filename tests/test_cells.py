@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
@@ -122,3 +123,27 @@ def test_hybrid_follows_postings_instead_of_all_rows(spark):
     assert triples(found) == sorted((r["query_id"], r["vec_id"], r["rank"]) for r in plain.collect())
     work = found.work.agg(F.sum("looked"), F.sum("stored")).head()
     assert work[0] < 0.5 * work[1]
+
+
+def test_a_plan_passes_visits_on_in_bounded_batches():
+    rng = np.random.default_rng(3)
+    groups, queries = 300, 100
+    centres = ci.unit(rng.normal(size=(20, 8)))
+    rings = ci.Rings(rng.integers(0, 20, groups), np.arange(groups) % 64, np.full(groups, 10), np.zeros(groups), np.full(groups, 3.0))
+    v = rng.normal(size=(queries, 8)).tolist()
+    none = [[]] * queries
+    columns = [
+        pa.array(range(queries), pa.int64()), pa.array(v, pa.list_(pa.float64())), pa.array(none, pa.list_(pa.int64())),
+        pa.array(none, pa.list_(pa.float64())), pa.array(none, pa.list_(pa.int64())), pa.array([None] * queries, pa.float64()),
+    ]
+    batch = pa.RecordBatch.from_arrays(columns, names=["query", "v", "terms", "idfs", "dfs", "reach"])
+    out = list(ci._Plan(centres, rings, 5, 0.0, 1.0).task(False)(iter([batch])))
+    assert max(b.num_rows for b in out) <= 8_192
+    seen = sorted((q, c, r) for b in out for q, c, r in zip(*(b.column(x).to_pylist() for x in ("query", "cell", "ring"))))
+    first = ci._Plan(centres, rings, 5, 0.0, 1.0)
+    bounds = rings.bounds(ci.unit(np.array(v)), centres)
+    wanted = []
+    for q in range(queries):
+        left = set(range(groups)) - set(first.first_look(bounds[q], True).tolist())
+        wanted += [(q, int(rings.cell[g]), int(rings.ring[g])) for g in left]
+    assert seen == sorted(wanted)
