@@ -25,6 +25,9 @@ from .skew import SALTS, salted_left_join
 THREADS = 32
 CALLS_PER_TASK = 2_000
 CALLS_PER_BATCH = 1_000_000
+#: Prompts with more requests than this, or than lets HOT_PROMPTS of them be, travel in one copy.
+COPIES = 100
+HOT_PROMPTS = 100_000
 
 # Marks of a key or permission failure in an exception text.
 KEY_FAILURE_MARKS = ("api key", "invalid", "401", "403", "permission", "unauthorized")
@@ -210,6 +213,26 @@ def distinct_prompts(requests: DataFrame, prompt: str = "prompt") -> DataFrame:
     )
 
 
+def _each_once(
+    requests: DataFrame, keyed: DataFrame, kept: DataFrame | None, key: str, prompt: str, n_requests: int, tasks: int
+) -> DataFrame:
+    """``(prompt_hash, prompt)``, each prompt once, without those in ``kept``, dealt by its
+    hash to ``tasks`` tasks.
+
+    The texts are shuffled once. Of a prompt with more than ``COPIES`` requests the row of the
+    smallest key alone travels; those prompts are at most ``HOT_PROMPTS``, so they are broadcast.
+    """
+    least = max(COPIES, n_requests // HOT_PROMPTS)
+    hot = keyed.groupBy("prompt_hash").agg(F.count(F.lit(1)).alias("__n"), F.min(key).alias("__first"))
+    p = F.col(prompt)
+    rows = requests.where(p.isNotNull()).select(F.col(key).alias("__key"), prompt_hash(p).alias("prompt_hash"), p.alias("prompt"))
+    met = rows.join(F.broadcast(hot.where(F.col("__n") > least)), "prompt_hash", "left")
+    alone = met.where(F.col("__n").isNull() | F.col("__key").eqNullSafe(F.col("__first")))
+    if kept is not None and not kept.isEmpty():
+        alone = alone.join(kept, "prompt_hash", "left_anti")
+    return alone.select("prompt_hash", "prompt").repartition(tasks, "prompt_hash").dropDuplicates(["prompt_hash"])
+
+
 def run_wave(
     requests: DataFrame,
     client: TextClient,
@@ -228,21 +251,25 @@ def run_wave(
     """One answer per request, as a written table ``(key, response)``.
 
     Each distinct prompt that the cache does not hold is asked once. Requests with
-    a null prompt get a null answer and no call. The queue is worked off in batches of
-    about ``calls_per_batch`` calls, and the answers of each enter the cache before the
+    a null prompt get a null answer and no call. With a cache, calls are made in batches of
+    about ``calls_per_batch``, and the answers of each enter the cache before the
     next begins: a wave that is stopped and started again asks only for the rest. A lost
     executor repeats at most the calls of its unfinished tasks, ``calls_per_task`` each.
 
     ``failure`` names a third column: the exception text of a failed call, null otherwise.
-    Prompts are written once, in the queue, which goes when the wave is written. ``pace``
-    bounds the calls per second of the whole wave and says what is tried again.
+    Requests are rendered twice: for their hashes, which are written, and for the calls. Only
+    several batches need a written queue of prompts; hashes and queue go when the wave is
+    written. ``pace`` bounds the calls per second of the whole wave and says what is tried again.
     """
     spark = requests.sparkSession
     if spark.conf.get("spark.speculation", "false") == "true":
         warnings.warn("spark.speculation is on: a slow task's calls are made twice", stacklevel=2)
-    queue, found = new_path(spark, "queue"), new_path(spark, "answers")
-    todo, kept = distinct_prompts(requests, prompt).drop("n"), None
-    wanted = requests.where(F.col(prompt).isNotNull()).select(prompt_hash(F.col(prompt)).alias("prompt_hash")).distinct()
+    hashes, queue, found = new_path(spark, "hashes"), new_path(spark, "queue"), new_path(spark, "answers")
+    every = requests.select(key, prompt_hash(F.col(prompt)).alias("prompt_hash"))
+    every.write.parquet(hashes)
+    every = spark.read.schema(every.schema).parquet(hashes)
+    keyed, kept = every.where(F.col("prompt_hash").isNotNull()), None
+    wanted = keyed.select("prompt_hash").distinct()
     if cache is not None:
         # The stored answers in use are fixed here, before this wave adds to the folder.
         kept = settle(
@@ -252,22 +279,26 @@ def run_wave(
             .agg(F.min("response").alias("response")),
             "cached",
         )
-        todo = todo.join(kept, "prompt_hash", "left_anti")
         wanted = wanted.join(kept, "prompt_hash", "left_anti")
     n_todo = wanted.count()
-    batches = max(1, -(-n_todo // calls_per_batch))
-    # A hash decides the batch, so that a batch is one folder of the queue.
-    batch = F.pmod(F.xxhash64("prompt_hash"), F.lit(batches)).cast("int")
-    todo.withColumn("batch", batch).repartition("batch", F.pmod(F.hash("prompt_hash"), F.lit(64))).write.partitionBy(
-        "batch"
-    ).parquet(queue)
-    waiting = spark.read.schema("prompt_hash string, prompt string, batch int").parquet(queue)
+    # Without a cache there is nothing that a batch's answers could enter.
+    batches = max(1, -(-n_todo // calls_per_batch)) if cache is not None else 1
     per_batch = -(-n_todo // batches)
     tasks = max(1, -(-per_batch // calls_per_task), min(per_batch, spark.sparkContext.defaultParallelism))
+    if batches > 1:
+        todo = distinct_prompts(requests, prompt).drop("n").join(kept, "prompt_hash", "left_anti")
+        # A hash decides the batch, so that a batch is one folder of the queue.
+        batch = F.pmod(F.xxhash64("prompt_hash"), F.lit(batches)).cast("int")
+        todo.withColumn("batch", batch).repartition("batch", F.pmod(F.hash("prompt_hash"), F.lit(64))).write.partitionBy(
+            "batch"
+        ).parquet(queue)
+        waiting = spark.read.schema("prompt_hash string, prompt string, batch int").parquet(queue)
+        parts = [waiting.where(F.col("batch") == b).repartition(tasks, "prompt_hash") for b in range(batches)]
+    else:
+        parts = [_each_once(requests, keyed, kept, key, prompt, keyed.count(), tasks)]
     columns = "prompt_hash string, response string, message string"
-    for b in range(batches):
+    for b, part in enumerate(parts):
         path = f"{found}/batch={b}"
-        part = waiting.where(F.col("batch") == b).repartition(tasks, "prompt_hash")
         call_service(part, client, model, threads, pace, min(tasks, spark.sparkContext.defaultParallelism)).write.parquet(path)
         if cache is not None:
             cache.append(spark.read.schema(columns).parquet(path).where(F.col("message").isNull()), model)
@@ -275,12 +306,11 @@ def run_wave(
     if kept is not None:
         known = known.unionByName(kept.withColumn("message", F.lit(None).cast("string")))
 
-    keyed = requests.select(key, prompt_hash(F.col(prompt)).alias("prompt_hash"))
-    out = salted_left_join(keyed, known, "prompt_hash", key, salts)
+    out = salted_left_join(every, known, "prompt_hash", key, salts)
     wave = settle(
         out.select(key, F.col("response").alias(response), *([F.col("message").alias(failure)] if failure else [])),
         "wave",
     )
-    discard(spark, queue)
-    discard(spark, found)
+    for path in (hashes, queue, found):
+        discard(spark, path)
     return wave

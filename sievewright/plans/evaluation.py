@@ -15,7 +15,7 @@ from ..operators.dedup import dedup_first
 from ..operators.inference import CALLS_PER_BATCH, CALLS_PER_TASK, THREADS, Pace, ResponseCache, StoredCache, TextClient, run_wave
 from ..operators.merge import scatter, update_merge, write_back
 from ..schema import column_or, ensure_columns, rename_out, require_columns
-from ..session import new_path, settle
+from ..session import new_path, settle, settle_by
 from ..sources.tables import land_csv, write_csv
 
 KEY = "candidate_id"
@@ -169,6 +169,19 @@ def initial_evaluations(base: DataFrame, service: Service, templates: Templates)
     )
 
 
+#: What the prompts of :func:`detailed_profiles` show, where a table has it.
+PROFILE_COLUMNS = (
+    "job_desc", "resume_text", "criteria", "name", "company", "resume_url", "profile_url", "phone", "email",
+    "current_salary", "experience",
+)
+
+
+def profile_rows(chosen: DataFrame) -> DataFrame:
+    """The rows and columns :func:`detailed_profiles` reads, written once in buckets by key,
+    for a caller whose rows come from joins of their own."""
+    return settle_by(chosen.select(KEY, *[c for c in PROFILE_COLUMNS if c in chosen.columns]), KEY, "chosen")
+
+
 def detailed_profiles(chosen: DataFrame, service: Service, templates: Templates) -> DataFrame:
     """``good_fit, profile`` for the candidates that were not rejected."""
     asked = service.wave(
@@ -203,8 +216,9 @@ def evaluate(
     df: DataFrame, service: Service, templates: Templates, keep_null_urls: bool = False
 ) -> DataFrame:
     """The whole flow. The result has the same columns whatever the answers were,
-    and is written by the caller after the last wave."""
-    base = settle(clean_candidates(df, keep_null_urls), "candidates")
+    and is written by the caller after the last wave. The candidates are written in buckets
+    by key: the waves' answers come to their texts, which stay where they are."""
+    base = settle_by(clean_candidates(df, keep_null_urls), KEY, "candidates")
     first = settle(initial_evaluations(base, service, templates), "initial")
     kept = base.drop(*[c for c in first.columns if c != KEY])
     judged = kept.join(first, KEY)

@@ -7,6 +7,7 @@ import pytest
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
+from sievewright.catalog import stub
 from sievewright.catalog.stub import TEMPLATES
 from sievewright.functions.templates import MISSING_INPUT, NO_INTERVIEW
 from sievewright.operators.inference import ResponseCache
@@ -140,3 +141,22 @@ def test_files_in_and_out(spark, people, tmp_path):
     assert told == {
         0: ("Advanced", note), 1: ("Reject", note), 2: ("Manual Intervention", None), 4: ("Advanced", note), 5: ("Advanced", note),
     }
+
+
+def test_candidates_in_buckets_are_not_shuffled_again(spark):
+    from sievewright.session import settle_by
+
+    rows = spark.range(50).select(F.col("id").alias("candidate_id"), F.lit("text").alias("a text, (raw)"))
+    base = settle_by(rows.union(rows.where("candidate_id = 3")), "candidate_id", "rows")
+    assert spark.catalog.listTables() == [] and base.count() == 51
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        one = spark.range(40).select(F.col("id").alias("candidate_id"), F.lit(1).alias("one"))
+        two = spark.range(30).select(F.col("id").alias("candidate_id"), F.lit(2).alias("two"))
+        both = base.join(one, "candidate_id", "left").join(two, "candidate_id", "left")
+        plan = both._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 2
+        assert both.count() == 51 and both.where("two = 2").count() == 31
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)

@@ -169,3 +169,34 @@ def test_null_inputs_never_reach_the_model(spark):
     df = spark.createDataFrame([(1, "abc", True), (2, None, True), (3, "x", False), (4, "y", None)], "id long, t string, m boolean")
     out = {r["id"]: r["predicted"] for r in score_rows(df, "t", load, F.col("m")).collect()}
     assert out == {1: "Maybe", 2: None, 3: None, 4: None}
+
+
+def test_prompts_are_shuffled_once_and_not_written(spark, tmp_path, monkeypatch):
+    asked = []
+    calls = inf.call_service
+
+    def seen(queue, *rest):
+        asked.append(queue._jdf.queryExecution().executedPlan().toString())
+        return calls(queue, *rest)
+
+    monkeypatch.setattr(inf, "call_service", seen)
+    df = spark.range(300).select(
+        F.col("id").alias("candidate_id"), F.when(F.col("id") < 250, "hot").otherwise(F.col("id").cast("string")).alias("prompt")
+    )
+    client = LoggingClient(str(tmp_path))
+    out = answers(inf.run_wave(df, client, "m", calls_per_task=10))
+    assert out == {i: "m:hot" if i < 250 else f"m:{i}" for i in range(300)}
+    assert client.calls() == sorted(["hot", *map(str, range(250, 300))])
+    assert len(asked) == 1 and "queue-" not in asked[0]
+    assert asked[0].split("Final Plan")[-1].count("REPARTITION_BY_NUM") == 1
+
+
+def test_null_and_repeated_keys_of_a_hot_prompt(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(inf, "COPIES", 2)
+    client = LoggingClient(str(tmp_path))
+    rows = [(None, "a"), (None, "a"), (None, "a"), (7, "b"), (7, "b"), (None, "b"), (8, "b"), (7, "c"), (9, None)]
+    df = spark.createDataFrame(rows, "candidate_id long, prompt string")
+    out = inf.run_wave(df, client, "m").collect()
+    want = [(k, None if p is None else f"m:{p}") for k, p in rows]
+    assert sorted(map(tuple, out), key=str) == sorted(want, key=str)
+    assert client.calls() == ["a", "b", "c"]
