@@ -160,3 +160,12 @@ def test_candidates_in_buckets_are_not_shuffled_again(spark):
         assert both.count() == 51 and both.where("two = 2").count() == 31
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+def test_profile_rows_are_those_of_the_flow(spark):
+    rows = [(1, "job", "cv", "Al B", "x"), (2, None, "cv", "C", "y"), (2, "job", "cv", "C", "y")]
+    df = spark.createDataFrame(rows, "candidate_id long, job_desc string, resume_text string, name string, other string")
+    kept = flow.profile_rows(df)
+    assert kept.columns == ["candidate_id", "job_desc", "resume_text", "name"] and kept.count() == 3
+    service = flow.Service(stub.StubClient(), stub.WRITER, stub.JUDGE)
+    out = lambda d: sorted(map(str, flow.detailed_profiles(d, service, stub.TEMPLATES).collect()))
+    assert out(kept) == out(df)
