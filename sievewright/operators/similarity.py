@@ -17,6 +17,8 @@ BLOCK_VALUES = 2_000_000
 CORPUS_VALUES = 1_000_000
 # Similarities a task holds at a time (32 MB of doubles).
 CHUNK_VALUES = 4_000_000
+#: Up to so many distinct query terms are broadcast.
+ASKED_TERMS = 1_000_000
 KEYWORD_WEIGHT, VECTOR_WEIGHT = 0.3, 0.7
 
 
@@ -222,10 +224,14 @@ def weighted_terms(
     """``(query_id, term, idf)``: the query terms with their idf over ``docs``.
 
     Documents are counted per term, combined in each task before the shuffle; a term that
-    very many queries share is dealt to parts.
+    very many queries share is dealt to parts. Only terms that are asked for are counted: up
+    to ``ASKED_TERMS`` of them go to every task, which drops the others where it finds them.
     """
     grams = with_grams(docs.select(key, text), text)
     once = exploded(grams.withColumn("grams", F.array_distinct("grams")), key)
+    wanted = terms.select("term").distinct()
+    if wanted.limit(ASKED_TERMS + 1).count() <= ASKED_TERMS:
+        once = once.join(F.broadcast(wanted), "term", "left_semi")
     frequency = once.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     counted = salted_left_join(terms.select(query_id, "term"), frequency, "term", query_id)
     return counted.select(query_id, "term", idf(F.coalesce("df", F.lit(0)), n_rows(docs, key)).alias("idf"))

@@ -92,3 +92,15 @@ def test_upsert(spark):
     new = spark.createDataFrame([(2, 5, "new"), (2, 3, "old"), (3, 1, None)], "id long, version long, payload string")
     out = sim.upsert_latest(base, new, "id", "version")
     assert sorted(tuple(r) for r in out.collect()) == [(1, 0, "a"), (2, 5, "new"), (3, 1, None)]
+
+
+def test_only_asked_terms_are_counted(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, "red apple red"), (2, "green apple"), (2, "apple tart"), (3, None)], "vec_id long, text string")
+    asked = spark.createDataFrame([(7, "apple pie"), (8, "red apple")], "query_id long, text string")
+    terms = sim.query_terms(asked)
+    out = lambda: sorted(tuple(r) for r in sim.weighted_terms(docs, terms).collect())
+    few = out()
+    plan = sim.weighted_terms(docs, terms)._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftSemi" in plan
+    monkeypatch.setattr(sim, "ASKED_TERMS", 0)
+    assert out() == few and len(few) == 6
