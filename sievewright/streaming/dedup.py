@@ -26,7 +26,8 @@ def _first_row(order: str, columns: list[str], remembered_ms: int):
             return
         best = None
         for part in rows:
-            own = part.sort_values(order, kind="stable").head(1)
+            # Most keys come once; a table of one row needs no sorting.
+            own = part if len(part) < 2 else part.sort_values(order, kind="stable").head(1)
             if len(own) and (best is None or own[order].iloc[0] < best[order].iloc[0]):
                 best = own
         if best is None or state.exists:

@@ -74,3 +74,24 @@ def test_the_evaluation_flow_asks_nothing_for_a_resume_that_comes_again(spark, t
         stream = spark.readStream.schema(schema).parquet(str(tmp_path / "in"))
         run_to_end(spark, evaluate_stream(stream, service, stub.TEMPLATES, sink, str(tmp_path / "cp")))
     assert seen == [[1, 2], [4]]
+
+
+def test_a_key_with_one_row_is_not_sorted(monkeypatch):
+    import pandas as pd
+
+    from sievewright.streaming.dedup import _first_row
+
+    class State:
+        hasTimedOut, exists, seen = False, False, None
+
+        def update(self, value):
+            self.seen = value
+
+    def unsorted(*a, **b):
+        raise AssertionError("sorted")
+
+    one, two = pd.DataFrame({"k": [1], "at": [7]}), pd.DataFrame({"k": [1, 2], "at": [9, 3]})
+    task, state = _first_row("at", ["k", "at"], 0), State()
+    assert [x.k.tolist() for x in task(("a",), iter([two, one]), state)] == [[2]] and state.seen == (True,)
+    monkeypatch.setattr(pd.DataFrame, "sort_values", unsorted)
+    assert [x.k.tolist() for x in task(("a",), iter([one]), State())] == [[1]]
