@@ -105,6 +105,25 @@ def mix(x: np.ndarray) -> np.ndarray:
 SPACES = np.array([chr(i).isspace() for i in range(0x3001)] + [False])
 
 
+#: Mixed (character, place) pairs of the first characters and places, which most words are made of; 0 for white space.
+CHARS, PLACES = 256, 64
+MIXED = mix(np.arange(CHARS, dtype=np.uint64) | (np.arange(PLACES, dtype=np.uint64)[:, None] << np.uint64(32)))
+MIXED = np.where(SPACES[:CHARS], np.uint64(0), MIXED).ravel()
+
+
+def _mixed(points: np.ndarray, place: np.ndarray, space: np.ndarray) -> np.ndarray:
+    """``mix(points | place << 32)``, looked up where the table has it; 0 for white space."""
+    out = MIXED.take(place * CHARS + points, mode="clip")
+    far = place >= PLACES
+    if points.dtype != np.uint8:
+        far |= (points >= CHARS) | space
+    rest = np.flatnonzero(far)
+    out[rest] = 0
+    rest = rest[~space[rest]]
+    out[rest] = mix(points[rest].astype(np.uint64) | (place[rest].astype(np.uint64) << np.uint64(32)))
+    return out
+
+
 def hashed_words(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """A 64-bit hash of every word of the texts, in order, and the words of each text.
 
@@ -112,16 +131,23 @@ def hashed_words(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     whole slices are hashed at once without a Python object for a word.
     """
     lowered = [t.lower() for t in texts]
-    points = np.frombuffer("\n".join(lowered).encode("utf-32-le", "surrogatepass"), np.uint32)
-    at = np.flatnonzero(~SPACES[np.minimum(points, 0x3001)])
-    if not len(at):
+    joined = "\n".join(lowered)
+    try:
+        points = np.frombuffer(joined.encode("latin-1"), np.uint8)
+        space = SPACES.take(points)
+    except UnicodeEncodeError:
+        points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
+        space = SPACES.take(np.minimum(points, 0x3001))
+    begins = np.flatnonzero(~space & np.concatenate([[True], space[:-1]]))
+    if not len(begins):
         return np.empty(0, np.uint64), np.zeros(len(texts), np.int64)
-    begins = np.flatnonzero(np.diff(at, prepend=-2) != 1)
-    sizes = np.diff(np.append(begins, len(at)))
-    place = (np.arange(len(at)) - np.repeat(begins, sizes)).astype(np.uint64)
-    hashes = mix(np.add.reduceat(mix(points[at] | (place << np.uint64(32))), begins))
+    # The white space after a word adds 0 to its sum.
+    first = begins[0]
+    points, space = points[first:], space[first:]
+    place = np.arange(len(points)) - np.repeat(begins - first, np.diff(begins - first, append=len(points)))
+    hashes = mix(np.add.reduceat(_mixed(points, place, space), begins - first))
     starts = np.cumsum([0, *(len(t) + 1 for t in lowered[:-1])])
-    owner = np.searchsorted(starts, at[begins], "right") - 1
+    owner = np.searchsorted(starts, begins, "right") - 1
     return hashes, np.bincount(owner, minlength=len(texts))
 
 
@@ -158,6 +184,29 @@ def popcount_lcs(a: np.ndarray, b: np.ndarray) -> int:
     return len(a) - row.bit_count()
 
 
+#: Bits of a :func:`sieve`, 16 MB.
+SIEVE_BITS = 1 << 27
+
+
+def sieve(ids: DataFrame, bits: int = SIEVE_BITS) -> DataFrame:
+    """Bitmaps of the hashes of ``ids``' only column, at most ``bits`` bits in all."""
+    at = F.pmod(F.xxhash64(ids.columns[0]), F.lit(bits))
+    return ids.select(at.alias("at")).groupBy(F.bitmap_bucket_number("at").alias("__bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("__bits")
+    )
+
+
+def sieved(df: DataFrame, id_col: str, bitmaps: DataFrame, bits: int = SIEVE_BITS) -> tuple[DataFrame, DataFrame]:
+    """The rows whose id may be in the :func:`sieve`, and those whose id surely is not, null
+    ids among these. Rows are told apart where they are, without a shuffle."""
+    at = F.pmod(F.xxhash64(F.col(f"`{id_col}`")), F.lit(bits))
+    place = F.bitmap_bit_position(at)
+    byte = F.conv(F.hex(F.substring("__bits", (place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    hit = F.coalesce(F.getbit(byte, (place % 8).cast("int")) == 1, F.lit(False)) & F.col(f"`{id_col}`").isNotNull()
+    met = df.join(F.broadcast(bitmaps), F.bitmap_bucket_number(at) == F.col("__bucket"), "left")
+    return met.where(hit).drop("__bucket", "__bits"), met.where(~hit).drop("__bucket", "__bits")
+
+
 def source_columns(df: DataFrame, **names: str) -> DataFrame:
     """Keep only the needed columns, under fixed working names, so that nothing else in
     the caller's table can clash."""

@@ -31,7 +31,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from .common import ddl, free_name, hashed_words, map_batches, map_slices, mix, popcount_lcs, source_columns, words_by_text
+from .common import ddl, free_name, hashed_words, map_batches, map_slices, mix, popcount_lcs, sieve, sieved, source_columns, words_by_text
+from ..session import settle
 
 SHINGLE = 5
 WINDOW = 8
@@ -263,8 +264,10 @@ def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", si
     together = matches.repartition("id").sortWithinPartitions("id", "first_id", "at", "first_at")
     spans = f"id {kind}, start int, end int, first_id {kind}, first_start int, first_end int"
     packed = ", ".join(f"{c}: {t}" for c, t in (x.rsplit(" ", 1) for x in f"side int, {spans}".split(", ")))
-    wanted = map_batches(together, f"doc {kind}, spans array<struct<{packed}>>", _chained)
-    fetched = wanted.join(texts.select(F.col("id").alias("doc"), "text", F.xxhash64("text").alias("key")), "doc")
+    wanted = settle(map_batches(together, f"doc {kind}, spans array<struct<{packed}>>", _chained), "pieces")
+    # Only texts that hold a piece are shuffled.
+    held, _ = sieved(texts, "id", sieve(wanted.select("doc")))
+    fetched = wanted.join(held.select(F.col("id").alias("doc"), "text", F.xxhash64("text").alias("key")), "doc")
 
     def cut(batch, own_texts):
         # Pieces of one text come in several rows; it is hashed once for those that follow one another.
@@ -478,8 +481,11 @@ def without_passages(docs: DataFrame, found: DataFrame, id_col: str = "doc_id",
     spans = found.groupBy(F.col(id_col).alias(doc), F.col("text_hash").alias(key)).agg(
         F.collect_set(F.struct("passage_start", "passage_end")).alias(own)
     )
+    spans = settle(spans, "passages")
+    # Only documents that may hold a passage are shuffled.
+    marked, clear = sieved(docs, id_col, sieve(spans.select(doc)))
     same = (F.col(f"`{id_col}`") == F.col(doc)) & (F.xxhash64(F.col(f"`{text_col}`")) == F.col(key))
-    met = docs.join(spans, same, "left").drop(doc, key)
+    met = marked.join(spans, same, "left").drop(doc, key)
 
     others = [c for c in docs.columns if c != text_col]
 
@@ -491,7 +497,7 @@ def without_passages(docs: DataFrame, found: DataFrame, id_col: str = "doc_id",
             kept = np.array([i for i, (t, s) in enumerate(zip(left, spans)) if not s or t.split()], np.int64)
             yield {c: batch.column(c).take(kept) for c in others} | {text_col: [left[i] for i in kept]}
 
-    return map_batches(met, ddl(docs), task)
+    return map_batches(met, ddl(docs), task).unionByName(clear)
 
 
 def _cut(text: str, spans: list[dict]) -> str:

@@ -165,3 +165,45 @@ def test_toxicity_counts_are_exact(spark):
     for context in sorted(want)[::200]:
         place = model.place(context)
         assert [model.den[c].get(place) for c in ("ordinary", "toxic")] == want[context]
+
+
+def test_word_hashes_stay_those_of_the_formula():
+    import numpy as np
+
+    from sievewright.llm.common import hashed_words, mix
+
+    texts = ["Plain  words\x1cof\tASCII ", "", "caf\u00e9 \u00a0 na\u00efve", "\u4e2d x\u3000y \U0001f600", " " + "long" * 30 + " " * 80 + "end", "\ud800 z"]
+    for part in (texts, texts[:1], texts[:3], texts[4:5], []):
+        hashes, sizes = hashed_words(part)
+        words = [w for t in part for w in t.lower().split()]
+        own = [mix(mix(np.array([ord(c) | i << 32 for i, c in enumerate(w)], np.uint64)).sum(keepdims=True))[0] for w in words]
+        assert hashes.tolist() == [int(x) for x in own]
+        assert sizes.tolist() == [len(t.split()) for t in part]
+
+
+def test_sieve_parts_rows_without_losing_any(spark):
+    from sievewright.llm.common import sieve, sieved
+
+    rows = spark.range(2_000).selectExpr("id as doc", "id * 2 as x").union(spark.sql("select cast(null as long), 1L"))
+    wanted = spark.range(0, 2_000, 10).selectExpr("id as k").union(spark.sql("select cast(null as long)"))
+    for bits in (1 << 27, 1 << 12):
+        marked, clear = sieved(rows, "doc", sieve(wanted, bits), bits)
+        a, b = [r.doc for r in marked.collect()], [r.doc for r in clear.collect()]
+        assert marked.columns == clear.columns == ["doc", "x"] and None in b
+        assert set(range(0, 2_000, 10)) <= set(a) and sorted(a + [x for x in b if x is not None]) == list(range(2_000))
+        assert bits < 1 << 20 or len(a) == 200
+    none, every = sieved(rows, "doc", sieve(wanted.where("false")))
+    assert none.count() == 0 and every.count() == 2_001
+
+
+def test_texts_without_passages_are_not_shuffled(spark):
+    from sievewright.llm import passages
+
+    shared = " ".join(f"w{i}" for i in range(80))
+    other = lambda n: " ".join(f"x{n}y{i}" for i in range(60))
+    rows = [(1, f"{other(1)} {shared}"), (2, f"{shared} {other(2)}"), (3, other(3)), (None, shared), (4, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    left = passages.without_passages(docs, passages.repeated(docs))
+    assert "Union" in left._jdf.queryExecution().optimizedPlan().toString()
+    got = {r.doc_id: r.text for r in left.collect()}
+    assert got.pop(2).split() == other(2).split() and got == {k: t for k, t in rows if k != 2}
