@@ -56,6 +56,11 @@ def fresh(at: np.ndarray) -> np.ndarray:
     return out
 
 
+def _distinct(x: np.ndarray) -> np.ndarray:
+    x = np.sort(x)
+    return x[np.concatenate([[True], x[1:] != x[:-1]])]
+
+
 def fit(docs: DataFrame) -> np.ndarray:
     """Weighted projection of hashed words into the latent space, a row per word.
 
@@ -78,13 +83,13 @@ def fit(docs: DataFrame) -> np.ndarray:
             begins = np.flatnonzero(place % PASSAGE == 0)
             number = np.cumsum(place % PASSAGE == 0) - 1
             drawn = mix(np.add.reduceat(hashes, begins))
-            row = (drawn % np.uint64(SKETCH)).astype(np.int64)[number]
-            sign = np.where(drawn >> np.uint64(63), 1, -1)[number]
+            row = (drawn % np.uint64(SKETCH)).astype(np.int64)
+            sign = np.where(drawn >> np.uint64(63), 1, -1)
             # A word counts once in a passage, so that repetitive texts don't rule the space.
-            _, new = np.unique(number * width + at, return_index=True)
-            cells = row[new] * width + at[new]
-            sums[: SKETCH * width] += np.bincount(cells, weights=sign[new], minlength=SKETCH * width).astype(np.int64)
-            once = np.unique(doc.astype(np.int64) * width + at) % width
+            own = _distinct(number * width + at)
+            passage, word = own >> BITS, own & (width - 1)
+            np.add.at(sums, row[passage] * width + word, sign[passage])
+            once = _distinct(doc[begins][passage] * width + word) & (width - 1)
             sums[SKETCH * width :] += np.bincount(once, minlength=width)
         pack = zstandard.ZstdCompressor(level=1).compress
         rows = sums.reshape(-1, width)
