@@ -176,6 +176,47 @@ def test_vocabulary_and_tfidf_by_hand(spark):
         assert found == pytest.approx({g: x / norm for g, x in raw.items()})
 
 
+def test_terms_are_counted_where_the_texts_are(spark, monkeypatch):
+    """Slices of few tokens, keys that repeat or are null, and words too rare for a pair."""
+    monkeypatch.setattr(ft, "TOKENS_PER_SLICE", 3)
+    usual = "red fox red fox blue fox"
+    texts = [(1, usual), (1, "red fox green"), (None, usual), (None, "fox fox"), (2, None), (3, "rare words rare words"), (4, "")]
+    df = spark.createDataFrame(texts, "k long, text string").repartition(2)
+    grams = [_python_grams(t or "") for _, t in texts]
+    tf = collections.Counter(g for gs in grams for g in gs)
+    dfreq = collections.Counter(g for gs in grams for g in set(gs))
+    want = [g for g in sorted(tf, key=lambda g: (-tf[g], g)) if 2 <= dfreq[g] <= 0.95 * len(texts)][:2]
+    asked, count = [], ft.counted_terms
+    monkeypatch.setattr(ft, "counted_terms", lambda *a, **k: asked.append(k) or count(*a, **k))
+    vocab = ft.vocabulary(df, "k", "text", size=2)
+    assert [(r.term, r.tf, r.df) for r in vocab.orderBy(F.desc("tf"), "term").collect()] == [(g, tf[g], dfreq[g]) for g in want]
+    assert sorted(asked[-1]["among"]) == ["fox", "red"] and asked[-1]["pairs"]
+    known = {"fox": 1.5, "red fox": 2.0, "fox fox": 3.0, "none": 1.0}
+    table = spark.createDataFrame(list(known.items()), "term string, idf double")
+    by_key = collections.defaultdict(collections.Counter)
+    for (k, _), gs in zip(texts, grams):
+        by_key[k].update(g for g in gs if g in known)
+    wanted = {}
+    for k, own in by_key.items():
+        norm = math.sqrt(sum((n * known[g]) ** 2 for g, n in own.items()))
+        wanted |= {(k, g): (n, round(n * known[g] / norm, 9)) for g, n in own.items()}
+    found = ft.tfidf(df, "k", "text", table).collect()
+    assert {(r.k, r.term): (r.tf, round(r.weight, 9)) for r in found} == wanted and len(found) == len(wanted)
+    assert ft.tfidf(df.limit(0), "k", "text", table).count() == 0 == ft.tfidf(df, "k", "text", table.limit(0)).count()
+
+
+def test_counts_of_a_key_go_over_batches():
+    import pyarrow as pa
+
+    def batch(keys, terms, tf):
+        columns = [pa.array(keys, pa.int64()), pa.array(terms, pa.int32()), pa.array(tf, pa.int64()), pa.array([1.0] * len(tf))]
+        return pa.RecordBatch.from_arrays(columns, ["k", "t", "tf", "idf"])
+
+    parts = [batch([None, None], [1, 1], [2, 3]), batch([None, 5], [4, 0], [1, 1]), batch([], [], []), batch([5, 5, 6], [0, 2, 2], [1, 7, 9])]
+    got = [(keys[int(o)].as_py(), int(t), int(n)) for keys, owner, term, tf, _ in ft._key_counts(iter(parts)) for o, t, n in zip(owner, term, tf)]
+    assert got == [(None, 1, 5), (None, 4, 1), (5, 0, 2), (5, 2, 7), (6, 2, 9)]
+
+
 def test_reports(spark):
     data = [("Yes", "Yes")] * 3 + [("Yes", "No")] * 1 + [("No", "No")] * 5 + [("No", "Maybe")] * 1
     df = spark.createDataFrame(data, "t string, p string")

@@ -83,6 +83,24 @@ def test_tfidf_drops_foreign_grams_in_the_task(spark, no_auto_broadcast):
     assert p.count("Exchange hashpartitioning") == 1
 
 
+def test_tfidf_makes_no_row_for_a_gram(spark, no_auto_broadcast):
+    df = spark.range(10).selectExpr("id k", "concat('some words ', id) text")
+    vocab = spark.createDataFrame([("words", 1.0)], "term string, idf double")
+    for made in (ft.tfidf(df, "k", "text", vocab), ft.vocabulary(df, "k", "text")):
+        assert "Generate" not in plan(made) and "Window" not in plan(made)
+
+
+def test_ml_features_reads_no_dense_vector(spark, tmp_path):
+    sf = folder(spark, tmp_path)
+    spark.createDataFrame([(1, "")], "p_partkey long, p_name string").write.parquet(f"{sf}/part.parquet")
+    spark.createDataFrame([(0, "about things")], "item_id long, text string").write.parquet(f"{sf}/benchmark.parquet")
+    found = registered.ml_features(spark, sf)
+    assert "unwrap_udt" in plan(found)
+    # role, title, things and their pairs, alike in 18 rows of 20; one of the rows without an address has no description.
+    want = {i: (0, 0.0) if i % 17 == 0 else (6, 0.408248) for i in range(20) if i % 5}
+    assert {r.candidate_id: (r.n_terms, r.top_weight) for r in found.where("candidate_id % 5 <> 0").collect()} == want
+
+
 def test_search_makes_no_pairs(spark, tmp_path, no_auto_broadcast):
     corpus = spark.read.parquet(folder(spark, tmp_path) + "/embeddings.parquet")
     queries = corpus.where("vec_id < 3").select(F.col("vec_id").alias("query_id"), "embedding")
