@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..session import settle
+from ..session import written
 
 
 def connected(edges: DataFrame, rounds: int = 60) -> DataFrame:
@@ -12,25 +12,27 @@ def connected(edges: DataFrame, rounds: int = 60) -> DataFrame:
 
     Large-star and small-star steps alternate until nothing changes, which takes a number
     of rounds that grows with the logarithm of the longest path. No step holds a component
-    in one task. Null ends are ignored.
+    in one task. Null ends are ignored. Few edges are written in few files.
     """
-    now = settle(edges.where("a is not null and b is not null and a <> b").select("a", "b").distinct(), "edges")
+    n = edges.count()
+    now = written(edges.where("a is not null and b is not null and a <> b").select("a", "b").distinct(), n, "edges")
     mark = None
     for _ in range(rounds):
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = settle(large.where("a <> b").distinct(), "edges")
+        large = written(large.where("a <> b").distinct(), n, "edges")
         down = large.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
         least = down.groupBy("a").agg(F.min("b").alias("m"))
         met = down.join(least, "a")
         small = met.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(least.select("a", F.col("m").alias("b")))
-        now = settle(small.where("a <> b").distinct(), "edges")
+        now = written(small.where("a <> b").distinct(), n, "edges")
         # Order-free digest of all edges; equal digests of equal counts end the loop.
         digest = now.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b") % F.lit(1 << 40)).alias("h")).head()
         if mark == (digest["n"], digest["h"]):
             break
         mark = (digest["n"], digest["h"])
+        n = digest["n"]
     return now.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(
         now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
     )

@@ -29,7 +29,7 @@ import math
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
-from ..session import settle
+from ..session import settle, written
 from .common import map_batches, map_slices, mix, shingle_hashes, source_columns, words_by_text
 from .components import connected
 
@@ -168,13 +168,15 @@ def _leaves(distinct: DataFrame, repetitions: int) -> DataFrame:
 
     alive = map_batches(distinct.select("key", "path"), "key binary, r int, leaf long, rest array<long>", unfolded)
     done = None
+    rows = distinct.count() * repetitions
     for depth in range(1, DEPTH + 1):
         sizes = alive.groupBy("leaf").agg(F.count("*").alias("n")).where("n > 1")
-        met = settle(alive.join(sizes, "leaf").select("key", "r", "leaf", "rest", "n"), "paths")
+        met = written(alive.join(sizes, "leaf").select("key", "r", "leaf", "rest", "n"), rows, "paths")
         ends = (F.col("n") <= SMALL) | F.lit(depth == DEPTH)
         leaf = met.where(ends).select("key", "r", "leaf", "n")
         done = leaf if done is None else done.unionByName(leaf)
         if depth < DEPTH:
+            rows = met.where(~ends).count()
             alive = met.where(~ends).select("key", "r", F.get("rest", F.lit(0)).alias("leaf"), F.expr("slice(rest, 2, size(rest))").alias("rest"))
     return done
 

@@ -168,6 +168,28 @@ def test_components_of_a_long_path(spark):
     assert components.connected(edges.limit(0)).count() == 0
 
 
+def test_rounds_write_few_files(spark, monkeypatch):
+    """Tables of few rows are written in one file, however many shuffle partitions there are."""
+    made = []
+
+    def noted(df, rows, name, own=components.written):
+        out = own(df, rows, name)
+        made.append((name, len(out.inputFiles())))
+        return out
+
+    for module in (components, set_join):
+        monkeypatch.setattr(module, "written", noted)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        texts = [(i, " ".join([*(f"w{j}" for j in range(200)), f"x{i}"])) for i in range(30)] + [(99, "one two three")]
+        df = spark.createDataFrame(texts, "doc_id long, text string")
+        got = {r.doc_id: (r.class_id, r.links) for r in set_join.near_copies(df).collect()}
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert got == {i: (0, 29) for i in range(30)} | {99: (99, 0)}
+    assert {n for n, _ in made} == {"paths", "edges"} and max(files for _, files in made) == 1
+
+
 def test_repeated_passages(spark):
     rng = random.Random(9)
     passage, other = _words(rng, 70), _words(rng, 60)
