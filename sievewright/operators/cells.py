@@ -7,10 +7,15 @@ round looks at the rings with the best bounds and finds a score that ``k`` rows
 second one looks at every other ring whose bound reaches that score. Rows skipped can't be
 among the ``k`` best, so the result equals that of comparing all pairs.
 
-With texts, postings by term are kept beside the rings. A query's terms are split at the
-point that costs least: rows with one of its rare (essential) terms are found through their
-postings; a row without one can gain from the other terms only, so it is found through its
-ring if that gain on top of the ring's bound still reaches the score of the first round.
+With texts, postings by term are kept beside the rings, once, and the rows hold no terms. The
+texts of a task are cut into segments, whose postings are written where the texts are and
+packed, so that no pair of row and term is shuffled. A search takes from them the terms it
+asks for, counts these, and meets rows and rings with these terms only.
+
+A query's terms are split at the point that costs least: rows with one of its rare
+(essential) terms are found through their postings; a row without one can gain from the
+other terms only, so it is found through its ring if that gain on top of the ring's bound
+still reaches the score of the first round.
 
 The index is a written table and is searched any number of times. Its centres and rings are
 bounded by ``CELLS`` and ``RINGS`` whatever the table holds, so tasks may hold all of them.
@@ -24,10 +29,11 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from ..session import new_path, settle
-from .features import exploded, with_grams
+from ..session import discard, new_path, settle
+from .features import token_slices, with_grams
 from .similarity import DECIMALS, KEYWORD_WEIGHT, TOP_K, VECTOR_WEIGHT, query_terms
 from .skew import salted_left_join
 
@@ -42,6 +48,9 @@ QUERIES_AT_ONCE = 4_096
 FIRST_LOOK = 1_000
 FIRST_POSTINGS = 1_000
 BUCKETS = 64
+# Pairs of row and term a segment of the postings holds, and terms a task of a search asks for at a time.
+SEGMENT_TERMS = 4_000_000
+ASKED_TERMS = 1_000_000
 # Bounds a task that plans, and similarities a task that compares, holds at a time (16 MB of
 # doubles), and visits a task passes on at a time.
 PLAN_VALUES = 2_000_000
@@ -107,7 +116,7 @@ class Found:
 
 
 class CellIndex:
-    """Rows (``row``, vector, terms) in cells and rings, as a written table."""
+    """Rows (``row``, vector, text) in cells and rings, as a written table."""
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path
@@ -122,9 +131,9 @@ class CellIndex:
 
     @classmethod
     def build(cls, stored: DataFrame, path: str | None = None, cells: int | None = None) -> "CellIndex":
-        """``stored`` has ``row`` (long, unique), ``v`` (numbers of one length, or null) and
-        ``terms`` (distinct longs). Centres come from a sample of ``SAMPLE_PER_CELL`` rows
-        for each; every row is filed."""
+        """``stored`` has ``row`` (long, unique) and ``v`` (numbers of one length, or null); rows
+        with a text also its number ``doc`` and its ``segment``, where the terms are. Centres
+        come from a sample of ``SAMPLE_PER_CELL`` rows for each; every row is filed."""
         spark = stored.sparkSession
         path = path or new_path(spark, "cells")
         n = stored.where("v is not null").count()
@@ -136,7 +145,8 @@ class CellIndex:
         sample = sample[sample.any(1)]
         centres = centres_of(sample, cells)
         spark.createDataFrame([(i, c.tolist()) for i, c in enumerate(centres)], "cell int, v array<double>").write.parquet(f"{path}/centres")
-        filed = stored.select("row", "v", "terms").mapInArrow(_file(centres), FILED)
+        texts = [F.col(c) if c in stored.columns else F.lit(None).cast("long").alias(c) for c in TEXT]
+        filed = stored.select("row", "v", *texts).mapInArrow(_file(centres), FILED)
         filed = filed.repartition("cell", F.pmod(F.xxhash64("row"), F.lit(8))).sortWithinPartitions("cell", "ring")
         filed.write.partitionBy("cell").parquet(f"{path}/rows")
         kept = spark.read.schema(FILED).parquet(f"{path}/rows")
@@ -146,23 +156,34 @@ class CellIndex:
 
     # -- searching -----------------------------------------------------------------
 
-    def _meet(self, visits: DataFrame, n_queries: int, k: int) -> DataFrame:
+    def placed(self, rows: DataFrame | None = None) -> DataFrame:
+        """The rows with the part of their group."""
+        sizes = self.rings.parts()
+        parts = self.spark.createDataFrame(
+            [(int(c), int(r), int(p)) for c, r, p in zip(self.rings.cell, self.rings.ring, sizes)], "cell int, ring int, parts int"
+        )
+        rows = self.rows if rows is None else rows
+        return rows.join(F.broadcast(parts), ["cell", "ring"]).withColumn("part", _part("row")).drop("parts")
+
+    def _meet(self, visits: DataFrame, asked: DataFrame, held: DataFrame | None, n_queries: int, k: int) -> DataFrame:
         """``(query, row, score)``: the ``k`` best of every visit to a group of rows.
 
         Only visited cells are read, and a group's rows are repeated once per
-        ``QUERIES_AT_ONCE`` queries that visit it.
+        ``QUERIES_AT_ONCE`` queries that visit it. A visit gets its query here, a row its terms
+        in the task.
         """
         chunks = max(1, -(-n_queries // QUERIES_AT_ONCE))
-        visits = visits.withColumns({"chunk": F.pmod(F.xxhash64("query"), F.lit(chunks)).cast("int"), "kind": F.lit(1)})
+        visits = visits.withColumns({"chunk": F.pmod(F.xxhash64("query"), F.lit(chunks)).cast("int"), "kind": F.lit(2)})
         reached = visits.select(*GROUP, "chunk").distinct()
         cells = [r["cell"] for r in reached.select("cell").distinct().collect()]  # at most CELLS
-        sizes = self.rings.parts()
-        parts = self.spark.createDataFrame(
-            [(int(c), int(r), int(p)) for c, r, p in zip(self.rings.cell, self.rings.ring, sizes)], "cell int, ring int, parts int"
-        )
-        rows = self.rows.where(F.col("cell").isin(cells)).join(F.broadcast(parts), ["cell", "ring"])
-        rows = rows.withColumn("part", _part("row")).join(reached, list(GROUP)).select(*GROUP, "chunk", "row", "v", "terms")
-        both = rows.withColumn("kind", F.lit(0)).unionByName(visits, allowMissingColumns=True)
+        rows = self.placed(self.rows.where(F.col("cell").isin(cells)))
+        rows = rows.join(reached, list(GROUP)).select(*GROUP, "chunk", "row", "v", "doc").withColumn("kind", F.lit(0))
+        if held is not None:
+            texts = held.where(F.col("cell").isin(cells)).join(reached, list(GROUP))
+            texts = texts.select(*GROUP, "chunk", "doc", "terms").withColumn("kind", F.lit(1))
+            rows = rows.unionByName(texts, allowMissingColumns=True)
+        asking = visits.join(asked.select("ask", "v", "terms", "idfs"), "ask").drop("ask", "n")
+        both = rows.unionByName(asking, allowMissingColumns=True)
         keys = [*GROUP, "chunk"]
         met = both.repartition(*keys).sortWithinPartitions(*keys, "kind")
         return met.mapInArrow(_best(keys, k), "query long, row long, score double")
@@ -177,21 +198,22 @@ class CellIndex:
         )
         return self.search(asked, k, 0.0, 1.0)
 
-    def search(self, asked: DataFrame, k: int, keyword_weight: float, vector_weight: float) -> Found:
-        """``asked``: query, v, and terms with idfs and dfs, the rarest first.
+    def search(self, asked: DataFrame, k: int, keyword_weight: float, vector_weight: float, held: DataFrame | None = None) -> Found:
+        """``asked``: query, v, and terms with idfs and dfs, the rarest first; ``held``: the rows
+        that hold any of these terms, as :meth:`HybridIndex.held` returns them.
 
         A pair counts when both have a vector or share a term.
         """
-        asked = settle(asked, "asked")
+        asked = settle(asked.withColumn("ask", F.monotonically_increasing_id()), "asked")
         n = asked.count()
         plan = _Plan(self.centres, self.rings, k, keyword_weight, vector_weight)
         none = asked.withColumn("reach", F.lit(None).cast("double"))
-        first = settle(self._visits(none, plan, True), "visits")
-        one = self._meet(first, n, k)
+        first = settle(self._visits(none, plan, held, True), "visits")
+        one = self._meet(first, asked, held, n, k)
         ranked = settle(_ranked(one, k), "first-look")
         reach = ranked.where(F.col("rank") == k).select("query", F.col("score").alias("reach"))
-        second = settle(self._visits(asked.join(reach, "query", "left"), plan, False), "visits")
-        two = self._meet(second, n, k)
+        second = settle(self._visits(asked.join(reach, "query", "left"), plan, held, False), "visits")
+        two = self._meet(second, asked, held, n, k)
         every = ranked.select("query", "row", "score").unionByName(two).groupBy("query", "row").agg(F.max("score").alias("score"))
         looked = first.unionByName(second).groupBy("query").agg(F.sum("n").alias("looked"))
         stored = int(self.rings.rows.sum())
@@ -200,25 +222,22 @@ class CellIndex:
         )
         return Found(_ranked(every, k), work)
 
-    def _visits(self, asked: DataFrame, plan: "_Plan", first: bool) -> DataFrame:
+    def _visits(self, asked: DataFrame, plan: "_Plan", held: DataFrame | None, first: bool) -> DataFrame:
         """The groups each query looks at whole, and single rows (``only``) of other groups
-        that the postings of its essential terms name."""
+        that hold one of its essential terms."""
         planned = asked.mapInArrow(plan.task(first), VISITS)
-        whole = planned.where("essential is null").drop("essential", "seen")
-        if plan.keyword_weight == 0:
+        whole = planned.where("essential is null").drop("essential")
+        if plan.keyword_weight == 0 or held is None:
             return whole
         planned = settle(planned, "planned")
-        whole = planned.where("essential is null").drop("essential", "seen")
+        whole = planned.where("essential is null").drop("essential")
         by_term = planned.where("essential is not null").select("query", F.explode("essential").alias("term"))
-        by_term = by_term.withColumn("bucket", _bucket("term"))
-        buckets = [r["bucket"] for r in by_term.select("bucket").distinct().collect()]  # at most BUCKETS
-        postings = self.spark.read.schema(POSTINGS).parquet(f"{self.path}/postings").where(F.col("bucket").isin(buckets))
-        hits = postings.join(by_term, ["bucket", "term"]).select("query", "row", *GROUP).distinct()
+        hits = held.select("row", *GROUP, F.explode("terms").alias("term")).join(by_term, "term").select("query", "row", *GROUP).distinct()
         hits = hits.join(whole.select("query", *GROUP), ["query", *GROUP], "left_anti")
         only = hits.groupBy("query", *GROUP).agg(F.collect_list("row").alias("only"))
-        named = only.join(asked.select("query", "v", "terms", "idfs", "reach"), "query")
+        named = only.join(asked.select("query", "ask", "reach"), "query")
         return whole.unionByName(
-            named.select("query", "v", "terms", "idfs", "reach", *GROUP, F.size("only").cast("long").alias("n"), "only", *_weights(plan))
+            named.select("query", "ask", "reach", *GROUP, F.size("only").cast("long").alias("n"), "only", *_weights(plan))
         )
 
 
@@ -239,8 +258,14 @@ def _ranked(found: DataFrame, k: int) -> DataFrame:
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
-POSTINGS = "row long, cell int, ring int, part int, term long, bucket int"
-FILED = "row long, v array<double>, terms array<long>, cell int, ring int, angle double"
+# A record holds the rows of a segment, or its terms of a bucket with the places of their rows in the
+# segment. ``segment`` is the number of its first text.
+ROWS_OF_SEGMENT = -1
+POSTINGS = "segment long, rows array<long>, n int, terms binary, counts binary, places binary, bucket int"
+PICKED = "segment long, terms array<long>, places array<long>"
+HELD = "row long, doc long, cell int, ring int, part int, terms array<long>"
+TEXT = ("segment", "doc")
+FILED = "row long, v array<double>, segment long, doc long, cell int, ring int, angle double"
 
 
 def _vectors(column: pa.Array, dims: int | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -268,15 +293,15 @@ def _file(centres: np.ndarray):
                 cell[turned] = near.argmax(1)
                 angle[turned] = np.arccos(np.clip(near.max(1), -1, 1))
             ring = np.minimum((angle * (RINGS / math.pi)).astype(int), RINGS - 1)
-            columns = [batch.column("row"), batch.column("v"), batch.column("terms"), *(pa.array(x) for x in (cell.astype(np.int32), ring.astype(np.int32), angle))]
-            yield pa.RecordBatch.from_arrays(columns, names=["row", "v", "terms", "cell", "ring", "angle"])
+            columns = [*(batch.column(c) for c in ("row", "v", *TEXT)), *(pa.array(x) for x in (cell.astype(np.int32), ring.astype(np.int32), angle))]
+            yield pa.RecordBatch.from_arrays(columns, names=["row", "v", *TEXT, "cell", "ring", "angle"])
 
     return task
 
 
 VISITS = (
-    "query long, v array<double>, terms array<long>, idfs array<double>, reach double, cell int, ring int, part int, n long, "
-    "only array<long>, wk double, wv double, essential array<long>, seen boolean"
+    "query long, ask long, reach double, cell int, ring int, part int, n long, only array<long>, wk double, wv double, "
+    "essential array<long>"
 )
 
 
@@ -327,7 +352,7 @@ class _Plan:
             names = [f.split()[0] for f in VISITS.split(", ")]
             for batch in batches:
                 v, has = _vectors(batch.column("v"), self.centres.shape[1])
-                rows = batch.select(["query", "v", "terms", "idfs", "dfs", "reach"]).to_pylist()
+                rows = batch.drop_columns(["v"]).to_pylist()
                 step = max(1, min(64, PLAN_VALUES // max(1, len(self.rings.cell))))
                 for at in range(0, len(rows), step):
                     bounds = self.rings.bounds(v[at : at + step], self.centres)
@@ -342,7 +367,7 @@ class _Plan:
                         for piece in self.pieces(r, groups, parts, split):
                             for name, value in zip(out, piece):
                                 out[name].append(value)
-                            # A visit holds its query: a batch of visits is bounded, not one of queries.
+                            # A query has many visits: a batch of visits is bounded, not one of queries.
                             if len(out["query"]) >= VISITS_AT_ONCE:
                                 yield self.packed(out)
                                 out = {n: [] for n in names}
@@ -352,16 +377,15 @@ class _Plan:
         return run
 
     def packed(self, out: dict[str, list]) -> pa.RecordBatch:
-        types = {"query": pa.int64(), "n": pa.int64(), "cell": pa.int32(), "ring": pa.int32(), "part": pa.int32(), "seen": pa.bool_()}
-        lists = {"v": pa.list_(pa.float64()), "idfs": pa.list_(pa.float64())} | {c: pa.list_(pa.int64()) for c in ("terms", "only", "essential")}
-        kinds = types | lists
+        types = {"query": pa.int64(), "ask": pa.int64(), "n": pa.int64(), "cell": pa.int32(), "ring": pa.int32(), "part": pa.int32()}
+        kinds = types | {c: pa.list_(pa.int64()) for c in ("only", "essential")}
         return pa.RecordBatch.from_arrays([pa.array(x, kinds.get(n, pa.float64())) for n, x in out.items()], names=list(out))
 
     def pieces(self, r: dict, groups: np.ndarray, parts: np.ndarray, split: int):
         """The visits of one query, in the order of ``VISITS``."""
 
         def visit(cell, ring, part, n, essential):
-            return r["query"], r["v"], r["terms"], r["idfs"], r["reach"], cell, ring, part, n, None, self.keyword_weight, self.vector_weight, essential, None
+            return r["query"], r.get("ask"), r["reach"], cell, ring, part, n, None, self.keyword_weight, self.vector_weight, essential
 
         for g in groups.tolist():
             # The rows of a group are dealt evenly enough to its parts for the report.
@@ -402,15 +426,12 @@ def _best(keys: list[str], k: int):
     def task(batches):
         for group in _groups(batches, keys):
             kinds = group.column("kind")
-            rows, visits = group.filter(pc.equal(kinds, 0)), group.filter(pc.equal(kinds, 1))
+            rows, texts, visits = (group.filter(pc.equal(kinds, kind)) for kind in range(3))
             if not rows.num_rows or not visits.num_rows:
                 continue
             ids = rows.column("row").to_numpy()
             v, has = _vectors(_column(rows, "v"))
-            lists = _column(rows, "terms")
-            sizes = pc.list_value_length(lists).fill_null(0).to_numpy()
-            terms = lists.flatten().to_numpy(zero_copy_only=False)
-            owner = np.repeat(np.arange(len(ids)), sizes)
+            terms, owner = _terms_of(rows, texts)
             order = np.argsort(terms, kind="stable")
             terms, owner = terms[order], owner[order]
             q, q_has = _vectors(_column(visits, "v"), v.shape[1])
@@ -441,6 +462,19 @@ def _best(keys: list[str], k: int):
     return task
 
 
+def _terms_of(rows: pa.Table, texts: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """The terms of all rows, and the place of the row of each; ``texts`` has ``doc, terms``."""
+    docs, known = _column(rows, "doc"), _column(texts, "doc").to_numpy()
+    if not len(known):
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    order = np.argsort(known, kind="stable")
+    wanted = docs.fill_null(-1).to_numpy()
+    place = order[np.minimum(np.searchsorted(known[order], wanted), len(known) - 1)]
+    own = np.flatnonzero(known[place] == wanted)
+    lists = _column(texts, "terms").take(pa.array(place[own]))
+    return lists.flatten().to_numpy(zero_copy_only=False), np.repeat(own, lists.value_lengths().to_numpy())
+
+
 def _keyword(asked: np.ndarray, idfs: np.ndarray, terms: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
     """Per row the share of the query's idf mass in the terms it holds; ``terms`` is sorted,
     with the place of the row of each beside it."""
@@ -455,57 +489,201 @@ def _keyword(asked: np.ndarray, idfs: np.ndarray, terms: np.ndarray, owner: np.n
 # -- texts and vectors together --------------------------------------------------------
 
 
+BUCKET_BITS = BUCKETS.bit_length() - 1
+
+
+def _turned(terms: np.ndarray) -> np.ndarray:
+    """Terms as numbers whose highest bits are the bucket."""
+    bits = np.uint64(BUCKET_BITS)
+    own = terms.view(np.uint64)
+    return (own >> bits) | (own << (np.uint64(64) - bits))
+
+
+def _turned_back(keys: np.ndarray) -> np.ndarray:
+    bits = np.uint64(BUCKET_BITS)
+    return ((keys << bits) | (keys >> (np.uint64(64) - bits))).view(np.int64)
+
+
+def packed(numbers: np.ndarray) -> bytes:
+    """Numbers from 0 on, byte by byte: the lowest bytes of all, then the next, as far as any reaches."""
+    planes = numbers.astype("<u8").view(np.uint8).reshape(-1, 8).T
+    used = np.flatnonzero(planes.any(1))
+    return planes[: used[-1] + 1 if len(used) else 0].tobytes()
+
+
+def unpacked(data: bytes, n: int) -> np.ndarray:
+    planes = np.zeros((8, n), np.uint8)
+    planes[: len(data) // n] = np.frombuffer(data, np.uint8).reshape(-1, n)
+    return np.ascontiguousarray(planes.T).view("<u8").reshape(n)
+
+
+def _runs(first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """``first``, the numbers that follow it, as many as ``sizes`` says, then the next."""
+    return np.repeat(first - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
+
+
+def _segments(batches):
+    """Texts (``row, terms``) as segments of postings. Terms stand in order and so do the
+    places of a term; of both the steps from one to the next are kept."""
+    names = [f.split()[0] for f in POSTINGS.split(", ")]
+    kinds = [pa.int64(), pa.list_(pa.int64()), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.int32()]
+    first = TaskContext.get().partitionId() << 40
+    for part, flat, place in token_slices(batches, 1, SEGMENT_TERMS):
+        rows = pa.ListArray.from_arrays(pa.array([0, part.num_rows], pa.int32()), part.column(0))
+        columns = [pa.array([first]), rows, *(pa.nulls(1, kind) for kind in kinds[2:6]), pa.array([ROWS_OF_SEGMENT], pa.int32())]
+        yield pa.RecordBatch.from_arrays(columns, names=names)
+        keys = _turned(flat.to_numpy(zero_copy_only=False))
+        order = np.argsort(keys, kind="stable")
+        keys, place = keys[order], place[order]
+        new = np.flatnonzero(np.concatenate([np.ones(min(len(keys), 1), bool), keys[1:] != keys[:-1]]))
+        ends = np.append(new[1:], len(keys))
+        steps = np.diff(place, prepend=0)
+        steps[new] = place[new]
+        terms = keys[new]
+        edges = np.searchsorted(terms >> np.uint64(64 - BUCKET_BITS), np.arange(BUCKETS + 1, dtype=np.uint64))
+        records = []
+        for bucket, (a, b) in enumerate(zip(edges, edges[1:])):
+            if a < b:
+                gaps = np.diff(terms[a:b], prepend=np.uint64(bucket << (64 - BUCKET_BITS)))
+                records.append((first, None, b - a, packed(gaps), packed((ends - new)[a:b]), packed(steps[new[a] : ends[b - 1]]), bucket))
+        if records:
+            yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(zip(*records), kinds)], names=names)
+        first += part.num_rows
+
+
+def _picked(asked: np.ndarray):
+    """The pairs of term and place in records of postings whose term is ``asked`` for."""
+    asked = np.sort(_turned(asked))
+
+    def pairs(record: dict) -> tuple[np.ndarray, np.ndarray]:
+        start = np.uint64(record["bucket"] << (64 - BUCKET_BITS))
+        keys = np.cumsum(unpacked(record["terms"], record["n"])) + start
+        place = np.minimum(np.searchsorted(keys, asked), len(keys) - 1)
+        own = place[keys[place] == asked]
+        counts = unpacked(record["counts"], record["n"]).astype(np.int64)
+        ends = np.cumsum(counts)
+        steps = unpacked(record["places"], int(ends[-1])).astype(np.int64) if len(own) else np.empty(0, np.int64)
+        total, first, sizes = np.cumsum(steps), (ends - counts)[own], counts[own]
+        places = total[_runs(first, sizes)] - np.repeat(total[first] - steps[first], sizes)
+        return np.repeat(_turned_back(keys[own]), sizes), places
+
+    def as_batch(segments: list[int], found: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        offsets = pa.array(np.cumsum([0, *(len(f[0]) for f in found)]), pa.int32())
+        lists = [pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(c))) for c in zip(*found)]
+        return pa.RecordBatch.from_arrays([pa.array(segments, pa.int64()), *lists], names=["segment", "terms", "places"])
+
+    def task(batches):
+        for batch in batches:
+            segments, found, held = [], [], 0
+            for i in range(batch.num_rows):
+                record = batch.slice(i, 1).to_pylist()[0]
+                some = pairs(record)
+                if len(some[0]):
+                    segments.append(record["segment"])
+                    found.append(some)
+                    held += len(some[0])
+                if held >= PLAN_VALUES:
+                    yield as_batch(segments, found)
+                    segments, found, held = [], [], 0
+            if found:
+                yield as_batch(segments, found)
+
+    return task
+
+
+def _texts(batches):
+    """The rows of each segment with the terms picked from it."""
+    for group in _groups(batches, ["segment"]):
+        kinds = group.column("kind")
+        rows, picks = group.filter(pc.equal(kinds, 0)), group.filter(pc.equal(kinds, 1))
+        if not rows.num_rows or not picks.num_rows:
+            continue
+        place, term = (_column(picks, c).flatten().to_numpy(zero_copy_only=False) for c in ("places", "terms"))
+        order = np.argsort(place, kind="stable")
+        place, term = place[order], term[order]
+        own = rows.column("doc").to_numpy() - group.column("segment")[0].as_py()
+        first, last = np.searchsorted(place, own, "left"), np.searchsorted(place, own, "right")
+        some = np.flatnonzero(last > first)
+        sizes = (last - first)[some]
+        offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32())
+        lists = pa.ListArray.from_arrays(offsets, pa.array(term[_runs(first[some], sizes)], pa.int64()))
+        names = ["row", "doc", *GROUP]
+        kept = rows.select(names).take(pa.array(some))
+        yield pa.RecordBatch.from_arrays([*(_column(kept, c) for c in names), lists], names=[*names, "terms"])
+
+
 class HybridIndex:
     """A cell index over rows with vectors, texts or both, and postings by term."""
 
     def __init__(self, cells: CellIndex):
         self.cells = cells
-        self.frequency = cells.spark.read.parquet(f"{cells.path}/frequency")
+        self.postings = cells.spark.read.schema(POSTINGS).parquet(f"{cells.path}/postings")
         self.n_docs = cells.spark.read.parquet(f"{cells.path}/size").head()["n"]
 
     @classmethod
     def build(
         cls, corpus: DataFrame, docs: DataFrame, vec_id: str = "vec_id", vector: str = "embedding", text: str = "text", path: str | None = None
     ) -> "HybridIndex":
+        spark = docs.sparkSession
+        path = path or new_path(spark, "cells")
         grams = with_grams(docs.select(vec_id, text), text)
         hashed = F.transform(F.array_distinct("grams"), lambda x: F.xxhash64(x))
-        rows = (
-            grams.select(vec_id, hashed.alias("terms"), F.lit(True).alias("__doc"))
-            .join(corpus.select(vec_id, F.col(vector).cast("array<double>").alias("v")), vec_id, "full_outer")
-            .select(F.col(vec_id).cast("long").alias("row"), "v", F.coalesce("terms", F.array().cast("array<long>")).alias("terms"), "__doc")
-        )
-        rows = settle(rows, "hybrid-rows")
+        segments = grams.select(F.col(vec_id).cast("long").alias("row"), hashed.alias("terms")).mapInArrow(_segments, POSTINGS)
+        segments.write.partitionBy("bucket").option("compression", "zstd").parquet(f"{path}/postings")
+        heads = spark.read.schema(POSTINGS).parquet(f"{path}/postings").where(F.col("bucket") == ROWS_OF_SEGMENT)
+        texts = heads.select("segment", F.posexplode("rows").alias("place", "row")).select("row", "segment", (F.col("segment") + F.col("place")).alias("doc"))
+        vectors = corpus.select(F.col(vec_id).cast("long").alias("row"), F.col(vector).cast("array<double>").alias("v"))
+        joined = texts.join(vectors, "row", "full_outer")
+        own = new_path(spark, "hybrid-rows")
+        joined.write.parquet(own)
+        rows = spark.read.schema(joined.schema).parquet(own)
         cells = CellIndex.build(rows, path)
-        spark = cells.spark
-        sizes = cells.rings.parts()
-        parts = spark.createDataFrame(
-            [(int(c), int(r), int(p)) for c, r, p in zip(cells.rings.cell, cells.rings.ring, sizes)], "cell int, ring int, parts int"
-        )
-        placed = cells.rows.join(F.broadcast(parts), ["cell", "ring"]).withColumn("part", _part("row"))
-        postings = placed.select("row", *GROUP, F.explode("terms").alias("term")).withColumn("bucket", _bucket("term"))
-        # A term that every row holds is written by as many tasks as others share.
-        dealt = postings.repartition("bucket", F.pmod(F.xxhash64("row"), F.lit(4))).sortWithinPartitions("bucket", "term")
-        dealt.write.partitionBy("bucket").parquet(f"{cells.path}/postings")
-        kept = spark.read.schema(POSTINGS).parquet(f"{cells.path}/postings")
-        kept.groupBy("term").agg(F.count(F.lit(1)).alias("df")).write.parquet(f"{cells.path}/frequency")
-        rows.agg(F.count("__doc").alias("n")).write.parquet(f"{cells.path}/size")
+        rows.agg(F.count("doc").alias("n")).write.parquet(f"{path}/size")
+        discard(spark, own)  # its rows are in their cells now
         return cls(cells)
 
+    def held(self, terms: DataFrame) -> DataFrame:
+        """The rows that hold any ``term`` of ``terms``, their groups, and which of the terms they
+        hold. Only their buckets are read, so many at a time that ``ASKED_TERMS`` terms are in
+        them: that many go to every task."""
+        spark = self.cells.spark
+        asked = settle(terms.select("term").distinct().withColumn("bucket", _bucket("term")), "asked-terms")
+        turns: list[list[int]] = []
+        room = 0
+        for bucket, n in asked.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).orderBy("bucket").collect():  # at most BUCKETS
+            if n > room:
+                turns.append([])
+                room = ASKED_TERMS
+            turns[-1].append(bucket)
+            room -= n
+        picked = spark.createDataFrame([], PICKED)
+        for buckets in turns:
+            own = asked.where(F.col("bucket").isin(buckets)).select("term").toArrow().column("term").to_numpy()
+            read = self.postings.where(F.col("bucket").isin(buckets)).select("segment", "n", "terms", "counts", "places", "bucket")
+            picked = picked.unionByName(read.mapInArrow(_picked(own), PICKED))
+        rows = self.cells.placed().where("doc is not null").select("segment", "doc", "row", *GROUP).withColumn("kind", F.lit(0))
+        both = rows.unionByName(picked.withColumn("kind", F.lit(1)), allowMissingColumns=True)
+        met = both.repartition("segment").sortWithinPartitions("segment", "kind")
+        return settle(met.mapInArrow(_texts, HELD), "held-terms")
+
     def topk(
         self, queries: DataFrame, asked: DataFrame, k: int = TOP_K, query_id: str = "query_id", vector: str = "embedding", text: str = "text",
         keyword_weight: float = KEYWORD_WEIGHT, vector_weight: float = VECTOR_WEIGHT,
     ) -> Found:
         """As :func:`.similarity.hybrid_topk`: vectors in ``queries``, texts in ``asked``."""
         wanted = query_terms(asked, text, query_id).select(F.col(query_id).cast("long").alias("query"), F.xxhash64("term").alias("term"))
-        counted = salted_left_join(wanted, self.frequency, "term", "query")
+        wanted = settle(wanted, "query-terms")
+        held = self.held(wanted)
+        frequency = held.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+        counted = salted_left_join(wanted, frequency, "term", "query")
         df = F.coalesce("df", F.lit(0))
         idf = F.log((F.lit(1.0) + self.n_docs) / (F.lit(1.0) + df)) + F.lit(1.0)
         entry = F.struct(df.alias("df"), "term", idf.alias("idf"))
-        held = counted.groupBy("query").agg(F.array_sort(F.collect_list(entry)).alias("t"))
+        terms = counted.groupBy("query").agg(F.array_sort(F.collect_list(entry)).alias("t"))
         none = F.array()
-        both = queries.select(F.col(query_id).cast("long").alias("query"), F.col(vector).cast("array<double>").alias("v")).join(held, "query", "full_outer")
+        both = queries.select(F.col(query_id).cast("long").alias("query"), F.col(vector).cast("array<double>").alias("v")).join(terms, "query", "full_outer")
         questions = both.select(
             "query", "v", F.coalesce("t.term", none.cast("array<long>")).alias("terms"),
             F.coalesce("t.idf", none.cast("array<double>")).alias("idfs"), F.coalesce("t.df", none.cast("array<long>")).alias("dfs"),
         )
-        return self.cells.search(questions, k, keyword_weight, vector_weight)
+        return self.cells.search(questions, k, keyword_weight, vector_weight, held)

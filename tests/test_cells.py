@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -9,6 +11,8 @@ from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from sievewright.operators import cells as ci, similarity as sim
+from sievewright.operators.features import with_grams
+from sievewright.session import shared_dir
 
 
 def clustered(seed: int, n: int, dims: int, groups: int, spread: float) -> np.ndarray:
@@ -147,3 +151,44 @@ def test_a_plan_passes_visits_on_in_bounded_batches():
         left = set(range(groups)) - set(first.first_look(bounds[q], True).tolist())
         wanted += [(q, int(rings.cell[g]), int(rings.ring[g])) for g in left]
     assert seen == sorted(wanted)
+
+
+def test_an_index_writes_a_pair_of_row_and_term_once(spark):
+    """All that building leaves on disk, beside the eight bytes a term's hash has."""
+    rng = np.random.default_rng(4)
+    words = [f"w{i}" for i in range(20_000)]
+    docs = spark.createDataFrame([(i, " ".join(rng.choice(words, 250))) for i in range(800)], "vec_id long, text string")
+    corpus = frame(spark, rng.normal(size=(40, 4)))
+    before = set(os.listdir(shared_dir(spark)))
+    ci.HybridIndex.build(corpus, docs.repartition(2))
+    left = [os.path.join(shared_dir(spark), x) for x in set(os.listdir(shared_dir(spark))) - before]
+    size = sum(os.path.getsize(os.path.join(at, x)) for top in left for at, _, names in os.walk(top) for x in names)
+    pairs = with_grams(docs, "text").select(F.sum(F.size(F.array_distinct("grams")))).head()[0]
+    print("bytes a pair", size / pairs)
+    assert size < 12 * pairs
+
+
+@pytest.mark.parametrize("segment_terms, asked_terms", [(40, 3), (1_000_000, 1_000_000)])
+def test_held_terms_are_those_of_the_rows(spark, monkeypatch, segment_terms, asked_terms):
+    """Keys that repeat on either side, empty and null texts, terms that nothing holds."""
+    monkeypatch.setattr(ci, "SEGMENT_TERMS", segment_terms)
+    monkeypatch.setattr(ci, "ASKED_TERMS", asked_terms)
+    rng = np.random.default_rng(6)
+    texts = [" ".join(rng.choice(WORDS, size=rng.integers(0, 9))) for _ in range(120)] + ["", None]
+    docs = spark.createDataFrame([(i % 100, t) for i, t in enumerate(texts)], "vec_id long, text string")
+    vectors = [(i % 50 + 30, [float(x) for x in rng.normal(size=3)]) for i in range(70)]
+    corpus = spark.createDataFrame(vectors, "vec_id long, embedding array<double>")
+    index = ci.HybridIndex.build(corpus, docs.repartition(3))
+    asked = spark.createDataFrame([(t,) for t in (*WORDS[:25], "word3 word9", "no such term")], "t string").select(F.xxhash64("t").alias("term"))
+    wanted = {r["term"] for r in asked.collect()}
+    grams = with_grams(docs, "text").select("vec_id", F.transform(F.array_distinct("grams"), lambda x: F.xxhash64(x)).alias("terms"))
+    copies = {i: max(1, sum(v[0] == i for v in vectors)) for i in range(100)}
+    want = sorted((r["vec_id"], tuple(sorted(wanted & set(r["terms"])))) for r in grams.collect() for _ in range(copies[r["vec_id"]]) if wanted & set(r["terms"]))
+    got = index.held(asked).collect()
+    assert sorted((r["row"], tuple(sorted(r["terms"]))) for r in got) == want
+    assert index.n_docs == sum(copies[i % 100] for i in range(len(texts)))
+
+
+def test_packed_numbers_come_back():
+    for numbers in (np.array([0, 0, 0]), np.array([0, 255, 256, 70_000]), np.array([1, 2**63, 2**64 - 1], np.uint64)):
+        assert ci.unpacked(ci.packed(numbers), len(numbers)).tolist() == numbers.tolist()
